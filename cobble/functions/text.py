@@ -18,9 +18,10 @@ KEYWORD_STOPWORDS = ("the", "of", "when", "in")
 NUMBER_LABEL = "Number"
 NOT_NUMBER_LABEL = "Not a Number"
 
-# Python's \w is Unicode-aware; Java's needs the (?U) flag to agree with it.
-WORD_PATTERN = r"(?U)\w+"
-WORD_APOS_PATTERN = r"(?U)[\w']+"
+# Python's \w is letters, numbers and '_' of any script; spelled out so Java (and the
+# DuckDB oracle) use the same class (Java's (?U)\w would also take combining marks).
+WORD_PATTERN = r"[\p{L}\p{N}_]+"
+WORD_APOS_PATTERN = r"[\p{L}\p{N}_']+"
 
 
 def _c(c) -> Column:

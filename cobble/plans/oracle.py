@@ -194,3 +194,288 @@ FROM joined, LATERAL (SELECT unnest(generate_series(1, coalesce(joined.n, 1))) A
 ORDER BY pid, copy
 """
 )
+
+
+ORACLES["reconcile_total"] = (
+    "WITH rep AS ("
+    + ORACLES["violations_by_segment"].replace("ORDER BY pid, copy", "")
+    + f") SELECT CAST(coalesce(sum({' + '.join(f'y{y}' for y in YEARS)}), 0) AS BIGINT) AS total FROM rep"
+)
+
+ORACLES["complaints_report"] = """
+WITH rows AS (
+  SELECT nullif(p_brand, 'Brand#7') AS product, substr(CAST(l_shipdate AS VARCHAR), 1, 4) AS year, l_suppkey AS company
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+),
+per AS (
+  SELECT product, year, company, count(*) AS n FROM rows
+  WHERE product IS NOT NULL AND company IS NOT NULL AND year IS NOT NULL
+  GROUP BY product, year, company
+)
+SELECT product, year, CAST(sum(n) AS BIGINT) AS complaints, CAST(count(*) AS BIGINT) AS companies,
+       CAST(round_even(CAST(max(n) AS DOUBLE) / CAST(sum(n) AS DOUBLE) * 100.0, 0) AS INT) AS top_share_pct
+FROM per GROUP BY product, year
+"""
+
+ORACLES["product_revenue"] = """
+WITH per AS (
+  SELECT l_partkey AS product, o_custkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS amt
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey, o_custkey
+)
+SELECT product, CAST(count(*) AS BIGINT) AS customers, CAST(sum(amt) AS DOUBLE) AS revenue FROM per GROUP BY product
+"""
+
+ORACLES["customer_runs"] = """
+WITH r AS (
+  SELECT event_type, user_id, lag(user_id) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS prev FROM events
+),
+runs AS (
+  SELECT event_type, CAST(sum(CASE WHEN prev IS NULL OR prev <> user_id THEN 1 ELSE 0 END) AS BIGINT) AS runs
+  FROM r GROUP BY event_type
+),
+per AS (
+  SELECT event_type, user_id, sum(CAST(value AS DECIMAL(18,2))) AS amt FROM events GROUP BY event_type, user_id
+),
+ex AS (SELECT event_type, CAST(count(*) AS BIGINT) AS users, CAST(sum(amt) AS DOUBLE) AS revenue FROM per GROUP BY event_type)
+SELECT runs.event_type, runs, users, revenue FROM runs JOIN ex USING (event_type)
+"""
+
+_TRIPS = """
+trips AS (
+  SELECT ns.n_name AS start_station, nc.n_name AS end_station, o_orderpriority AS usertype,
+         CAST(c_custkey % 3 AS INT) AS gender
+  FROM lineitem
+  JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey
+  JOIN supplier ON l_suppkey = s_suppkey
+  JOIN nation ns ON s_nationkey = ns.n_nationkey
+  JOIN nation nc ON c_nationkey = nc.n_nationkey
+)"""
+
+_STATION_TRIPS = f"""
+WITH {_TRIPS},
+ends AS (SELECT start_station AS station FROM trips UNION ALL SELECT end_station FROM trips)
+SELECT station, CAST(count(*) AS BIGINT) AS trips FROM ends GROUP BY station
+"""
+ORACLES["station_trips"] = _STATION_TRIPS
+ORACLES["busy_stations"] = f"SELECT * FROM ({_STATION_TRIPS}) WHERE trips > 4800"
+ORACLES["station_pairs"] = f"""
+WITH {_TRIPS}
+SELECT least(start_station, end_station) AS station_a, greatest(start_station, end_station) AS station_b,
+       CAST(count(*) AS BIGINT) AS trips
+FROM trips GROUP BY 1, 2
+"""
+ORACLES["top_station_by_group"] = f"""
+WITH {_TRIPS},
+c AS (
+  SELECT CASE gender WHEN 0 THEN 'Unknown' WHEN 1 THEN 'Male' WHEN 2 THEN 'Female' END AS gender,
+         start_station, CAST(count(*) AS BIGINT) AS trips
+  FROM trips WHERE usertype = '1-URGENT' GROUP BY 1, 2
+),
+r AS (SELECT *, row_number() OVER (PARTITION BY gender ORDER BY trips DESC, start_station) AS rn FROM c)
+SELECT gender, start_station, trips FROM r WHERE rn = 1
+"""
+
+_WORD = "[\\p{L}\\p{N}_]+"
+_WORD_APOS = "[\\p{L}\\p{N}_'']+"
+
+_SPACE_COUNTS = """
+WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
+w AS (SELECT unnest(string_split(trim(line), ' ')) AS word FROM lines)
+SELECT word, CAST(count(*) AS BIGINT) AS n FROM w WHERE word <> '' GROUP BY word
+"""
+_LOWER_COUNTS = f"""
+WITH w AS (SELECT unnest(regexp_extract_all(text, '{_WORD_APOS}')) AS word FROM documents)
+SELECT lower(word) AS word, CAST(count(*) AS BIGINT) AS n FROM w GROUP BY lower(word)
+"""
+ORACLES["word_count_spaces"] = _SPACE_COUNTS
+ORACLES["word_count_lower"] = _LOWER_COUNTS
+ORACLES["top_words"] = f"SELECT * FROM ({_SPACE_COUNTS}) ORDER BY n DESC, word LIMIT 10"
+ORACLES["top3_words"] = f"SELECT * FROM ({_LOWER_COUNTS}) ORDER BY n DESC, word LIMIT 3"
+ORACLES["most_used_word"] = f"SELECT n, word FROM ({_LOWER_COUNTS}) ORDER BY n DESC, word DESC LIMIT 1"
+
+_STOP = "('the', 'of', 'when', 'in')"
+ORACLES["keywords"] = f"""
+WITH s AS (
+  SELECT doc_id, list_transform(string_split(text, '.'), lambda sent:
+    list_transform(
+      list_filter(
+        list_transform(
+          list_transform(
+            string_split(array_to_string(list_transform(regexp_extract_all(sent, '{_WORD}'),
+              lambda w: CASE WHEN regexp_matches(w, '^\\p{{Lu}}') OR lower(w) IN {_STOP} THEN w ELSE '*' END), ' '), '*'),
+            lambda ch: list_filter(string_split(ch, ' '), lambda x: x <> '')),
+          lambda ws: CASE WHEN list_position(list_transform(ws, lambda x: lower(x) NOT IN {_STOP}), true) IS NULL
+                          THEN []::VARCHAR[]
+                          ELSE ws[list_position(list_transform(ws, lambda x: lower(x) NOT IN {_STOP}), true):] END),
+        lambda ws: len(ws) >= 2),
+      lambda ws: array_to_string(ws, ' '))) AS per_sentence
+  FROM documents
+),
+f AS (SELECT doc_id, flatten(per_sentence) AS kws FROM s)
+SELECT doc_id, CAST(generate_subscripts(kws, 1) - 1 AS INT) AS pos, unnest(kws) AS keyword FROM f
+"""
+
+ORACLES["hour_histogram"] = "SELECT CAST(hour(ts) AS INT) AS hour, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1"
+
+ORACLES["first_event_of_day"] = """
+WITH r AS (
+  SELECT strftime(ts, '%Y-%m-%d') AS day, event_id, ts, user_id, event_type, value,
+         row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY ts, event_id) AS rn
+  FROM events
+)
+SELECT day, event_id, ts, user_id, event_type, value FROM r WHERE rn = 1
+"""
+
+ORACLES["max_concurrent_events"] = """
+WITH e AS (
+  SELECT ts, event_id, event_type,
+         CASE event_type WHEN 'click' THEN 1 WHEN 'purchase' THEN -1 ELSE 0 END AS d
+  FROM events
+),
+r AS (SELECT event_type, sum(d) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS lvl FROM e WHERE d <> 0)
+SELECT CAST(greatest(0, coalesce(max(lvl) FILTER (WHERE event_type = 'click'), 0)) AS BIGINT) AS max_level FROM r
+"""
+
+ORACLES["max_concurrent_trips"] = """
+WITH t AS (
+  SELECT least(o_orderdate, l_shipdate) AS start, greatest(o_orderdate, l_shipdate) AS stop, l_orderkey
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+),
+e AS (
+  SELECT start AS t, 1 AS k, l_orderkey AS id, 1 AS d FROM t
+  UNION ALL SELECT stop, 0, l_orderkey, -1 FROM t
+),
+r AS (SELECT d, sum(d) OVER (ORDER BY t, k, id ROWS UNBOUNDED PRECEDING) AS lvl FROM e)
+SELECT CAST(greatest(0, coalesce(max(lvl) FILTER (WHERE d > 0), 0)) AS BIGINT) AS max_concurrent FROM r
+"""
+
+_STATUS = """
+sl AS (
+  SELECT o_orderkey,
+         array_to_string(list_transform(nums, lambda x: CAST(x AS VARCHAR)), ',') || ' : ' ||
+         CASE o_orderstatus WHEN 'F' THEN 'Good Service' WHEN 'O' THEN 'Delays' WHEN 'P' THEN 'Planned Work' END AS status_line
+  FROM (SELECT l_orderkey, list_sort(list_distinct(list(l_linenumber))) AS nums FROM lineitem GROUP BY l_orderkey) g
+  JOIN orders ON l_orderkey = o_orderkey
+)"""
+ORACLES["delayed_lines"] = f"""
+WITH {_STATUS},
+d AS (SELECT o_orderkey, string_split(string_split(status_line, ' : ')[1], ',') AS names FROM sl WHERE contains(status_line, 'Delays'))
+SELECT o_orderkey, CAST(generate_subscripts(names, 1) - 1 AS INT) AS pos, unnest(names) AS line FROM d
+"""
+ORACLES["delayed_line_count"] = f"SELECT CAST(count(*) AS BIGINT) AS n FROM ({ORACLES['delayed_lines']})"
+ORACLES["status_lines"] = f"""
+WITH {_STATUS},
+d AS (
+  SELECT o_orderkey, string_split(string_split(status_line, ' : ')[1], ',') AS names,
+         string_split(status_line, ' : ')[2] AS st FROM sl
+),
+u AS (SELECT o_orderkey, st, CAST(generate_subscripts(names, 1) - 1 AS INT) AS pos, unnest(names) AS line FROM d)
+SELECT o_orderkey, pos, line || ' : ' || st AS update FROM u
+"""
+
+ORACLES["weighted_score"] = """
+WITH c AS (
+  SELECT c_custkey AS dbn, c_mktsegment AS boro, CAST(CAST(c_acctbal AS INT) AS VARCHAR) AS total_students FROM customer
+),
+schools AS (
+  SELECT dbn, boro FROM c WHERE regexp_full_match(total_students, '[0-9]+') AND CAST(total_students AS BIGINT) > 500
+),
+o AS (
+  SELECT o_custkey AS dbn,
+         CASE WHEN o_orderpriority = '5-LOW' THEN 's' ELSE CAST(o_orderkey % 97 + 1 AS VARCHAR) END AS takers,
+         CAST(trunc(o_totalprice / 1000) AS BIGINT) % 800 AS score
+  FROM orders
+),
+sat AS (SELECT dbn, CAST(takers AS BIGINT) AS takers, score FROM o WHERE takers <> 's')
+SELECT boro, CAST(trunc(CAST(sum(score * takers) AS DOUBLE) / CAST(sum(takers) AS DOUBLE)) AS BIGINT) AS mean_score
+FROM schools JOIN sat USING (dbn) GROUP BY boro
+"""
+
+ORACLES["numeric_audit"] = """
+WITH v AS (
+  SELECT 'c_name_suffix' AS source, split_part(c_name, '#', 2) AS v FROM customer
+  UNION ALL SELECT 'p_name_token', unnest(string_split(p_name, ' ')) FROM part
+  UNION ALL SELECT 'priority_head', split_part(o_orderpriority, '-', 1) FROM orders
+  UNION ALL SELECT 'quantity_text', CAST(l_quantity AS VARCHAR) FROM lineitem
+)
+SELECT source, CASE WHEN regexp_full_match(v, '[0-9]+') THEN 'Number' ELSE 'Not a Number' END AS label,
+       CAST(count(*) AS BIGINT) AS n
+FROM v GROUP BY 1, 2
+"""
+
+ORACLES["words_not_in"] = """
+WITH j AS (
+  SELECT c.conv_id, c.turn, c.text, p.text AS prev_text
+  FROM conversations c JOIN conversations p ON c.conv_id = p.conv_id AND c.turn = p.turn + 1
+),
+w AS (
+  SELECT conv_id, turn,
+         list_filter(string_split(lower(text), ' '), lambda x: x <> '' AND NOT list_contains(string_split(lower(prev_text), ' '), x)) AS new
+  FROM j
+)
+SELECT conv_id, turn, array_to_string(new, ' ') AS new_words, CAST(len(new) AS INT) AS n_new FROM w
+"""
+
+ORACLES["distinct_chars"] = """
+SELECT p_partkey,
+       CAST(CASE WHEN length(p_name) = 0 THEN 0 ELSE len(list_distinct(string_split(p_name, ''))) END AS INT) AS n_chars,
+       CAST(len(list_distinct(string_split(p_name, ' '))) AS INT) AS n_words
+FROM part
+"""
+
+ORACLES["normalise_street"] = f"""
+WITH t AS (
+  SELECT p_partkey,
+         CAST(p_size AS VARCHAR) || CASE p_size % 4 WHEN 0 THEN 'TH' WHEN 1 THEN 'st' WHEN 2 THEN 'ND' ELSE 'RD' END
+           || '  ' || p_name || ' 1st' AS raw
+  FROM part
+)
+SELECT p_partkey, raw, {_street_key_sql('raw')} AS street FROM t
+"""
+
+ORACLES["house_parts"] = f"""
+WITH h AS (SELECT DISTINCT house_number AS house FROM ({_VIOLATION_ROWS})),
+a1 AS (
+  SELECT house, string_split(house, '-') AS raw_parts,
+         list_transform(string_split(house, '-'),
+           lambda p: CASE WHEN length(p) >= 2 AND NOT regexp_matches(right(p, 1), '[0-9]') THEN left(p, length(p) - 1) ELSE p END) AS tr
+  FROM h
+),
+a2 AS (SELECT *, regexp_full_match(tr[1], '[0-9]+') AS first_digits, list_transform(tr, lambda p: {_int_or_null('p')}) AS ints FROM a1),
+a3 AS (
+  SELECT house,
+         CASE WHEN len(list_filter(raw_parts, lambda p: length(p) = 0)) = 0
+               AND NOT (first_digits = false AND len(list_filter(raw_parts, lambda p: length(p) = 1)) > 0)
+               AND len(list_filter(ints, lambda v: v IS NULL)) = 0 THEN ints END AS parts
+  FROM a2
+)
+SELECT house, array_to_string(list_transform(parts, lambda x: CAST(x AS VARCHAR)), ',') AS parts,
+       CAST(parts[-1] % 2 AS INT) AS parity
+FROM a3
+"""
+
+_TY = (1995, 1996, 1997, 1998, 1999)
+_TSLOPE = (
+    f"((((0.0 + (-2.0) * (CAST(y{_TY[0]} AS DOUBLE) - ym)) + (-1.0) * (CAST(y{_TY[1]} AS DOUBLE) - ym))"
+    f" + 0.0 * (CAST(y{_TY[2]} AS DOUBLE) - ym)) + 1.0 * (CAST(y{_TY[3]} AS DOUBLE) - ym)) + 2.0 * (CAST(y{_TY[4]} AS DOUBLE) - ym)"
+)
+ORACLES["yearly_trend"] = f"""
+WITH o AS (SELECT o_custkey AS pid, year(o_orderdate) AS year FROM orders WHERE year(o_orderdate) IN {tuple(_TY)}),
+per AS (SELECT pid, {", ".join(f"CAST(count(*) FILTER (WHERE year = {y}) AS BIGINT) AS y{y}" for y in _TY)} FROM o GROUP BY pid),
+trend AS (
+  SELECT *, (({_TSLOPE}) / 10.0) AS slope FROM (
+    SELECT *, ((((CAST(y{_TY[0]} AS DOUBLE) + CAST(y{_TY[1]} AS DOUBLE)) + CAST(y{_TY[2]} AS DOUBLE)) + CAST(y{_TY[3]} AS DOUBLE))
+               + CAST(y{_TY[4]} AS DOUBLE)) / 5.0 AS ym FROM per)
+),
+roster AS (SELECT c_custkey AS pid FROM customer UNION ALL SELECT c_custkey + 1000000 FROM customer WHERE c_custkey % 10 = 0),
+copies AS (SELECT pid, count(*) AS n FROM roster GROUP BY pid),
+joined AS (
+  SELECT coalesce(c.pid, t.pid) AS pid, c.n, {", ".join(f"coalesce(t.y{y}, 0) AS y{y}" for y in _TY)},
+         coalesce(t.slope, 0.0) AS slope
+  FROM copies c FULL OUTER JOIN trend t ON c.pid = t.pid
+)
+SELECT pid, {", ".join(f"y{y}" for y in _TY)}, slope, CAST(g.copy AS INT) AS copy
+FROM joined, LATERAL (SELECT unnest(generate_series(1, coalesce(joined.n, 1))) AS copy) g
+ORDER BY pid, copy
+"""

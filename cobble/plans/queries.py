@@ -52,3 +52,418 @@ def resolve_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = first_match_segment(addr, lookup, V.ADDRESS_KEYS)
     total = sum((F.col(f"y{y}") for y in YEARS[1:]), F.col(f"y{YEARS[0]}"))
     return m.select("street", "borough", "house", "pid", total.alias("violations"))
+
+
+# --------------------------------------------------------------------------- reports
+
+
+@register("complaints_report")
+def complaints_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (product, year): complaints, companies, top company's share.
+
+    product = part brand (one brand blanked to NULL to exercise the null filter), year of
+    the ship date, company = supplier."""
+    from cobble.operators.aggregates import complaints_report as report
+
+    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate")
+    p = table(spark, sf_dir, "part").select("p_partkey", F.nullif(F.col("p_brand"), F.lit("Brand#7")).alias("p_brand"))
+    rows = li.join(p, li.l_partkey == p.p_partkey).select(
+        "p_brand", F.col("l_shipdate").cast("string").alias("date_sent"), "l_suppkey"
+    )
+    return report(rows, "p_brand", "date_sent", "l_suppkey")
+
+
+@register("product_revenue")
+def product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per product: exact distinct customers and revenue."""
+    from cobble.operators.aggregates import distinct_and_total
+
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    rows = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("l_partkey").alias("product"), "o_custkey", "l_extendedprice"
+    )
+    return distinct_and_total(rows, "product", "o_custkey", "l_extendedprice")
+
+
+@register("customer_runs")
+def customer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event type: runs of consecutive equal users in time order (W1), next to the
+    exact distinct users and value total (G6)."""
+    from cobble.operators.aggregates import distinct_and_total
+    from cobble.operators.ordered import change_runs
+
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    runs = change_runs(ev, "event_type", "user_id", ["ts", "event_id"])
+    exact = distinct_and_total(ev, "event_type", "user_id", "value").withColumnRenamed("customers", "users")
+    return runs.join(exact, "event_type")
+
+
+# --------------------------------------------------------------------------- trips
+
+
+def _trip_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem -> (start station, end station): supplier nation and customer nation names,
+    with the order priority and a 0/1/2 rider code for the filtered top-k query."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    ns, nc = n.alias("ns"), n.alias("nc")
+    return (
+        li.join(o, li.l_orderkey == o.o_orderkey)
+        .join(c, F.col("o_custkey") == c.c_custkey)
+        .join(s, li.l_suppkey == s.s_suppkey)
+        .join(ns, F.col("s_nationkey") == F.col("ns.n_nationkey"))
+        .join(nc, F.col("c_nationkey") == F.col("nc.n_nationkey"))
+        .select(
+            F.col("ns.n_name").alias("start_station"),
+            F.col("nc.n_name").alias("end_station"),
+            F.col("o_orderpriority").alias("usertype"),
+            (F.col("c_custkey") % 3).cast("int").alias("gender"),
+        )
+    )
+
+
+@register("station_trips")
+def station_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips touching each station, both endpoints counted."""
+    from cobble.operators.aggregates import endpoint_counts
+
+    return endpoint_counts(_trip_endpoints(spark, sf_dir), "start_station", "end_station")
+
+
+BUSY_THRESHOLD = 4800
+
+
+@register("busy_stations")
+def busy_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations with more than a threshold of trips (F10, HAVING)."""
+    from cobble.operators.aggregates import endpoint_counts, having_more_than
+
+    counts = endpoint_counts(_trip_endpoints(spark, sf_dir), "start_station", "end_station")
+    return having_more_than(counts, "trips", BUSY_THRESHOLD)
+
+
+@register("station_pairs")
+def station_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips per unordered station pair."""
+    from cobble.operators.aggregates import pair_counts
+
+    return pair_counts(_trip_endpoints(spark, sf_dir), "start_station", "end_station")
+
+
+# Fixed values that must equal the reference's: labels of rider codes 0, 1, 2.
+GENDER_LABELS = ("Unknown", "Male", "Female")
+
+
+@register("top_station_by_group")
+def top_station_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per rider label, the start station with most pickups among one rider type."""
+    from cobble.operators.aggregates import best_per_group
+
+    t = _trip_endpoints(spark, sf_dir).filter(F.col("usertype") == F.lit("1-URGENT"))
+    label = F.element_at(F.array(*[F.lit(x) for x in GENDER_LABELS]), F.col("gender") + 1)
+    counts = t.groupBy(label.alias("gender"), "start_station").agg(F.count(F.lit(1)).alias("trips"))
+    return best_per_group(counts, "gender", "start_station", "trips")
+
+
+# --------------------------------------------------------------------------- words
+
+
+def _doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return d.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+
+
+@register("word_count_spaces")
+def word_count_spaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts over text lines split on single spaces, case kept."""
+    from cobble.functions.text import space_tokens
+    from cobble.operators.aggregates import token_counts
+
+    return token_counts(_doc_lines(spark, sf_dir), space_tokens("line"))
+
+
+def _lower_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cobble.functions.text import word_tokens
+    from cobble.operators.aggregates import token_counts
+
+    d = table(spark, sf_dir, "documents").select("text")
+    return token_counts(d, F.transform(word_tokens("text", with_apostrophe=True), lambda w: F.lower(w)))
+
+
+@register("word_count_lower")
+def word_count_lower(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lower-cased [\\w']+ word counts."""
+    return _lower_word_counts(spark, sf_dir)
+
+
+@register("top_words")
+def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten most frequent space-separated words, ties by word (K2)."""
+    from cobble.operators.ordered import top_k
+
+    return top_k(word_count_spaces(spark, sf_dir), 10, F.desc("n"), F.asc("word"))
+
+
+@register("top3_words")
+def top3_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three most frequent lower-cased words (K3)."""
+    from cobble.operators.ordered import top_k
+
+    return top_k(_lower_word_counts(spark, sf_dir), 3, F.desc("n"), F.asc("word"))
+
+
+@register("most_used_word")
+def most_used_word(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """max((count, word)) over lower-cased words: ties go to the greatest word."""
+    from cobble.operators.aggregates import most_frequent
+
+    return most_frequent(_lower_word_counts(spark, sf_dir), "word", "n")
+
+
+@register("keywords")
+def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capitalised phrases per document, in text order."""
+    from cobble.functions.text import keywords as kw
+
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return d.select("doc_id", F.posexplode(kw("text")).alias("pos", "keyword"))
+
+
+# --------------------------------------------------------------------------- events in time
+
+
+@register("hour_histogram")
+def hour_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per hour of day, only hours present."""
+    ev = table(spark, sf_dir, "events").select("ts")
+    return ev.groupBy(F.hour("ts").cast("int").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("first_event_of_day")
+def first_event_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole earliest event of each day."""
+    from cobble.operators.ordered import first_per_group
+
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    return first_per_group(ev, day, ["ts", "event_id"], "day")
+
+
+@register("max_concurrent_events")
+def max_concurrent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Highest level of click (+1) minus purchase (-1), measured at clicks."""
+    from cobble.operators.ordered import max_running_level
+
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    delta = F.when(F.col("event_type") == "click", 1).when(F.col("event_type") == "purchase", -1).otherwise(0)
+    return max_running_level(ev, ["ts", "event_id"], delta, F.col("event_type") == "click")
+
+
+@register("max_concurrent_trips")
+def max_concurrent_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most line items 'in transit' at once: [order date, ship date) intervals."""
+    from cobble.operators.ordered import max_concurrency
+
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    t = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.least("o_orderdate", "l_shipdate").alias("start"),
+        F.greatest("o_orderdate", "l_shipdate").alias("stop"),
+        "l_orderkey",
+    )
+    return max_concurrency(t, "start", "stop", "l_orderkey")
+
+
+# --------------------------------------------------------------------------- status lines
+
+
+# Fixed values of the test binding: order status -> service status text.
+STATUS_TEXT = {"F": "Good Service", "O": "Delays", "P": "Planned Work"}
+
+
+def _status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One 'n,m,... : status' line per order, lines in ascending line-number order."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    lines = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("l_linenumber")).alias("nums"))
+    status = F.coalesce(*[F.when(F.col("o_orderstatus") == k, F.lit(v)) for k, v in STATUS_TEXT.items()])
+    return lines.join(o, lines.l_orderkey == o.o_orderkey).select(
+        F.col("o_orderkey"),
+        F.concat(F.array_join(F.transform("nums", lambda x: x.cast("string")), ","), F.lit(" : "), status).alias("status_line"),
+    )
+
+
+@register("delayed_lines")
+def delayed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every 'Delays' update, one row each."""
+    from cobble.functions.text import status_line_parts
+
+    s = _status_lines(spark, sf_dir).filter(F.col("status_line").contains("Delays"))
+    names, _ = status_line_parts("status_line")
+    return s.select("o_orderkey", F.posexplode(names).alias("pos", "line"))
+
+
+@register("delayed_line_count")
+def delayed_line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of delayed lines."""
+    return delayed_lines(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("status_lines")
+def status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each combined update expanded to one 'line : status' update per line."""
+    from cobble.functions.text import status_line_parts
+
+    s = _status_lines(spark, sf_dir)
+    names, status = status_line_parts("status_line")
+    return s.select("o_orderkey", status.alias("_st"), F.posexplode(names).alias("pos", "line")).select(
+        "o_orderkey", "pos", F.concat("line", F.lit(" : "), "_st").alias("update")
+    )
+
+
+# --------------------------------------------------------------------------- weighted mean
+
+
+@register("weighted_score")
+def weighted_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per segment, the taker-weighted mean score of large accounts, truncated.
+
+    schools = customers (size = account balance, structural check: digits only, kept when > 500);
+    scores = orders (takers suppressed as 's' for low priority)."""
+    from cobble.operators.aggregates import weighted_mean_truncated
+
+    c = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("dbn"), F.col("c_mktsegment").alias("boro"),
+        F.col("c_acctbal").cast("int").cast("string").alias("total_students"),
+    )
+    schools = c.filter(F.col("total_students").rlike(r"\A[0-9]+\z")).filter(
+        F.col("total_students").cast("bigint") > 500
+    ).select("dbn", "boro")
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("dbn"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("s"))
+        .otherwise((F.col("o_orderkey") % 97 + 1).cast("string"))
+        .alias("takers"),
+        ((F.col("o_totalprice") / 1000).cast("bigint") % 800).alias("score"),
+    )
+    sat = o.filter(F.col("takers") != "s").select("dbn", F.col("takers").cast("bigint").alias("takers"), "score")
+    joined = schools.join(sat, "dbn").drop("dbn")
+    return weighted_mean_truncated(joined, "boro", "score", "takers")
+
+
+# --------------------------------------------------------------------------- scalar audits
+
+
+@register("numeric_audit")
+def numeric_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per (source, Number / Not a Number) over several string sources."""
+    from cobble.functions.text import natural_number_label
+
+    c = table(spark, sf_dir, "customer").select(
+        F.lit("c_name_suffix").alias("source"), F.split_part("c_name", F.lit("#"), F.lit(2)).alias("v")
+    )
+    p = table(spark, sf_dir, "part").select(
+        F.lit("p_name_token").alias("source"), F.explode(F.split("p_name", " ", -1)).alias("v")
+    )
+    o = table(spark, sf_dir, "orders").select(
+        F.lit("priority_head").alias("source"), F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).alias("v")
+    )
+    li = table(spark, sf_dir, "lineitem").select(
+        F.lit("quantity_text").alias("source"), F.col("l_quantity").cast("string").alias("v")
+    )
+    allv = c.unionByName(p).unionByName(o).unionByName(li)
+    return allv.groupBy("source", natural_number_label("v").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("words_not_in")
+def words_not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per conversation turn: its words absent from the previous turn.
+
+    The previous turn is found by an equi-join on (conv_id, turn - 1), not a window, so a
+    very long conversation is not gathered into one task."""
+    from cobble.functions.text import words_not_in as wni
+
+    cv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    prev = cv.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("prev_text"))
+    j = cv.join(prev, ["conv_id", "turn"])
+    new = wni("text", "prev_text")
+    return j.select("conv_id", "turn", F.array_join(new, " ").alias("new_words"), F.size(new).alias("n_new"))
+
+
+@register("distinct_chars")
+def distinct_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct characters of each part name, and distinct words of it."""
+    from cobble.functions.text import distinct_chars as dc
+    from cobble.functions.text import distinct_count
+
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return p.select(
+        "p_partkey", dc("p_name").alias("n_chars"), distinct_count(F.split("p_name", " ", -1)).alias("n_words")
+    )
+
+
+# Fixed values of the test binding: ordinal suffixes attached to part sizes.
+SIZE_SUFFIXES = ("TH", "st", "ND", "RD")
+
+
+def _street_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_name")
+    sfx = F.coalesce(*[F.when(F.col("p_size") % 4 == i, F.lit(s)) for i, s in enumerate(SIZE_SUFFIXES)])
+    raw = F.concat(F.col("p_size").cast("string"), sfx, F.lit("  "), F.col("p_name"), F.lit(" 1st"))
+    return p.select("p_partkey", raw.alias("raw"))
+
+
+@register("normalise_street")
+def normalise_street(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Street keys of invented street texts."""
+    from cobble.functions.streets import street_key
+
+    return _street_texts(spark, sf_dir).select("p_partkey", "raw", street_key("raw").alias("street"))
+
+
+@register("house_parts")
+def house_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed house numbers and side of every distinct probe house text."""
+    from cobble.functions.streets import house_parity
+    from cobble.functions.streets import house_parts as hp
+
+    h = TD.violation_rows(spark, sf_dir).select(F.col("house_number").alias("house")).distinct()
+    parts = hp("house")
+    return h.select(
+        "house",
+        F.array_join(F.transform(parts, lambda x: x.cast("string")), ",").alias("parts"),
+        house_parity(parts).cast("int").alias("parity"),
+    )
+
+
+# --------------------------------------------------------------------------- yearly trend
+
+
+TREND_YEARS = (1995, 1996, 1997, 1998, 1999)
+
+
+@register("yearly_trend")
+def yearly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers x order year: yearly counts, slope, full roster with zeros."""
+    from cobble.operators.aggregates import with_trend, yearly_counts
+    from cobble.operators.joins import roster_outer_join
+
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("pid"), F.year("o_orderdate").alias("year"))
+    o = o.filter(F.col("year").isin(*TREND_YEARS))
+    per = with_trend(yearly_counts(o, "pid", "year", TREND_YEARS), TREND_YEARS)
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pid"))
+    roster = c.unionByName(c.filter(F.col("pid") % 10 == 0).select((F.col("pid") + 1_000_000).alias("pid")))
+    ycols = [f"y{y}" for y in TREND_YEARS]
+    return roster_outer_join(roster, per, "pid", [*ycols, "slope"]).orderBy("pid", "copy")
+
+
+@register("reconcile_total")
+def reconcile_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum of every yearly count of the flagship report."""
+    from cobble.operators.aggregates import sum_of_years
+
+    return sum_of_years(violations_by_segment(spark, sf_dir), YEARS)
