@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,7 +54,9 @@ def broadcast_if_bounded(
     persisted or cheap-to-recompute DataFrame, since it is measured by running it."""
     rows, size = measure(df)
     ok = rows <= max_rows and size <= max_bytes
-    return (F.broadcast(df) if ok else df), SizeCheck(rows, size, ok)
+    # Within the bound the lookup is small: keep the measured copy for the join itself
+    # (lost blocks are recomputed from lineage).
+    return (F.broadcast(df.cache()) if ok else df), SizeCheck(rows, size, ok)
 
 
 def street_lookup(segments: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -65,6 +67,11 @@ def street_lookup(segments: DataFrame, aliases: DataFrame) -> DataFrame:
     A segment is reachable by its own label (priority 0) and by every alias naming that
     label (priority 1, in alias order). Alias rows equal to their label add nothing: the
     label pass has already tried those same segments.
+
+    Each row carries ``rank``: its position in first-match order among the rows of the
+    same (key, borough, side) - label segments in source order, then alias-reached ones -
+    so the probe side only needs min_by(pid, rank). The part count ``n`` and the first two
+    parts of both ends are split out as plain columns for a code-generated range test.
     """
     seg = segments.select("label", "borough", "l_low", "l_high", "r_low", "r_high", "pid", "ord")
     by_label = seg.select(F.col("label").alias("key"), "*", F.lit(0).alias("pri"), F.lit(0).cast("bigint").alias("aord"))
@@ -76,9 +83,26 @@ def street_lookup(segments: DataFrame, aliases: DataFrame) -> DataFrame:
         F.struct(F.lit(1).alias("side"), F.col("l_low").alias("low"), F.col("l_high").alias("high")),
         F.struct(F.lit(0).alias("side"), F.col("r_low").alias("low"), F.col("r_high").alias("high")),
     )
-    return both.select("key", "borough", "pid", "ord", "pri", "aord", F.explode(sides).alias("s")).select(
+    rows = both.select("key", "borough", "pid", "ord", "pri", "aord", F.explode(sides).alias("s")).select(
         "key", "borough", "s.side", "s.low", "s.high", "pid", "ord", "pri", "aord"
     )
+    # Ends of unequal length can never hold a house number (its parts must match both).
+    rows = rows.filter(F.size("low") == F.size("high"))
+    w = Window.partitionBy("key", "borough", "side").orderBy("pri", "aord", "ord")
+    return rows.select(
+        "key",
+        "borough",
+        "side",
+        F.size("low").alias("n"),
+        F.element_at("low", 1).alias("lo1"),
+        F.element_at("high", 1).alias("hi1"),
+        F.try_element_at("low", F.lit(2)).alias("lo2"),
+        F.try_element_at("high", F.lit(2)).alias("hi2"),
+        "low",
+        "high",
+        F.row_number().over(w).cast("bigint").alias("rank"),
+        "pid",
+    )
 
 
 def first_match_segment(
@@ -92,25 +116,38 @@ def first_match_segment(
     """Resolve each address row to the first segment whose range holds its house number.
 
     ``addresses`` must be distinct on ``address_keys``. Join on (street key, borough,
-    side from parity) with the box test as the residual condition, then keep per address
-    the candidate with the smallest (priority, alias order, source order): the label's own
+    side from parity, number of parts) with the per-part range test as the residual
+    condition, then keep per address the candidate of smallest rank: the label's own
     segments in source order first, and only then the alias-reached ones. Addresses with
     no candidate are dropped (the matching is an inner join).
+
+    The aggregate groups by the address keys the input is already partitioned on, so it
+    adds no shuffle after the (broadcast) join.
     """
-    a = addresses.withColumn("_side", house_parity(parts))
+    a = addresses.select(
+        *addresses.columns,
+        house_parity(parts).cast("int").alias("_side"),
+        F.size(parts).alias("_n"),
+        F.element_at(parts, 1).alias("_p1"),
+        F.try_element_at(parts, F.lit(2)).alias("_p2"),
+    )
+    n = a["_n"]
     cond = (
         (a[street] == lookup["key"])
         & (a[borough] == lookup["borough"])
         & (a["_side"] == lookup["side"])
-        & in_box(a[parts], lookup["low"], lookup["high"])
+        & (n == lookup["n"])
+        & (lookup["lo1"] <= a["_p1"])
+        & (a["_p1"] <= lookup["hi1"])
+        & ((n < 2) | ((lookup["lo2"] <= a["_p2"]) & (a["_p2"] <= lookup["hi2"])))
+        & ((n < 3) | in_box(a[parts], lookup["low"], lookup["high"]))
     )
     cand = a.join(lookup, cond, "inner").select(
-        *[a[c] for c in addresses.columns],
-        F.struct(lookup["pri"], lookup["aord"], lookup["ord"], lookup["pid"]).alias("_cand"),
+        *[a[c] for c in addresses.columns], lookup["rank"].alias("_rank"), lookup["pid"].alias("_pid")
     )
     others = [c for c in addresses.columns if c not in address_keys]
     return cand.groupBy(*address_keys).agg(
-        *[F.first(c).alias(c) for c in others], F.min("_cand").getField("pid").alias("pid")
+        *[F.first(c).alias(c) for c in others], F.min_by("_pid", "_rank").alias("pid")
     )
 
 

@@ -54,7 +54,8 @@ YEARS = (2015, 2016, 2017, 2018, 2019)
 _VIOLATION_ROWS = f"""
   SELECT
     CASE WHEN l_orderkey % 50 = 0 THEN ''
-         ELSE strftime(l_shipdate, '%m/%d/') || CAST(year(l_shipdate) + 20 AS VARCHAR) END AS issue_date,
+         ELSE lpad(CAST(month(l_shipdate) AS VARCHAR), 2, '0') || '/' || lpad(CAST(day(l_shipdate) AS VARCHAR), 2, '0')
+              || '/' || CAST(year(l_shipdate) + 20 AS VARCHAR) END AS issue_date,
     {_case_pick(f'l_suppkey % {len(PROBE_BOROUGHS)}', PROBE_BOROUGHS)} AS county,
     CASE (l_orderkey + l_linenumber) % 10
       WHEN 0 THEN CAST(CAST(l_quantity AS INT) AS VARCHAR)

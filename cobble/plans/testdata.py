@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cobble.functions.streets import ALL_BOROUGH_SPELLINGS
-from cobble.session import table
+from cobble.session import shared_scratch, spread, table
 
 # Fixed values of the test binding (not of the reference): the six part types of the
 # test tables, used to spell alias streets, and the borough field values of probe rows
@@ -22,19 +22,38 @@ ORDINAL_ENDINGS = ("th st", "st st", "nd st")
 
 
 def _pick(index, values) -> F.Column:
-    """values[index] for a 0-based integer column (a CASE over a fixed list)."""
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(index == i, F.lit(v)) if expr is None else expr.when(index == i, F.lit(v))
-    return expr
+    """values[index] for a 0-based integer column (one array lookup, not a CASE chain that
+    the optimizer would copy into every predicate on the picked value)."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+
+
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def written_once(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
+    """Write a derived input once per session to the shared checkpoint folder and read it
+    back: the raw input stands in for a set of CSV files, and like them it is scanned in
+    parallel splits (the test tables are single row groups, which Spark cannot split)."""
+    key = (spark.sparkContext.applicationId, name, sf_dir)
+    path = _WRITTEN.get(key)
+    if path is None:
+        path = shared_scratch(spark, name)
+        build().write.mode("overwrite").parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(path)
 
 
 def violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw violation rows, derived from lineitem and written once (see ``written_once``)."""
+    return written_once(spark, "violation_rows", sf_dir, lambda: derive_violation_rows(spark, sf_dir))
+
+
+def derive_violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem -> raw violation rows: issue_date 'MM/dd/yyyy', county, house_number, street_name.
 
     Years are shifted by 20 (1995-2001 -> 2015-2021) so the 2015-2019 filter bites.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"))
     q = F.col("l_quantity").cast("int").cast("string")
     ln = F.col("l_linenumber").cast("string")
     n = (F.col("l_suppkey") % 25 + 1).cast("string")
@@ -59,7 +78,13 @@ def violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(n, F.lit("rd ave")))
     )
     date = F.when(F.col("l_orderkey") % 50 == 0, F.lit("")).otherwise(
-        F.concat(F.date_format("l_shipdate", "MM/dd/"), (F.year("l_shipdate") + 20).cast("string"))
+        F.concat(
+            F.lpad(F.month("l_shipdate").cast("string"), 2, "0"),
+            F.lit("/"),
+            F.lpad(F.dayofmonth("l_shipdate").cast("string"), 2, "0"),
+            F.lit("/"),
+            (F.year("l_shipdate") + 20).cast("string"),
+        )
     )
     return li.select(
         date.alias("issue_date"),

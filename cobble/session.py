@@ -64,3 +64,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     for n in names:
         table(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's task slots when a scan yields fewer
+    partitions than there are slots (one unsplittable file or row group, a multi-line CSV).
+
+    Use before CPU-heavy per-row work (parsing, tokenising). A large input already has
+    at least that many splits, and then this is a no-op that adds no shuffle.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
