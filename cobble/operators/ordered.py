@@ -136,3 +136,9 @@ def max_concurrency(
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """Top-k by an explicit total order (TakeOrderedAndProject: per-task top-k, then merge)."""
     return df.orderBy(*order).limit(k)
+
+
+def first_lines(df: DataFrame, ordinal: str, n: int) -> DataFrame:
+    """The first ``n`` rows by a stored input ordinal (K5): a filter, not ``limit``, so the
+    choice of rows does not depend on how the input was split."""
+    return df.filter(F.col(ordinal) < F.lit(n))

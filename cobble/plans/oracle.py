@@ -480,3 +480,18 @@ SELECT pid, {", ".join(f"y{y}" for y in _TY)}, slope, CAST(g.copy AS INT) AS cop
 FROM joined, LATERAL (SELECT unnest(generate_series(1, coalesce(joined.n, 1))) AS copy) g
 ORDER BY pid, copy
 """
+
+ORACLES["csv_roundtrip"] = """
+SELECT p_partkey, p_name || ', "' || p_type || '"' || chr(10) || p_brand AS description,
+       CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS price
+FROM part
+"""
+
+ORACLES["text_roundtrip"] = (
+    "SELECT pid, " + ", ".join(f"y{y}" for y in _TY) + ", slope FROM ("
+    + ORACLES["yearly_trend"].replace("ORDER BY pid, copy", "") + ")"
+)
+
+ORACLES["id_list"] = "SELECT c_custkey AS pid FROM customer UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 7 = 0"
+
+ORACLES["feature_explode"] = f"SELECT * FROM ({_FEATURES})"

@@ -467,3 +467,85 @@ def reconcile_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cobble.operators.aggregates import sum_of_years
 
     return sum_of_years(violations_by_segment(spark, sf_dir), YEARS)
+
+
+# --------------------------------------------------------------------------- sources and sinks
+
+
+@register("csv_roundtrip")
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part rows with commas, quotes and newlines inside fields, written as CSV to the shared
+    folder and read back as multi-line quoted CSV (IO2, IO3, IO11, IO12, IO13, F19)."""
+    from cobble.session import shared_scratch
+    from cobble.sources.io import read_multiline_csv, write_csv
+
+    p = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("Part ID"),
+        F.concat("p_name", F.lit(', "'), "p_type", F.lit('"\n'), "p_brand").alias("Description"),
+        F.format_number("p_retailprice", 2).alias("Price"),
+    )
+    path = shared_scratch(spark, "csv_roundtrip")
+    write_csv(p, path, header=True)
+    back = read_multiline_csv(spark, path, "`Part ID` STRING, Description STRING, Price STRING")
+    return back.select(
+        F.col("Part ID").cast("bigint").alias("p_partkey"),
+        F.col("Description").alias("description"),
+        F.regexp_replace("Price", ",", "").cast("decimal(18,2)").cast("double").alias("price"),
+    )
+
+
+@register("text_roundtrip")
+def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly-trend lines written as ', '-joined text into two folders, read back through one
+    glob, split and parsed (IO1, IO14, U4, S4)."""
+    from cobble.session import shared_scratch
+    from cobble.sources.io import read_text, write_lines
+
+    rep = yearly_trend(spark, sf_dir)
+    ycols = [f"y{y}" for y in TREND_YEARS]
+    base = shared_scratch(spark, "text_roundtrip")
+    write_lines(rep.filter(F.col("pid") % 2 == 0), f"{base}/part=even", ["pid", *ycols, "slope"])
+    write_lines(rep.filter(F.col("pid") % 2 == 1), f"{base}/part=odd", ["pid", *ycols, "slope"])
+    lines = read_text(spark, f"{base}/part=*")
+    f = F.split("value", ", ", -1)
+    return lines.select(
+        F.element_at(f, 1).cast("bigint").alias("pid"),
+        *[F.element_at(f, i + 2).cast("bigint").alias(c) for i, c in enumerate(ycols)],
+        F.element_at(f, len(ycols) + 2).cast("double").alias("slope"),
+    )
+
+
+@register("id_list")
+def id_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer ids written as comma-separated lines and read back as rows (IO8)."""
+    from cobble.session import shared_scratch
+    from cobble.sources.io import read_id_list, write_id_list
+
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pid"))
+    path = shared_scratch(spark, "id_list")
+    write_id_list(c.unionByName(c.filter(F.col("pid") % 7 == 0)), path)
+    return read_id_list(spark, path)
+
+
+FEATURE_PROPS = [
+    "physicalid", "st_label", "full_stree", "borocode", "l_low_hn", "l_high_hn", "r_low_hn", "r_high_hn", "ord"
+]
+
+
+@register("feature_explode")
+def feature_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment features written as GeoJSON Feature lines, read back to property columns
+    (IO7, IO15)."""
+    from pyspark.sql import types as T
+
+    from cobble.session import shared_scratch
+    from cobble.sources.io import read_geojson_features, write_feature_lines
+
+    path = shared_scratch(spark, "features")
+    write_feature_lines(TD.segment_features(spark, sf_dir), path, FEATURE_PROPS)
+    props = T.StructType(
+        [T.StructField("physicalid", T.LongType())]
+        + [T.StructField(c, T.StringType()) for c in FEATURE_PROPS[1:-1]]
+        + [T.StructField("ord", T.LongType())]
+    )
+    return read_geojson_features(spark, path, props)
