@@ -86,6 +86,40 @@ def first_per_group(df: DataFrame, group: Column | str, order_cols: Sequence[str
     )
 
 
+def level_summaries(
+    df: DataFrame,
+    order_cols: Sequence[str],
+    delta: Column,
+    peak_at: Column,
+    num_buckets: int | None = None,
+) -> DataFrame:
+    """One row per ordered range: ``_bucket``, ``_net`` (sum of deltas), ``_peak`` (highest
+    in-range running total at a peak row; NULL when the range has none) and ``_first``
+    (the range's first order key). Zero deltas are dropped first."""
+    d = df.select(*order_cols, delta.cast("bigint").alias("_d"), peak_at.alias("_p")).filter(F.col("_d") != 0)
+    b = range_buckets(d, order_cols, num_buckets)
+    w = Window.partitionBy(BUCKET).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    levels = b.select(
+        BUCKET, "_d", F.when(F.col("_p"), F.sum("_d").over(w)).alias("_lvl"), F.struct(*order_cols).alias("_o")
+    )
+    return levels.groupBy(BUCKET).agg(
+        F.sum("_d").alias("_net"), F.max("_lvl").alias("_peak"), F.min("_o").alias("_first")
+    )
+
+
+def stitch_levels(summaries: DataFrame, order_col: str, net: str = "_net", peak: str = "_peak") -> DataFrame:
+    """Fold ordered (net, peak) summaries: a range's offset is the sum of the nets before it;
+    returns one row (``_net``, ``_peak``) for the whole sequence. The window runs over one
+    row per range, never over raw rows."""
+    before = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum(net).over(before), F.lit(0))
+    return summaries.select(F.col(net).alias("_n"), (offset + F.col(peak)).alias("_abs"), "_first").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("_net"),
+        F.max("_abs").cast("bigint").alias("_peak"),
+        F.min("_first").alias("_first"),
+    )
+
+
 def max_running_level(
     df: DataFrame,
     order_cols: Sequence[str],
@@ -100,16 +134,8 @@ def max_running_level(
     ordered range: net change and highest in-range prefix at peak rows; then the offset of
     each range is the sum of the nets before it (a window over one row per range).
     """
-    d = df.select(*order_cols, delta.cast("bigint").alias("_d"), peak_at.alias("_p")).filter(F.col("_d") != 0)
-    b = range_buckets(d, order_cols, num_buckets)
-    w = Window.partitionBy(BUCKET).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    levels = b.select(BUCKET, "_d", F.when(F.col("_p"), F.sum("_d").over(w)).alias("_lvl"))
-    per_range = levels.groupBy(BUCKET).agg(F.sum("_d").alias("_net"), F.max("_lvl").alias("_peak"))
-    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("_net").over(before), F.lit(0))
-    return per_range.select((offset + F.col("_peak")).alias("_abs")).agg(
-        F.greatest(F.lit(0), F.coalesce(F.max("_abs"), F.lit(0))).cast("bigint").alias(out)
-    )
+    total = stitch_levels(level_summaries(df, order_cols, delta, peak_at, num_buckets), BUCKET)
+    return total.select(F.greatest(F.lit(0), F.coalesce(F.col("_peak"), F.lit(0))).cast("bigint").alias(out))
 
 
 def max_concurrency(

@@ -495,3 +495,13 @@ ORACLES["text_roundtrip"] = (
 ORACLES["id_list"] = "SELECT c_custkey AS pid FROM customer UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 7 = 0"
 
 ORACLES["feature_explode"] = f"SELECT * FROM ({_FEATURES})"
+
+ORACLES["stream_hour_histogram"] = ORACLES["hour_histogram"]
+ORACLES["stream_first_event_of_day"] = ORACLES["first_event_of_day"]
+ORACLES["stream_max_concurrent_events"] = ORACLES["max_concurrent_events"]
+ORACLES["stream_revenue"] = """
+WITH per AS (
+  SELECT event_type, user_id, sum(CAST(value AS DECIMAL(18,2))) AS amt FROM events GROUP BY event_type, user_id
+)
+SELECT event_type, CAST(count(*) AS BIGINT) AS users, CAST(sum(amt) AS DOUBLE) AS revenue FROM per GROUP BY event_type
+"""

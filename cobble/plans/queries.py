@@ -549,3 +549,69 @@ def feature_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
         + [T.StructField("ord", T.LongType())]
     )
     return read_geojson_features(spark, path, props)
+
+
+# --------------------------------------------------------------------------- streaming
+
+
+def _event_files(spark: SparkSession, sf_dir: str) -> str:
+    """The events table as time-ranged files (each file a disjoint stretch of time), the
+    shape of a stream's arriving files; written once per session."""
+    return TD.written_path(
+        spark,
+        "event_files",
+        sf_dir,
+        lambda: table(spark, sf_dir, "events")
+        .select("event_id", "ts", "user_id", "event_type", "value")
+        .repartitionByRange(8, "ts", "event_id"),
+    )
+
+
+def _event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
+    from cobble.sources.io import read_stream
+
+    path = _event_files(spark, sf_dir)
+    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
+    return read_stream(spark, path, schema, files_per_batch=files_per_batch)
+
+
+@register("stream_hour_histogram")
+def stream_hour_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 / IO10: hour histogram over a file stream of events."""
+    from cobble.streaming import jobs
+
+    return jobs.run_available(spark, jobs.hour_histogram(_event_stream(spark, sf_dir, 2)), "stream_hour_histogram")
+
+
+@register("stream_first_event_of_day")
+def stream_first_event_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First event of each day over a file stream."""
+    from cobble.streaming import jobs
+
+    cols = ["event_id", "ts", "user_id", "event_type", "value"]
+    s = jobs.first_event_of_day(_event_stream(spark, sf_dir, 2), cols)
+    return jobs.run_available(spark, s, "stream_first_event_of_day")
+
+
+@register("stream_max_concurrent_events")
+def stream_max_concurrent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """click/purchase level maximum over a file stream, one summary row per batch."""
+    from cobble.operators.ordered import stitch_levels
+    from cobble.streaming import jobs
+
+    delta = F.when(F.col("event_type") == "click", 1).when(F.col("event_type") == "purchase", -1).otherwise(0)
+    step = jobs.level_batch_summary(["ts", "event_id"], delta, F.col("event_type") == "click")
+    rows = jobs.run_available(spark, _event_stream(spark, sf_dir, 1), "stream_levels", mode="append", per_batch=step)
+    total = stitch_levels(rows, "_first")
+    return total.select(F.greatest(F.lit(0), F.coalesce("_peak", F.lit(0))).cast("bigint").alias("max_level"))
+
+
+@register("stream_revenue")
+def stream_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct users and value total per event type over a file stream."""
+    from cobble.streaming import jobs
+
+    users, total = jobs.distinct_users_and_total(_event_stream(spark, sf_dir, 2), "event_type", "user_id", "value")
+    u = jobs.run_available(spark, users, "stream_users")
+    t = jobs.run_available(spark, total, "stream_total")
+    return u.join(t, "event_type").select("event_type", "users", F.col("_amt").cast("double").alias("revenue"))

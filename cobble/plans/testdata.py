@@ -34,13 +34,18 @@ def written_once(spark: SparkSession, name: str, sf_dir: str, build) -> DataFram
     """Write a derived input once per session to the shared checkpoint folder and read it
     back: the raw input stands in for a set of CSV files, and like them it is scanned in
     parallel splits (the test tables are single row groups, which Spark cannot split)."""
+    return spark.read.parquet(written_path(spark, name, sf_dir, build))
+
+
+def written_path(spark: SparkSession, name: str, sf_dir: str, build) -> str:
+    """Folder of the once-written table ``name`` for ``sf_dir`` (written on first use)."""
     key = (spark.sparkContext.applicationId, name, sf_dir)
     path = _WRITTEN.get(key)
     if path is None:
         path = shared_scratch(spark, name)
         build().write.mode("overwrite").parquet(path)
         _WRITTEN[key] = path
-    return spark.read.parquet(path)
+    return path
 
 
 def violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
