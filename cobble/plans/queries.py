@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cobble.operators import violations as V
 from cobble.plans import testdata as TD
-from cobble.session import table
+from cobble.session import spread, table
 
 YEARS = (2015, 2016, 2017, 2018, 2019)
 
@@ -173,7 +173,7 @@ def top_station_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
 
 
@@ -190,7 +190,7 @@ def _lower_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cobble.functions.text import word_tokens
     from cobble.operators.aggregates import token_counts
 
-    d = table(spark, sf_dir, "documents").select("text")
+    d = spread(table(spark, sf_dir, "documents").select("text"))
     return token_counts(d, F.transform(word_tokens("text", with_apostrophe=True), lambda w: F.lower(w)))
 
 
@@ -229,7 +229,7 @@ def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Capitalised phrases per document, in text order."""
     from cobble.functions.text import keywords as kw
 
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select("doc_id", F.posexplode(kw("text")).alias("pos", "keyword"))
 
 
