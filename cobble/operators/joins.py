@@ -89,7 +89,14 @@ def street_lookup(segments: DataFrame, aliases: DataFrame) -> DataFrame:
     # Ends of unequal length can never hold a house number (its parts must match both).
     rows = rows.filter(F.size("low") == F.size("high"))
     w = Window.partitionBy("key", "borough", "side").orderBy("pri", "aord", "ord")
-    return rows.select(
+    ranked = rows.select("key", "borough", "side", "low", "high", "pid", F.row_number().over(w).cast("bigint").alias("rank"))
+    # Among rows of one (key, borough, side) with the very same range only the first can
+    # ever be chosen: keep that one. Exact, and it bounds the candidates an address can
+    # meet by the number of distinct ranges rather than the number of segments.
+    best = ranked.groupBy("key", "borough", "side", "low", "high").agg(
+        F.min("rank").alias("rank"), F.min_by("pid", "rank").alias("pid")
+    )
+    return best.select(
         "key",
         "borough",
         "side",
@@ -100,7 +107,7 @@ def street_lookup(segments: DataFrame, aliases: DataFrame) -> DataFrame:
         F.try_element_at("high", F.lit(2)).alias("hi2"),
         "low",
         "high",
-        F.row_number().over(w).cast("bigint").alias("rank"),
+        "rank",
         "pid",
     )
 
