@@ -48,9 +48,24 @@ def written_path(spark: SparkSession, name: str, sf_dir: str, build) -> str:
     return path
 
 
+VIOLATION_HEADER = ("Issue Date", "Violation County", "House Number", "Street Name")
+
+
 def violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw violation rows, derived from lineitem and written once (see ``written_once``)."""
-    return written_once(spark, "violation_rows", sf_dir, lambda: derive_violation_rows(spark, sf_dir))
+    """Raw violation rows, derived from lineitem and written once as headed CSV files (the
+    reference's input form), read back by column position; the header line of every file
+    is dropped by value."""
+    from cobble.sources.io import read_positional_csv, write_csv
+
+    key = (spark.sparkContext.applicationId, "violation_csv", sf_dir)
+    path = _WRITTEN.get(key)
+    if path is None:
+        path = shared_scratch(spark, "violation_csv")
+        raw = derive_violation_rows(spark, sf_dir)
+        write_csv(raw.toDF(*VIOLATION_HEADER), path, header=True)
+        _WRITTEN[key] = path
+    names = ["issue_date", "county", "house_number", "street_name"]
+    return read_positional_csv(spark, path, names, header_first=VIOLATION_HEADER[0])
 
 
 def derive_violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

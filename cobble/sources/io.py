@@ -30,7 +30,7 @@ def read_csv_records(
 ) -> DataFrame:
     """Headed CSV as named records: the header line of every file is skipped, quoted
     commas stay inside their field (IO2, IO5, IO6)."""
-    return spark.read.csv(paths, schema=schema, header=header, mode="PERMISSIVE")
+    return spark.read.csv(paths, schema=schema, header=header, mode="PERMISSIVE", quote='"', escape='"')
 
 
 def read_multiline_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str) -> DataFrame:
@@ -45,7 +45,8 @@ def read_positional_csv(spark: SparkSession, paths: str | Sequence[str], names:
     does not shift the later columns (a plain ``split(',')`` would). Rows whose first field
     equals ``header_first`` are dropped wherever they occur (IO5)."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = spark.read.csv(paths, schema=schema, header=False)
+    # Fields stay text as written: an empty field is '' (not NULL), spaces are kept.
+    df = spark.read.csv(paths, schema=schema, header=False, quote='"', escape='"', nullValue="\u0000")
     if header_first is not None:
         df = df.filter(F.col(names[0]).isNull() | (F.col(names[0]) != F.lit(header_first)))
     return df
@@ -102,8 +103,17 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt:
 
 def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "overwrite") -> None:
     """CSV with fields quoted only when needed (a comma, quote or newline inside); inner
-    quotes are escaped by doubling (IO11, IO12, IO13)."""
-    df.write.mode(mode).csv(path, header=header, quote='"', escape='"', quoteAll=False)
+    quotes are escaped by doubling (IO11, IO12, IO13). Leading and trailing spaces are kept
+    (Spark's writer would trim them by default)."""
+    df.write.mode(mode).csv(
+        path,
+        header=header,
+        quote='"',
+        escape='"',
+        quoteAll=False,
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def write_lines(df: DataFrame, path: str, cols: Sequence[str | Column], sep: str = ", ", mode: str = "overwrite") -> None:
