@@ -57,6 +57,27 @@ def first_event_of_day(events: DataFrame, cols: list[str]) -> DataFrame:
     )
 
 
+def event_time(ts: str = "ts") -> Column:
+    """Watermarks need TIMESTAMP, not TIMESTAMP_NTZ. Casting reads the stored wall-clock in
+    the session zone; shifting back by that zone's offset makes the instant equal the
+    wall-clock read as UTC, so event-time windows fall on wall-clock days in any session."""
+    return F.from_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone())
+
+
+def first_event_of_day_windowed(events: DataFrame, cols: list[str], late: str = "1 hour") -> DataFrame:
+    """X2 for append mode: a one-day event-time window per day with a watermark, so each
+    day is emitted once, when no event later than ``late`` behind it can still arrive, and
+    its state is then dropped. Events older than the watermark are ignored."""
+    rec = F.struct(*[F.col(c) for c in cols])
+    return (
+        events.withColumn("_et", event_time())
+        .withWatermark("_et", late)
+        .groupBy(F.window("_et", "1 day").alias("_w"))
+        .agg(F.min_by(rec, F.struct("ts", "event_id")).alias("_r"))
+        .select(F.date_format(F.col("_r.ts"), "yyyy-MM-dd").alias("day"), "_r.*")
+    )
+
+
 def distinct_users_and_total(events: DataFrame, key: str, member: str, amount: str) -> tuple[DataFrame, DataFrame]:
     """Exact distinct members per key, and the amount total per key, as two streams.
 
