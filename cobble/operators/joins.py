@@ -52,11 +52,15 @@ def broadcast_if_bounded(
     """Hint ``broadcast`` only when the measured size is within bounds; otherwise leave the
     join to a shuffle (sort-merge, with AQE's skew handling). The caller should pass a
     persisted or cheap-to-recompute DataFrame, since it is measured by running it."""
-    rows, size = measure(df)
+    # Measure a cached copy: when it is small enough, the join then reads the blocks the
+    # measurement filled (lost blocks are recomputed from lineage); otherwise drop them.
+    cached = df.cache()
+    rows, size = measure(cached)
     ok = rows <= max_rows and size <= max_bytes
-    # Within the bound the lookup is small: keep the measured copy for the join itself
-    # (lost blocks are recomputed from lineage).
-    return (F.broadcast(df.cache()) if ok else df), SizeCheck(rows, size, ok)
+    if not ok:
+        cached.unpersist()
+        return df, SizeCheck(rows, size, ok)
+    return F.broadcast(cached), SizeCheck(rows, size, ok)
 
 
 def street_lookup(segments: DataFrame, aliases: DataFrame) -> DataFrame:

@@ -563,7 +563,7 @@ def _event_files(spark: SparkSession, sf_dir: str) -> str:
         sf_dir,
         lambda: table(spark, sf_dir, "events")
         .select("event_id", "ts", "user_id", "event_type", "value")
-        .repartitionByRange(8, "ts", "event_id"),
+        .repartitionByRange(4, "ts", "event_id"),
     )
 
 

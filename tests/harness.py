@@ -48,14 +48,33 @@ def _norm(v):
     return v
 
 
+# Spark type -> DuckDB type name of the same kind.
+_TYPES = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     s_cols = list(spark_df.columns)
+    s_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in spark_df.schema.fields}
     s_rows = spark_df.collect()
+    rel = con.sql(sql)
+    d_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
     d = con.execute(sql)
     d_cols = [c[0] for c in d.description]
     d_rows = d.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={s_cols} duck={d_cols}"
+    bad_types = {c: (s_types[c], d_types.get(c)) for c in s_cols if s_types[c] != d_types.get(c)}
+    if bad_types:
+        return False, f"types differ (spark, duck): {bad_types}"
     order = sorted(s_cols)
     si = [s_cols.index(c) for c in order]
     di = [d_cols.index(c) for c in order]
