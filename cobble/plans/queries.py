@@ -33,12 +33,16 @@ def _violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.prepare_violations(raw, "issue_date", "county", "house_number", "street_name", YEARS)
 
 
+def _violations_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    segments, aliases = V.prepare_segments(TD.segment_features(spark, sf_dir))
+    roster = TD.segment_roster(spark, sf_dir)
+    return V.violations_report(_violations(spark, sf_dir), segments, aliases, roster, YEARS)
+
+
 @register("violations_by_segment")
 def violations_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: roster ids with yearly violation counts and slope."""
-    segments, aliases = V.prepare_segments(TD.segment_features(spark, sf_dir))
-    roster = TD.segment_roster(spark, sf_dir)
-    return V.violations_report(_violations(spark, sf_dir), segments, aliases, roster, YEARS).orderBy("pid", "copy")
+    return _violations_report(spark, sf_dir).orderBy("pid", "copy")
 
 
 @register("resolve_segments")
@@ -466,7 +470,8 @@ def reconcile_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sum of every yearly count of the flagship report."""
     from cobble.operators.aggregates import sum_of_years
 
-    return sum_of_years(violations_by_segment(spark, sf_dir), YEARS)
+    # The total does not depend on row order: sum the report before its final sort.
+    return sum_of_years(_violations_report(spark, sf_dir), YEARS)
 
 
 # --------------------------------------------------------------------------- sources and sinks
