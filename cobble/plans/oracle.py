@@ -505,3 +505,5 @@ WITH per AS (
 )
 SELECT event_type, CAST(count(*) AS BIGINT) AS users, CAST(sum(amt) AS DOUBLE) AS revenue FROM per GROUP BY event_type
 """
+
+ORACLES["revenue_csv"] = ORACLES["product_revenue"]

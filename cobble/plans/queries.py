@@ -620,3 +620,34 @@ def stream_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = jobs.run_available(spark, users, "stream_users")
     t = jobs.run_available(spark, total, "stream_total")
     return u.join(t, "event_type").select("event_type", "users", F.col("_amt").cast("double").alias("revenue"))
+
+
+# Fixed values that must equal the reference's: header of the revenue report.
+REVENUE_HEADER = ("Product ID", " Customer Count", " Total Revenue")
+
+
+def write_revenue_report(df: DataFrame, path: str) -> None:
+    """Revenue report as headed CSV: 'Product ID, Customer Count, Total Revenue', money with
+    two decimals (IO12)."""
+    from cobble.sources.io import write_csv
+
+    out = df.select(
+        F.col("product").cast("string"),
+        F.col("customers").cast("string"),
+        F.col("revenue").cast("decimal(18,2)").cast("string"),
+    ).toDF(*REVENUE_HEADER)
+    write_csv(out, path, header=True)
+
+
+@register("revenue_csv")
+def revenue_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product revenue written as the headed CSV report and read back (IO12, S13)."""
+    from cobble.session import shared_scratch
+    from cobble.sources.io import read_csv_records
+
+    path = shared_scratch(spark, "revenue_csv")
+    write_revenue_report(product_revenue(spark, sf_dir), path)
+    back = read_csv_records(spark, path, "product STRING, customers STRING, revenue STRING")
+    return back.select(
+        F.col("product").cast("bigint"), F.col("customers").cast("bigint"), F.col("revenue").cast("decimal(18,2)").cast("double")
+    )

@@ -100,3 +100,17 @@ def test_roster_outer_join_keeps_repeats(spark):
     res = spark.createDataFrame([(1, 3), (9, 4)], "pid long, n long")
     got = sorted((r["pid"], r["n"], r["copy"]) for r in roster_outer_join(roster, res, "pid", ["n"]).collect())
     assert got == [(1, 3, 1), (1, 3, 2), (2, 0, 1), (9, 4, 1)]
+
+
+def test_revenue_report_header_and_money(spark):
+    import glob
+
+    from cobble.plans.queries import write_revenue_report
+    from cobble.session import shared_scratch
+
+    df = spark.createDataFrame([(7, 2, 10.5), (8, 1, 0.1)], "product long, customers long, revenue double")
+    path = shared_scratch(spark, "rev_test")
+    write_revenue_report(df.coalesce(1), path)
+    lines = open(sorted(glob.glob(path + "/part-*.csv"))[0]).read().splitlines()
+    assert lines[0] == "Product ID, Customer Count, Total Revenue"
+    assert sorted(lines[1:]) == ["7,2,10.50", "8,1,0.10"]
