@@ -507,3 +507,31 @@ SELECT event_type, CAST(count(*) AS BIGINT) AS users, CAST(sum(amt) AS DOUBLE) A
 """
 
 ORACLES["revenue_csv"] = ORACLES["product_revenue"]
+
+ORACLES["word_count_split"] = """
+WITH w AS (SELECT unnest(string_split_regex(text, '\\s+')) AS word FROM documents)
+SELECT lower(word) AS word, CAST(count(*) AS BIGINT) AS n FROM w WHERE word <> '' GROUP BY lower(word)
+"""
+
+ORACLES["unknown_streets"] = (
+    _RESOLVE.split("addr0 AS")[0].rstrip().rstrip(",")
+    + """,
+feat AS (""" + _FEATURES + """),
+seg0 AS (
+  SELECT """ + _street_key_sql("st_label", False) + """ AS label, """ + _street_key_sql("full_stree", False) + """ AS alias,
+         TRY_CAST(borocode AS INT) AS borough,
+         """ + _ends_sql("l_low_hn") + """ AS l_low, """ + _ends_sql("l_high_hn") + """ AS l_high,
+         """ + _ends_sql("r_low_hn") + """ AS r_low, """ + _ends_sql("r_high_hn") + """ AS r_high
+  FROM feat
+),
+seg AS (
+  SELECT * FROM seg0
+  WHERE label IS NOT NULL AND alias IS NOT NULL AND borough IS NOT NULL
+    AND l_low IS NOT NULL AND l_high IS NOT NULL AND r_low IS NOT NULL AND r_high IS NOT NULL
+),
+keys AS (SELECT label AS street FROM seg UNION ALL SELECT alias FROM seg)
+SELECT street, CAST(count(*) AS BIGINT) AS violations FROM viol
+WHERE NOT EXISTS (SELECT 1 FROM keys k WHERE k.street = viol.street)
+GROUP BY street
+"""
+)

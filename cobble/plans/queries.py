@@ -651,3 +651,23 @@ def revenue_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(
         F.col("product").cast("bigint"), F.col("customers").cast("bigint"), F.col("revenue").cast("decimal(18,2)").cast("double")
     )
+
+
+@register("word_count_split")
+def word_count_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lower-cased counts of whitespace-separated tokens, str.split() style."""
+    from cobble.functions.text import whitespace_tokens
+    from cobble.operators.aggregates import token_counts
+
+    d = spread(table(spark, sf_dir, "documents").select("text"))
+    return token_counts(d, F.transform(whitespace_tokens("text"), lambda w: F.lower(w)))
+
+
+@register("unknown_streets")
+def unknown_streets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violation street keys that name no segment label or alias, with their violation
+    counts: a table anti-join against the lookup keys (J6)."""
+    segments, aliases = V.prepare_segments(TD.segment_features(spark, sf_dir))
+    keys = segments.select(F.col("label").alias("street")).unionByName(aliases.select(F.col("alias").alias("street")))
+    v = _violations(spark, sf_dir).select("street")
+    return v.join(keys, "street", "left_anti").groupBy("street").agg(F.count(F.lit(1)).alias("violations"))
