@@ -54,6 +54,11 @@ def blank_to_null(c) -> Column:
     return F.when(F.trim(_c(c)) == F.lit(""), F.lit(None)).otherwise(_c(c))
 
 
+def _trim_letter(p: Column) -> Column:
+    """A part of two or more characters ending in a non-digit loses that last character."""
+    return F.when((F.length(p) >= 2) & ~F.substring(p, -1, 1).rlike("[0-9]"), p.substr(F.lit(1), F.length(p) - 1)).otherwise(p)
+
+
 def house_parts(c) -> Column:
     """House number -> ARRAY<BIGINT>, or NULL when it cannot match any segment.
 
@@ -61,18 +66,28 @@ def house_parts(c) -> Column:
     character ('35A' -> 35). The number is rejected when a part is empty ('3-'), or when a
     one-character part occurs while the (trimmed) first part is not all digits. Every part
     must then read as an integer ('12AB' -> '12A' -> rejected).
+
+    Numbers of one or two parts (nearly all) take a scalar path that stays in generated
+    code; longer ones use the array form.
     """
     raw = F.split(_c(c), "-", -1)
-    trimmed = F.transform(
-        raw,
-        lambda p: F.when(
-            (F.length(p) >= 2) & ~F.substring(p, -1, 1).rlike("[0-9]"), p.substr(F.lit(1), F.length(p) - 1)
-        ).otherwise(p),
-    )
-    first_digits = F.element_at(trimmed, 1).rlike(r"\A[0-9]+\z")
-    rejected = F.exists(raw, lambda p: (F.length(p) == 0) | ((F.length(p) == 1) & ~first_digits))
+    n = F.size(raw)
+    r1, r2 = F.element_at(raw, 1), F.try_element_at(raw, F.lit(2))
+    t1, t2 = _trim_letter(r1), _trim_letter(r2)
+    first_digits = t1.rlike(r"\A[0-9]+\z")
+
+    def bad(r: Column) -> Column:
+        return (F.length(r) == 0) | ((F.length(r) == 1) & ~first_digits)
+
+    i1, i2 = t1.try_cast("bigint"), t2.try_cast("bigint")
+    one = F.when(bad(r1) | i1.isNull(), F.lit(None)).otherwise(F.array(i1))
+    two = F.when(bad(r1) | bad(r2) | i1.isNull() | i2.isNull(), F.lit(None)).otherwise(F.array(i1, i2))
+
+    trimmed = F.transform(raw, _trim_letter)
+    rejected = F.exists(raw, bad)
     ints = F.transform(trimmed, lambda p: p.try_cast("bigint"))
-    return F.when(rejected, F.lit(None)).when(F.exists(ints, lambda v: v.isNull()), F.lit(None)).otherwise(ints)
+    many = F.when(rejected | F.exists(ints, lambda v: v.isNull()), F.lit(None)).otherwise(ints)
+    return F.when(n == 1, one).when(n == 2, two).otherwise(many)
 
 
 def range_ends(c) -> Column:

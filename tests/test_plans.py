@@ -37,3 +37,12 @@ def test_scan_prunes_columns(spark):
     df = QUERIES["hour_histogram"](spark, SF)
     p = plan(df)
     assert "ReadSchema: struct<ts:timestamp_ntz>" in p
+
+
+def test_first_match_adds_no_shuffle_after_broadcast_join(spark):
+    df = QUERIES["resolve_segments"](spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    lines = plan(df).splitlines()
+    top = next(i for i, l in enumerate(lines) if "min_by(_pid" in l and "partial_" not in l)
+    bhj = next(i for i, l in enumerate(lines) if "BroadcastHashJoin" in l and i > top)
+    assert not any("Exchange" in l for l in lines[top:bhj])
