@@ -58,21 +58,30 @@ def drop_header_lines(df: DataFrame, prefix: str, col: str = "value") -> DataFra
 
 
 def read_geojson_features(
-    spark: SparkSession, paths: str | Sequence[str], properties: T.StructType, collection: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    properties: T.StructType,
+    collection: bool = False,
+    ordinal: str | None = None,
 ) -> DataFrame:
     """GeoJSON features -> one row per feature with its properties as columns; geometry is
     dropped (IO7).
 
     ``collection=False`` reads one Feature per line (newline-delimited, splittable: the
     form to keep a large city file in). ``collection=True`` reads FeatureCollection
-    documents, each parsed whole by one task, then spread.
+    documents, each parsed whole by one task, then spread. ``ordinal`` names a column
+    that keeps the source order of the features.
     """
     feature = T.StructType([T.StructField("type", T.StringType()), T.StructField("properties", properties)])
     if collection:
         doc = T.StructType([T.StructField("type", T.StringType()), T.StructField("features", T.ArrayType(feature))])
         df = spark.read.json(paths, schema=doc, multiLine=True)
-        return spread(df.select(F.explode("features").alias("f"))).select("f.properties.*")
-    return spark.read.json(paths, schema=feature).select("properties.*")
+        f = df.select(F.posexplode("features").alias("_pos", "f"))
+        cols = ["f.properties.*"] + ([F.col("_pos").cast("bigint").alias(ordinal)] if ordinal else [])
+        return spread(f.select(*cols))
+    df = spark.read.json(paths, schema=feature)
+    cols = ["properties.*"] + ([F.monotonically_increasing_id().alias(ordinal)] if ordinal else [])
+    return df.select(*cols)
 
 
 def read_id_list(spark: SparkSession, paths: str | Sequence[str], name: str = "pid") -> DataFrame:
