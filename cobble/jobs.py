@@ -16,6 +16,9 @@ from __future__ import annotations
 import os
 import sys
 
+if __package__ in (None, ""):  # run as a script by spark-submit: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
