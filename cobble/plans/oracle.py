@@ -535,3 +535,5 @@ WHERE NOT EXISTS (SELECT 1 FROM keys k WHERE k.street = viol.street)
 GROUP BY street
 """
 )
+
+ORACLES["keywords_sql"] = ORACLES["keywords"]

@@ -671,3 +671,16 @@ def unknown_streets(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = segments.select(F.col("label").alias("street")).unionByName(aliases.select(F.col("alias").alias("street")))
     v = _violations(spark, sf_dir).select("street")
     return v.join(keys, "street", "left_anti").groupBy("street").agg(F.count(F.lit(1)).alias("violations"))
+
+
+@register("keywords_sql")
+def keywords_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword phrases through SQL: a LATERAL call of the cobble_extract_keywords table
+    function over the documents view (V3)."""
+    from cobble.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    spread(table(spark, sf_dir, "documents").select("doc_id", "text")).createOrReplaceTempView("cobble_documents")
+    return spark.sql(
+        "SELECT d.doc_id, k.pos, k.keyword FROM cobble_documents d, LATERAL cobble_extract_keywords(d.text) k"
+    )
