@@ -114,3 +114,10 @@ def test_revenue_report_header_and_money(spark):
     lines = open(sorted(glob.glob(path + "/part-*.csv"))[0]).read().splitlines()
     assert lines[0] == "Product ID, Customer Count, Total Revenue"
     assert sorted(lines[1:]) == ["7,2,10.50", "8,1,0.10"]
+
+
+def test_first_lines_by_stored_ordinal(spark):
+    # the first n lines by a stored input ordinal, independent of how the rows are split
+    df = spark.createDataFrame([(i, f"w{i % 3}") for i in range(20)], "line_no long, value string").repartition(5)
+    got = sorted(r["line_no"] for r in O.first_lines(df, "line_no", 7).collect())
+    assert got == list(range(7))
