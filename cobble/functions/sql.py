@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from cobble.functions.streets import ORDINAL_SUFFIXES
 from cobble.functions.text import KEYWORD_STOPWORDS, NOT_NUMBER_LABEL, NUMBER_LABEL
 
 _STOP = "(" + ", ".join(f"'{w}'" for w in KEYWORD_STOPWORDS) + ")"
@@ -33,9 +34,11 @@ flatten(transform(split(t, '[.]', -1), s ->
     ws -> array_join(ws, ' '))))
 """
 
-STREET_KEY_SQL = r"""
-regexp_replace(regexp_replace(upper(t), '(?U)(?<!\\S)(\\d\\S*?)(?:TH|ST|ND)(?!\\S)', '$1'), '(?U)\\s+', '')
-"""
+STREET_KEY_SQL = (
+    r"regexp_replace(regexp_replace(upper(t), '(?U)(?<!\\S)(\\d\\S*?)(?:"
+    + "|".join(ORDINAL_SUFFIXES)
+    + r")(?!\\S)', '$1'), '(?U)\\s+', '')"
+)
 
 NUMBER_LABEL_SQL = rf"CASE WHEN t RLIKE '\\A[0-9]+\\z' THEN '{NUMBER_LABEL}' ELSE '{NOT_NUMBER_LABEL}' END"
 

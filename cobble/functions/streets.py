@@ -45,7 +45,8 @@ def street_key(c, strip_ordinals: bool = True) -> Column:
     """
     s = F.upper(_c(c))
     if strip_ordinals:
-        s = F.regexp_replace(s, r"(?U)(?<!\S)(\d\S*?)(?:TH|ST|ND)(?!\S)", "$1")
+        suffix = "|".join(ORDINAL_SUFFIXES)
+        s = F.regexp_replace(s, rf"(?U)(?<!\S)(\d\S*?)(?:{suffix})(?!\S)", "$1")
     return F.regexp_replace(s, r"(?U)\s+", "")
 
 

@@ -175,6 +175,5 @@ def roster_outer_join(roster: DataFrame, results: DataFrame, key: str, fill_cols
     return joined.select(
         key,
         *filled,
-        F.col("_copies").isNull().alias("_extra"),
         F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1)).cast("int"))).alias("copy"),
-    ).drop("_extra")
+    )
