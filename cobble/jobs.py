@@ -67,13 +67,16 @@ def complaints(spark: SparkSession, path: str, out: str, lowercase: bool = False
 
 
 def revenue(spark: SparkSession, path: str, out: str) -> DataFrame:
-    """Sales CSV -> Product ID, Customer Count, Total Revenue (exact distinct customers)."""
+    """Sales CSV -> Product ID, Customer Count, Total Revenue (exact distinct customers), products
+    in order of first appearance in the input."""
     from cobble.plans.queries import write_revenue_report
 
     schema = "`Customer ID` STRING, `Transaction ID` STRING, `Date` STRING, `Product ID` STRING, `Item Cost` STRING"
-    sales = io.read_csv_records(spark, path, schema)
-    rep = A.distinct_and_total(sales.withColumnRenamed("Product ID", "product"), "product", "Customer ID", "Item Cost")
-    write_revenue_report(rep, out)
+    sales = io.read_csv_records(spark, path, schema).withColumn("_row", F.monotonically_increasing_id())
+    rep = A.distinct_and_total(
+        sales.withColumnRenamed("Product ID", "product"), "product", "Customer ID", "Item Cost", first_seen="_row"
+    )
+    write_revenue_report(rep.orderBy("first_seen"), out)
     return rep
 
 

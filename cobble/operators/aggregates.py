@@ -60,18 +60,25 @@ def complaints_report(
     return top_share_report(base, ["product", "year"], "company")
 
 
-def distinct_and_total(df: DataFrame, key: str, member: str, amount: str, money_scale: int = 2) -> DataFrame:
+def distinct_and_total(
+    df: DataFrame, key: str, member: str, amount: str, money_scale: int = 2, first_seen: str | None = None
+) -> DataFrame:
     """key -> exact number of distinct members and the total amount (money summed as decimals).
 
     Two-level: (key, member) partial sums first, then per key count and sum. This is the
     exact form that needs no clustering of the input; a key held by a third of all rows is
     spread over its members in the first shuffle and pre-combined before the second.
+    ``first_seen`` names an input-order column; its minimum per key is kept as ``first_seen``
+    (the order in which keys first appear).
     """
     money = F.col(amount).cast(f"decimal(18,{money_scale})")
-    per_member = df.groupBy(key, member).agg(F.sum(money).alias("_amt"))
+    extra = [F.min(first_seen).alias("_first")] if first_seen else []
+    per_member = df.groupBy(key, member).agg(F.sum(money).alias("_amt"), *extra)
+    extra2 = [F.min("_first").alias("first_seen")] if first_seen else []
     return per_member.groupBy(key).agg(
         F.count(F.lit(1)).alias("customers"),
         F.sum("_amt").cast("double").alias("revenue"),
+        *extra2,
     )
 
 
