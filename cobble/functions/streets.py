@@ -60,6 +60,34 @@ def _trim_letter(p: Column) -> Column:
     return F.when((F.length(p) >= 2) & ~F.substring(p, -1, 1).rlike("[0-9]"), p.substr(F.lit(1), F.length(p) - 1)).otherwise(p)
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _house_parts_sql(col: str) -> str:
+    """SQL text of ``house_parts`` for a column name (one expression, one call to the JVM)."""
+    raw = f"split({col}, '-', -1)"
+
+    def trim(p: str) -> str:
+        return f"(CASE WHEN length({p}) >= 2 AND NOT substring({p}, -1, 1) RLIKE '[0-9]' THEN substr({p}, 1, length({p}) - 1) ELSE {p} END)"
+
+    r1, r2 = f"element_at({raw}, 1)", f"try_element_at({raw}, 2)"
+    t1, t2 = trim(r1), trim(r2)
+    first_digits = rf"({t1} RLIKE '\\A[0-9]+\\z')"
+
+    def bad(r: str) -> str:
+        return f"(length({r}) = 0 OR (length({r}) = 1 AND NOT {first_digits}))"
+
+    i1, i2 = f"try_cast({t1} AS BIGINT)", f"try_cast({t2} AS BIGINT)"
+    ints = f"transform({raw}, p -> try_cast({trim('p')} AS BIGINT))"
+    return (
+        f"CASE WHEN size({raw}) = 1 THEN (CASE WHEN {bad(r1)} OR {i1} IS NULL THEN NULL ELSE array({i1}) END) "
+        f"WHEN size({raw}) = 2 THEN (CASE WHEN {bad(r1)} OR {bad(r2)} OR {i1} IS NULL OR {i2} IS NULL THEN NULL "
+        f"ELSE array({i1}, {i2}) END) "
+        f"ELSE (CASE WHEN exists({raw}, r -> {bad('r')}) OR exists({ints}, v -> v IS NULL) THEN NULL ELSE {ints} END) END"
+    )
+
+
 def house_parts(c) -> Column:
     """House number -> ARRAY<BIGINT>, or NULL when it cannot match any segment.
 
@@ -69,8 +97,11 @@ def house_parts(c) -> Column:
     must then read as an integer ('12AB' -> '12A' -> rejected).
 
     Numbers of one or two parts (nearly all) take a scalar path that stays in generated
-    code; longer ones use the array form.
+    code; longer ones use the array form. Given a column name, the same rules are built
+    as one SQL expression.
     """
+    if isinstance(c, str):
+        return F.expr(_house_parts_sql(_q(c)))
     raw = F.split(_c(c), "-", -1)
     n = F.size(raw)
     r1, r2 = F.element_at(raw, 1), F.try_element_at(raw, F.lit(2))
@@ -93,6 +124,9 @@ def house_parts(c) -> Column:
 
 def range_ends(c) -> Column:
     """Segment end '12' or '12-34' -> ARRAY<BIGINT>; NULL when any part is not an integer."""
+    if isinstance(c, str):
+        ints = f"transform(split({_q(c)}, '-', -1), p -> try_cast(p AS BIGINT))"
+        return F.expr(f"CASE WHEN {_q(c)} IS NULL OR exists({ints}, v -> v IS NULL) THEN NULL ELSE {ints} END")
     ints = F.transform(F.split(_c(c), "-", -1), lambda p: p.try_cast("bigint"))
     return F.when(_c(c).isNull() | F.exists(ints, lambda v: v.isNull()), F.lit(None)).otherwise(ints)
 
