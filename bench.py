@@ -57,6 +57,7 @@ def main() -> None:
             "sec": sec,
             "resolved_per_sec": round(resolved / sec, 1),
             "resolved_per_sec_per_core": round(resolved / sec / cpus, 1),
+            "read_per_sec": round(read / sec, 1),
         }
 
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
