@@ -4,7 +4,7 @@
     spark-submit cobble/jobs.py complaints <complaints csv> <out> [--lowercase]
     spark-submit cobble/jobs.py revenue <sales csv> <out>
     spark-submit cobble/jobs.py schools <sat csv> <school directory csv> <out>
-    spark-submit cobble/jobs.py words <text glob> <out>
+    spark-submit cobble/jobs.py words <text glob> <out> [--first-lines N]
     spark-submit cobble/jobs.py keywords <text glob> <out>
     spark-submit cobble/jobs.py bikes <trips csv> <docking events csv> <out>
 
@@ -96,12 +96,21 @@ def schools(spark: SparkSession, sat_path: str, schools_path: str, out: str, min
     return rep
 
 
-def words(spark: SparkSession, path: str, out: str) -> DataFrame:
-    """Lower-cased [\\w']+ word counts of text files, plus the ten most frequent."""
-    lines = spread(io.read_text(spark, path))
-    counts = A.token_counts(lines, F.transform(X.word_tokens("value", True), lambda w: F.lower(w)))
+def words(spark: SparkSession, path: str, out: str, first_lines: int | None = None) -> DataFrame:
+    """Lower-cased [\\w']+ word counts of text files, the ten most frequent, and the most used
+    word (ties to the greatest word). ``first_lines`` counts only the first n input lines
+    (files in path order): lines carry an input ordinal, and the n smallest are kept."""
+    # Splits are packed into partitions by size, so the row id alone is not path order;
+    # within one file it follows the offset. Order by (file path, row id).
+    lines = io.read_text(spark, path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_ord")
+    )
+    if first_lines is not None:
+        lines = O.top_k(lines, int(first_lines), F.asc("_file"), F.asc("_ord"))
+    counts = A.token_counts(spread(lines), F.transform(X.word_tokens("value", True), lambda w: F.lower(w)))
     io.write_csv(counts, os.path.join(out, "counts"))
     io.write_csv(O.top_k(counts, 10, F.desc("n"), F.asc("word")), os.path.join(out, "top10"))
+    io.write_csv(A.most_frequent(counts, "word", "n"), os.path.join(out, "most_used"))
     return counts
 
 
@@ -151,6 +160,9 @@ def main(argv: list[str]) -> None:
     job, args = argv[1], argv[2:]
     if job == "complaints":
         complaints(spark, args[0], args[1], lowercase="--lowercase" in args)
+    elif job == "words":
+        n = int(args[args.index("--first-lines") + 1]) if "--first-lines" in args else None
+        words(spark, args[0], args[1], first_lines=n)
     else:
         {"violations": violations, "revenue": revenue, "schools": schools, "words": words,
          "keywords": keywords, "bikes": bikes}[job](spark, *args)

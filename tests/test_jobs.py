@@ -137,3 +137,14 @@ def test_words_and_keywords_jobs(spark):
     kw = [r["keyword"] for r in jobs.keywords(spark, f"{base}/t/*.txt", f"{base}/k").orderBy("pos").collect()]
     # sentences end only at ".": the phrase runs on across the newline
     assert kw == ["House of the", "ABC of the the The"]
+
+
+def test_words_job_first_lines(spark):
+    base = shared_scratch(spark, "job_first")
+    _write(f"{base}/t/a.txt", "".join(f"alpha line{i}\n" for i in range(200)))
+    # a second, larger file sorts after a.txt by path even though Spark packs larger splits first
+    _write(f"{base}/t/b.txt", "".join(f"alpha x{i}\n" for i in range(100)) + "".join("omega\n" for _ in range(5000)))
+    counts = {r["word"]: r["n"] for r in jobs.words(spark, f"{base}/t/*.txt", f"{base}/w", first_lines=300).collect()}
+    assert counts["alpha"] == 300 and "omega" not in counts
+    most = _lines(f"{base}/w/most_used")
+    assert most == ["300,alpha"]
