@@ -78,8 +78,10 @@ def street_lookup(segments: DataFrame, aliases: DataFrame) -> DataFrame:
     parts of both ends are split out as plain columns for a code-generated range test.
     """
     seg = segments.select("label", "borough", "l_low", "l_high", "r_low", "r_high", "pid", "ord")
-    by_label = seg.select(F.col("label").alias("key"), "*", F.lit(0).alias("pri"), F.lit(0).cast("bigint").alias("aord"))
-    al = aliases.filter(F.col("alias") != F.col("label")).select("alias", "label", F.col("aord").cast("bigint"))
+    ord_type = seg.schema["ord"].dataType
+    # Label rows share one (empty) alias order; their source order decides among them.
+    by_label = seg.select(F.col("label").alias("key"), "*", F.lit(0).alias("pri"), F.lit(None).cast(ord_type).alias("aord"))
+    al = aliases.filter(F.col("alias") != F.col("label")).select("alias", "label", "aord")
     by_alias = al.join(seg, "label").select(F.col("alias").alias("key"), *seg.columns, F.lit(1).alias("pri"), "aord")
     both = by_label.drop("label").unionByName(by_alias.drop("label"))
     # Split by side so parity becomes an equality key of the join.

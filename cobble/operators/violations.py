@@ -70,8 +70,9 @@ def prepare_segments(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Segment features -> (segments, aliases).
 
     ``features`` columns: physicalid, st_label, full_stree, borocode, l_low_hn, l_high_hn,
-    r_low_hn, r_high_hn, and ``ord`` (source position). A feature is dropped when its label,
-    alias or borough is missing or when any of its four range ends is not all integers.
+    r_low_hn, r_high_hn, and ``ord`` (source position: any orderable type, such as a number
+    or a (file, position) struct). A feature is dropped when its label, alias or borough is
+    missing or when any of its four range ends is not all integers.
     """
     f = features.select(
         street_key("st_label", strip_ordinals=False).alias("label"),
@@ -82,7 +83,7 @@ def prepare_segments(features: DataFrame) -> tuple[DataFrame, DataFrame]:
         range_ends("r_low_hn").alias("r_low"),
         range_ends("r_high_hn").alias("r_high"),
         F.col("physicalid").cast("string").try_cast("bigint").alias("pid"),
-        F.col("ord").cast("bigint").alias("ord"),
+        F.col("ord"),
     ).dropna(subset=["label", "alias", "borough", "l_low", "l_high", "r_low", "r_high"])
     segments = f.select("label", "borough", "l_low", "l_high", "r_low", "r_high", "pid", "ord")
     aliases = f.groupBy("alias", "label").agg(F.min("ord").alias("aord"))

@@ -70,17 +70,21 @@ def read_geojson_features(
     ``collection=False`` reads one Feature per line (newline-delimited, splittable: the
     form to keep a large city file in). ``collection=True`` reads FeatureCollection
     documents, each parsed whole by one task, then spread. ``ordinal`` names a column
-    that keeps the source order of the features.
+    that keeps the source order of the features: a struct (file path, position in file),
+    since Spark packs file splits into partitions by size, not by path.
     """
     feature = T.StructType([T.StructField("type", T.StringType()), T.StructField("properties", properties)])
     if collection:
         doc = T.StructType([T.StructField("type", T.StringType()), T.StructField("features", T.ArrayType(feature))])
         df = spark.read.json(paths, schema=doc, multiLine=True)
-        f = df.select(F.posexplode("features").alias("_pos", "f"))
-        cols = ["f.properties.*"] + ([F.col("_pos").cast("bigint").alias(ordinal)] if ordinal else [])
+        f = df.select(F.col("_metadata.file_path").alias("_file"), F.posexplode("features").alias("_pos", "f"))
+        order = F.struct(F.col("_file").alias("file"), F.col("_pos").cast("bigint").alias("pos"))
+        cols = ["f.properties.*"] + ([order.alias(ordinal)] if ordinal else [])
         return spread(f.select(*cols))
     df = spark.read.json(paths, schema=feature)
-    cols = ["properties.*"] + ([F.monotonically_increasing_id().alias(ordinal)] if ordinal else [])
+    # Within one file the row id follows the offset; the path orders the files.
+    order = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("pos"))
+    cols = ["properties.*"] + ([order.alias(ordinal)] if ordinal else [])
     return df.select(*cols)
 
 

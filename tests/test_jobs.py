@@ -148,3 +148,21 @@ def test_words_job_first_lines(spark):
     assert counts["alpha"] == 300 and "omega" not in counts
     most = _lines(f"{base}/w/most_used")
     assert most == ["300,alpha"]
+
+
+def test_violations_job_feature_lines_keep_file_order(spark):
+    base = shared_scratch(spark, "job_lines")
+    header = ",".join(["Summons Number"] + [f"h{i}" for i in range(1, 26)])
+    _write(f"{base}/v/a.csv", header + "\n" + _violation_row("1", "01/02/2016", "NY", "41", "MAIN ST") + "\n")
+
+    def feat(pid):
+        return json.dumps({"type": "Feature", "geometry": None, "properties": {
+            "physicalid": str(pid), "st_label": "MAIN ST", "full_stree": "MAIN ST", "borocode": "1",
+            "l_low_hn": "1", "l_high_hn": "99", "r_low_hn": "2", "r_high_hn": "98"}})
+
+    # a.json holds the first matching segment; b.json is larger, so Spark reads it first
+    _write(f"{base}/seg/a.json", feat(100) + "\n")
+    _write(f"{base}/seg/b.json", "\n".join(feat(200 + i) for i in range(2000)) + "\n")
+    _write(f"{base}/ids.txt", "100")
+    jobs.violations(spark, f"{base}/v/*.csv", f"{base}/seg/*.json", f"{base}/ids.txt", f"{base}/out", collection=False)
+    assert _lines(f"{base}/out")[0] == "100, 0, 1, 0, 0, 0, -0.1"
