@@ -41,6 +41,13 @@ SEGMENT_PROPS = T.StructType(
 )
 
 
+def _input_order():
+    """Input order of rows: (file path, row id). Spark packs file splits into partitions by
+    size, so the row id alone does not follow the path; within one file it follows the
+    offset."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("pos"))
+
+
 def violations(spark: SparkSession, violations_glob: str, segments_path: str, ids_path: str, out: str,
                collection: bool = True) -> DataFrame:
     """Violations -> per segment id: yearly counts 2015-2019 and slope, every roster id, in
@@ -72,7 +79,7 @@ def revenue(spark: SparkSession, path: str, out: str) -> DataFrame:
     from cobble.plans.queries import write_revenue_report
 
     schema = "`Customer ID` STRING, `Transaction ID` STRING, `Date` STRING, `Product ID` STRING, `Item Cost` STRING"
-    sales = io.read_csv_records(spark, path, schema).withColumn("_row", F.monotonically_increasing_id())
+    sales = io.read_csv_records(spark, path, schema).withColumn("_row", _input_order())
     rep = A.distinct_and_total(
         sales.withColumnRenamed("Product ID", "product"), "product", "Customer ID", "Item Cost", first_seen="_row"
     )
@@ -132,13 +139,13 @@ def bikes(spark: SparkSession, trips_path: str, docking_path: str, out: str) ->
         "tripduration STRING, starttime TIMESTAMP, stoptime TIMESTAMP, start_station_id STRING, "
         "start_station_name STRING, s_lat STRING, s_lon STRING, end_station_id STRING, end_station_name STRING, "
         "e_lat STRING, e_lon STRING, bikeid STRING, usertype STRING, birth_year STRING, gender INT",
-    ).withColumn("_row", F.monotonically_increasing_id())
+    ).withColumn("_row", _input_order())
     labels = F.element_at(F.array(F.lit("Unknown"), F.lit("Male"), F.lit("Female")), F.col("gender") + 1)
     pick = trips.filter(F.col("usertype") == "Subscriber").groupBy(labels.alias("gender"), "start_station_name").agg(
         F.count(F.lit(1)).alias("trips")
     )
     dock = io.read_csv_records(spark, docking_path, "time TIMESTAMP, bikeid STRING, station_id STRING, event STRING")
-    dock = dock.withColumn("_row", F.monotonically_increasing_id())
+    dock = dock.withColumn("_row", _input_order())
     delta = F.when(F.col("event") == "undock", 1).when(F.col("event") == "dock", -1).otherwise(0)
     res = {
         "station_trips": A.endpoint_counts(trips, "start_station_name", "end_station_name"),
