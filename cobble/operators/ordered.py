@@ -95,7 +95,7 @@ def level_summaries(
 ) -> DataFrame:
     """One row per ordered range: ``_bucket``, ``_net`` (sum of deltas), ``_peak`` (highest
     in-range running total at a peak row; NULL when the range has none) and ``_first``
-    (the range's first order key). Zero deltas are dropped first."""
+    and ``_last`` (the range's first and last order keys). Zero deltas are dropped first."""
     d = df.select(*order_cols, delta.cast("bigint").alias("_d"), peak_at.alias("_p")).filter(F.col("_d") != 0)
     b = range_buckets(d, order_cols, num_buckets)
     w = Window.partitionBy(BUCKET).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -103,7 +103,7 @@ def level_summaries(
         BUCKET, "_d", F.when(F.col("_p"), F.sum("_d").over(w)).alias("_lvl"), F.struct(*order_cols).alias("_o")
     )
     return levels.groupBy(BUCKET).agg(
-        F.sum("_d").alias("_net"), F.max("_lvl").alias("_peak"), F.min("_o").alias("_first")
+        F.sum("_d").alias("_net"), F.max("_lvl").alias("_peak"), F.min("_o").alias("_first"), F.max("_o").alias("_last")
     )
 
 
@@ -113,13 +113,23 @@ def stitch_levels(summaries: DataFrame, order_col: str, net: str = "_net", peak:
     row per range, never over raw rows."""
     before = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum(net).over(before), F.lit(0))
-    return summaries.select(F.col(net).alias("_n"), (offset + F.col(peak)).alias("_abs"), "_first").agg(
+    return summaries.select(F.col(net).alias("_n"), (offset + F.col(peak)).alias("_abs"), "_first", "_last").agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("_net"),
         F.max("_abs").cast("bigint").alias("_peak"),
         F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
     )
 
 
+def ranges_disjoint(summaries: DataFrame, order_col: str = "_first") -> bool:
+    """True when the summarised stretches do not overlap once put in order (each one starts
+    after the previous one ends): the condition for ``stitch_levels`` to be exact. One
+    boolean comes back to the driver."""
+    prev_last = F.lag("_last").over(Window.orderBy(order_col))
+    bad = summaries.select(F.when(prev_last >= F.col("_first"), 1).otherwise(0).alias("_bad"))
+    return bad.agg(F.coalesce(F.max("_bad"), F.lit(0)).alias("b")).first()["b"] == 0
+
+
 def max_running_level(
     df: DataFrame,
     order_cols: Sequence[str],

@@ -601,12 +601,15 @@ def stream_first_event_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_max_concurrent_events")
 def stream_max_concurrent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """click/purchase level maximum over a file stream, one summary row per batch."""
-    from cobble.operators.ordered import stitch_levels
+    from cobble.operators.ordered import ranges_disjoint, stitch_levels
     from cobble.streaming import jobs
 
     delta = F.when(F.col("event_type") == "click", 1).when(F.col("event_type") == "purchase", -1).otherwise(0)
     step = jobs.level_batch_summary(["ts", "event_id"], delta, F.col("event_type") == "click")
     rows = jobs.run_available(spark, _event_stream(spark, sf_dir, 1), "stream_levels", mode="append", per_batch=step)
+    if not ranges_disjoint(rows):
+        # Out-of-order arrival: the batch summaries cannot be chained; refuse rather than guess.
+        raise ValueError("stream micro-batches overlap in event order; the running level needs disjoint batches")
     total = stitch_levels(rows, "_first")
     return total.select(F.greatest(F.lit(0), F.coalesce("_peak", F.lit(0))).cast("bigint").alias("max_level"))
 

@@ -93,10 +93,11 @@ def level_batch_summary(order_cols: list[str], delta: Column, peak_at: Column):
     """X3 per-batch step: reduce one micro-batch to (first key, net, peak) with the batch
     operator. Batches must cover disjoint stretches of the order (as time-ranged files
     read one per trigger do); ``stitch_levels`` over the rows ordered by first key then
-    gives the answer for the whole stream."""
+    gives the answer for the whole stream. ``ordered.ranges_disjoint`` checks that
+    condition on the written rows."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> DataFrame:
         s = stitch_levels(level_summaries(batch, order_cols, delta, peak_at), "_bucket")
-        return s.select(F.lit(batch_id).alias("batch_id"), "_first", "_net", "_peak")
+        return s.select(F.lit(batch_id).alias("batch_id"), "_first", "_last", "_net", "_peak")
 
     return per_batch

@@ -121,3 +121,9 @@ def test_first_lines_by_stored_ordinal(spark):
     df = spark.createDataFrame([(i, f"w{i % 3}") for i in range(20)], "line_no long, value string").repartition(5)
     got = sorted(r["line_no"] for r in O.first_lines(df, "line_no", 7).collect())
     assert got == list(range(7))
+
+
+def test_ranges_disjoint_detects_overlap(spark):
+    ok = spark.createDataFrame([(1, 5), (6, 9), (10, 12)], "_first long, _last long")
+    bad = spark.createDataFrame([(1, 7), (6, 9)], "_first long, _last long")
+    assert O.ranges_disjoint(ok) and not O.ranges_disjoint(bad)
