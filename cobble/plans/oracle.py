@@ -537,3 +537,8 @@ GROUP BY street
 )
 
 ORACLES["keywords_sql"] = ORACLES["keywords"]
+
+ORACLES["weekday_hour"] = (
+    "SELECT CAST(isodow(ts) - 1 AS INT) AS weekday, CAST(hour(ts) AS INT) AS hour, CAST(count(*) AS BIGINT) AS n "
+    "FROM events GROUP BY 1, 2"
+)

@@ -687,3 +687,12 @@ def keywords_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         "SELECT d.doc_id, k.pos, k.keyword FROM cobble_documents d, LATERAL cobble_extract_keywords(d.text) k"
     )
+
+
+@register("weekday_hour")
+def weekday_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per (weekday, hour), Monday = 0 as Python's weekday()."""
+    ev = table(spark, sf_dir, "events").select("ts")
+    return ev.groupBy(F.weekday("ts").cast("int").alias("weekday"), F.hour("ts").cast("int").alias("hour")).agg(
+        F.count(F.lit(1)).alias("n")
+    )

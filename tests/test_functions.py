@@ -144,3 +144,11 @@ def test_borough_codes(spark):
     vals = ["NEW Y", "BX", "KINGS", "QU", "RICHMOND", "ny", "XX"]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     assert [r[0] for r in df.select(S.borough_code("v")).collect()] == [1, 2, 3, 4, 5, None, None]
+
+
+def test_weekday_monday_is_zero(spark):
+    import datetime
+
+    df = spark.createDataFrame([(datetime.datetime(2024, 1, 1, 5), ), (datetime.datetime(2024, 1, 7, 23),)], "ts timestamp_ntz")
+    got = [(r[0], r[1]) for r in df.select(F.weekday("ts"), F.hour("ts")).collect()]
+    assert got == [(datetime.datetime(2024, 1, 1).weekday(), 5), (datetime.datetime(2024, 1, 7).weekday(), 23)] == [(0, 5), (6, 23)]
