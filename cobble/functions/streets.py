@@ -27,8 +27,18 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def borough_code(c) -> Column:
     """Spelling -> borough code 1..5; NULL for any other spelling."""
+    if isinstance(c, str):
+        arms = " ".join(
+            "WHEN {} IN ({}) THEN {}".format(_q(c), ", ".join("'" + n + "'" for n in names), code)
+            for code, names in BOROUGH_SPELLINGS.items()
+        )
+        return F.expr(f"CASE {arms} END")
     expr = None
     for code, names in BOROUGH_SPELLINGS.items():
         cond = _c(c).isin(*names)
@@ -43,6 +53,12 @@ def street_key(c, strip_ordinals: bool = True) -> Column:
     The look-behind/look-ahead pair makes each rewrite act on one whole word, so adjacent
     ordinals ('1ST 2ND') are both handled.
     """
+    if isinstance(c, str):
+        col = f"upper({_q(c)})"
+        if strip_ordinals:
+            suffix = "|".join(ORDINAL_SUFFIXES)
+            col = rf"regexp_replace({col}, '(?U)(?<!\\S)(\\d\\S*?)(?:{suffix})(?!\\S)', '$1')"
+        return F.expr(rf"regexp_replace({col}, '(?U)\\s+', '')")
     s = F.upper(_c(c))
     if strip_ordinals:
         suffix = "|".join(ORDINAL_SUFFIXES)
@@ -60,10 +76,6 @@ def _trim_letter(p: Column) -> Column:
     return F.when((F.length(p) >= 2) & ~F.substring(p, -1, 1).rlike("[0-9]"), p.substr(F.lit(1), F.length(p) - 1)).otherwise(p)
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _house_parts_sql(col: str) -> str:
     """SQL text of ``house_parts`` for a column name (one expression, one call to the JVM)."""
     raw = f"split({col}, '-', -1)"

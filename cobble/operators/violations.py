@@ -60,9 +60,9 @@ def prepare_violations(
     )
     return raw.filter(valid).select(
         year_text.cast("int").alias("year"),
-        borough_code(b).alias("borough"),
+        borough_code(borough).alias("borough"),
         h.alias("house"),
-        street_key(s).alias("street"),
+        street_key(street).alias("street"),
     )
 
 
