@@ -46,3 +46,16 @@ def test_first_match_adds_no_shuffle_after_broadcast_join(spark):
     top = next(i for i, l in enumerate(lines) if "min_by(_pid" in l and "partial_" not in l)
     bhj = next(i for i, l in enumerate(lines) if "BroadcastHashJoin" in l and i > top)
     assert not any("Exchange" in l for l in lines[top:bhj])
+
+
+def test_complaints_report_two_shuffles_after_partial_aggregation(spark):
+    df = QUERIES["complaints_report"](spark, SF)
+    df.collect()
+    p = plan(df).split("== Initial Plan ==")[0]  # the final adaptive plan only
+    shuffles = [l for l in p.splitlines() if "Exchange hashpartitioning" in l]
+    assert len(shuffles) == 2
+    lines = p.splitlines()
+    for i, l in enumerate(lines):
+        if "Exchange hashpartitioning" in l:
+            below = next(x for x in lines[i + 1:] if "HashAggregate" in x or "Scan" in x or "Join" in x)
+            assert "partial_" in below
