@@ -136,7 +136,7 @@ def train(rows: DataFrame, make: Callable = features, bits: int = BITS, shards:
         data = []
         for batch in slices(batches):
             cols = (batch.column(k).to_pylist() for k in ("text", "y"))
-            data += [(*make(t, bits), float(y)) for t, y in zip(*cols, strict=True)]
+            data += [(*make(t), float(y)) for t, y in zip(*cols, strict=True)]
         if data:
             w = ftrl(data, 1 << bits, **how)
             at = np.flatnonzero(w)
@@ -154,17 +154,17 @@ def train(rows: DataFrame, make: Callable = features, bits: int = BITS, shards:
     return total / max(size, 1)
 
 
-def scorer(weights: np.ndarray, make: Callable = features, bits: int = BITS) -> Callable[[str], float]:
-    return lambda text: float(sigmoid(weights[(f := make(text or "", bits))[0]] @ f[1]))
+def scorer(weights: np.ndarray, make: Callable = features) -> Callable[[str], float]:
+    return lambda text: float(sigmoid(weights[(f := make(text or ""))[0]] @ f[1]))
 
 
-def score_column(spark, weights: np.ndarray, make: Callable = features, bits: int = BITS) -> Callable[[Column], Column]:
+def score_column(spark, weights: np.ndarray, make: Callable = features) -> Callable[[Column], Column]:
     """A function from a text column to its score; the weights, of fixed size, are broadcast."""
     held = spark.sparkContext.broadcast(weights.astype(np.float32))
 
     @F.pandas_udf("double")
     def score(column: pd.Series) -> pd.Series:
-        return column.map(scorer(held.value.astype(np.float64), make, bits), na_action=None).astype("float64")
+        return column.map(scorer(held.value.astype(np.float64), make), na_action=None).astype("float64")
 
     return score
 

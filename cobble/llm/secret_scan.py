@@ -67,7 +67,7 @@ def hot_windows(text: str, width: int, least: float) -> list[int]:
     """Starts of the windows of ``width`` whose Shannon entropy is at least ``least`` bits."""
     if len(text) < width:
         return []
-    term = [0.0] + [c * log2(c) for c in range(1, width + 1)]
+    term = [0.0] + [c * log2(c) for c in range(1, width + 2)]
     most = (log2(width) - least) * width + 1e-9  # entropy = log2(width) - sum / width
     counts: dict[str, int] = {}
     total, hot = 0.0, []

@@ -27,6 +27,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -187,8 +188,6 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
 
 
 def _with_print(docs: DataFrame, shingle: int) -> DataFrame:
-    import pandas as pd
-
     @F.pandas_udf("string")
     def hexed(column: pd.Series) -> pd.Series:
         return column.map(lambda t: f"{fingerprint((t or '').encode(), shingle):016x}")

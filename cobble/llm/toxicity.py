@@ -23,7 +23,8 @@ voters stay. Doc_ids labelled twice count once; repeated rows get a row each.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,9 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cobble.llm.common import materialize, prepare, slices, texts
-from cobble.llm.quality import BITS, fold, score_column, train, training_rows
+from cobble.llm.quality import BITS, fold, sigmoid, train, training_rows
 
-TRAIN_ROWS = 24_000
+TRAIN_ROWS = 12_000
+#: White-space-separated pieces remembered with their votes in a Python worker.
+CACHE = 300_000
 #: Lexicon entries: least toxic documents that hold one, least precision, and how many at most a kind.
 LEAST_DOCS, LEAST_PRECISION, ENTRIES = 5, 0.5, 1000
 BEGINNINGS = (3, 4, 5, 6, 7)
@@ -43,7 +46,7 @@ STRONG = 0.85
 TOXIC = 0.5
 ROUNDS = 50
 
-WORD = re.compile(r"[^\W\d_]+(?:['*@$!0-9]+[^\W\d_]+)*")
+WORD = re.compile(r"[^\W\d_]+")
 #: Public, general English insults; a fixed list.
 INSULTS = frozenset(
     """asshole bastard bitch clown coward creep cretin disgusting dumb dumbass fool freak garbage
@@ -55,11 +58,11 @@ ADDRESSED = re.compile(
     re.IGNORECASE,
 )
 DISGUISED = re.compile(
-    r"\b(?:[i1!]d[i1!][o0]t|m[o0]r[o0]n|l[o0]s[e3]r|s[ct]um|tr[a@4]sh|st[uv*]p[i1!*]d|d[u*]mb|sh[i1!*]t|f[u*@]ck|b[i1!*]tch)s?\b",
+    r"\W*(?:[i1!]d[i1!][o0]t|m[o0]r[o0]n|l[o0]s[e3]r|s[ct]um|tr[a@4]sh|st[uv*]p[i1!*]d|d[u*]mb|sh[i1!*]t|f[u*@]ck|b[i1!*]tch)s?\W*",
     re.IGNORECASE,
 )
-SHOUTED = re.compile(r"\b(?:" + "|".join(sorted(w.upper() for w in INSULTS)) + r")\b|!!!")
-PATTERNS = ("insult", "addressed", "disguised", "shouted")
+SHOUTED = re.compile(r"\W*(?:" + "|".join(sorted(w.upper() for w in INSULTS)) + r")S?\W*")
+PATTERNS = ("insult", "disguised", "shouted", "addressed")
 
 
 @dataclass
@@ -73,8 +76,8 @@ class Lexicon:
         return [v for v, _ in self.voters] + list(PATTERNS)
 
 
-def tokens(text: str) -> list[str]:
-    return [w.lower() for w in WORD.findall(text)]
+def tokens(piece: str) -> set[str]:
+    return set(WORD.findall(piece.lower()))
 
 
 def units(words: set[str]) -> set[tuple[int, str]]:
@@ -86,74 +89,105 @@ def units(words: set[str]) -> set[tuple[int, str]]:
 
 
 def induce(rows: DataFrame) -> Lexicon:
-    """Lexicon voters from labelled ``rows`` (doc_id, text, y)."""
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=1 << 20):
-            cols: tuple[list, list, list, list] = ([], [], [], [])
-            # Counts of a slice are added up before the shuffle.
-            seen: dict[tuple[int, str], list[int]] = {}
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                for u in units(set(tokens(text))):
-                    c = seen.setdefault(u, [0, 0])
-                    c[0] += 1
-                    c[1] += y
-            for (k, w), (n, t) in seen.items():
-                for col, v in zip(cols, (k, w, n, t), strict=True):
-                    col.append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())],
-                names=["kind", "unit", "n", "toxic"],
-            )
-
-    counts = rows.mapInArrow(spread, "kind int, unit string, n bigint, toxic bigint").groupBy("kind", "unit")
-    counts = counts.agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-    precision = F.col("toxic") / (F.col("n") + 1)
-    strong = counts.filter((F.col("toxic") >= LEAST_DOCS) & (precision >= LEAST_PRECISION))
+    """Lexicon voters from labelled ``rows`` (doc_id, text, y), a bounded sample."""
+
+    def counted(wanted: frozenset | None):
+        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, most=1 << 20):
+                seen: Counter = Counter()
+                for text in batch.column("text").to_pylist():
+                    own = units(tokens(text))
+                    seen.update(own if wanted is None else own & wanted)
+                kinds, words = zip(*seen, strict=True) if seen else ((), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(kinds, pa.int32()), pa.array(words, pa.string()), pa.array(list(seen.values()), pa.int64())],
+                    names=["kind", "unit", "n"],
+                )
+
+        return spread
+
+    def totals(part: DataFrame, wanted: frozenset | None) -> dict[tuple[int, str], int]:
+        got = part.select("text").mapInArrow(counted(wanted), "kind int, unit string, n bigint")
+        got = got.groupBy("kind", "unit").agg(F.sum("n").alias("n")).filter(F.col("n") >= (LEAST_DOCS if wanted is None else 1))
+        return {(r.kind, r.unit): r.n for r in got.collect()}
+
+    # Units of enough toxic rows, then how often the clean rows have those: both bounded by the sample.
+    toxic = totals(rows.filter("y > 0"), None)
+    clean = totals(rows.filter("y = 0"), frozenset(toxic)) if toxic else {}
+    precision = {u: n / (n + clean.get(u, 0) + 1) for u, n in toxic.items()}
+    best = sorted((u for u, p in precision.items() if p >= LEAST_PRECISION), key=lambda u: (-toxic[u], u))
     lexicon = Lexicon()
-    picked = (
-        strong.withColumn("precision", precision)
-        .orderBy(F.desc("toxic"), "n", "kind", "unit")
-        .limit(ENTRIES * (len(BEGINNINGS) + 1))
-        .collect()
-    )
     for kind in (0, *BEGINNINGS):
-        for name, ok in (("strong", lambda r: r.precision >= STRONG), ("weak", lambda r: r.precision < STRONG)):
-            own = frozenset(r.unit for r in picked if r.kind == kind and ok(r))
-            if own:
+        own = [u for u in best if u[0] == kind][:ENTRIES]
+        for name, strong in (("strong", True), ("weak", False)):
+            entries = frozenset(w for k, w in own if (precision[k, w] >= STRONG) == strong)
+            if entries:
                 lexicon.voters.append((f"{'word' if kind == 0 else f'begin{kind}'}_{name}", kind))
-                lexicon.entries.append(own)
+                lexicon.entries.append(entries)
     return lexicon
 
 
-def votes(text: str, lexicon: Lexicon) -> list[int]:
-    """Per voter, whether it votes the text toxic."""
-    words = set(tokens(text))
-    by_kind: dict[int, set[str]] = {0: words}
-    out = []
-    for (_, kind), entries in zip(lexicon.voters, lexicon.entries, strict=True):
-        if kind not in by_kind:
-            by_kind[kind] = {w[:kind] for w in words if len(w) > kind}
-        out.append(int(not entries.isdisjoint(by_kind[kind])))
-    out.append(int(not INSULTS.isdisjoint(words)))
-    out += [int(p.search(text) is not None) for p in (ADDRESSED, DISGUISED, SHOUTED)]
-    return out
-
-
-def pattern_of(votes_: Sequence[int]) -> int:
-    return sum(1 << k for k, v in enumerate(votes_) if v)
+class Ballot:
+    """Votes on texts; the votes of a white-space-separated piece are remembered."""
+
+    def __init__(self, lexicon: Lexicon):
+        self.by_kind: dict[int, dict[str, int]] = {}
+        for k, ((_, kind), entries) in enumerate(zip(lexicon.voters, lexicon.entries, strict=True)):
+            for w in entries:
+                of = self.by_kind.setdefault(kind, {})
+                of[w] = of.get(w, 0) | 1 << k
+        self.first = len(lexicon.voters)
+        self.known: dict[str, int] = {}
+
+    def piece(self, piece: str) -> int:
+        mask = 0
+        for w in tokens(piece):
+            for kind, of in self.by_kind.items():
+                if kind == 0:
+                    mask |= of.get(w, 0)
+                elif len(w) > kind:
+                    mask |= of.get(w[:kind], 0)
+            if w in INSULTS or w[-1] == "s" and w[:-1] in INSULTS:
+                mask |= 1 << self.first
+        if DISGUISED.fullmatch(piece):
+            mask |= 1 << self.first + 1
+        if SHOUTED.fullmatch(piece):
+            mask |= 1 << self.first + 2
+        return mask
+
+    def __call__(self, text: str) -> int:
+        """The pattern of votes on a text: bit k is voter k's."""
+        known, mask = self.known, 0
+        for p in set(text.split()):
+            m = known.get(p)
+            if m is None:
+                if len(known) >= CACHE:
+                    known.clear()
+                m = known[p] = self.piece(p)
+            mask |= m
+        if mask >> self.first & 1 and ADDRESSED.search(text):
+            mask |= 1 << self.first + 3
+        return mask
 
 
 def count_patterns(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """(pattern, n): how many rows of ``docs`` (doc_id, text) have each vote pattern."""
-    held = docs.sparkSession.sparkContext.broadcast(lexicon)
+    return _patterns(docs.select("text"), lexicon).groupBy("pattern").agg(F.count("*").alias("n"))
+
+
+def _patterns(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """``rows`` with the pattern of votes on their text in its place."""
+    held = rows.sparkSession.sparkContext.broadcast(lexicon)
+    rest = [c for c in rows.columns if c != "text"]
+    schema = ", ".join(["pattern bigint", *(f"{c} {dict(rows.dtypes)[c]}" for c in rest)])
 
     def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ballot = Ballot(held.value)
         for batch in slices(batches):
-            got = [pattern_of(votes(t, held.value)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(got, pa.int64())], names=["pattern"])
+            got = pa.array([ballot(t) for t in batch.column("text").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([got, *(batch.column(c) for c in rest)], names=["pattern", *rest])
 
-    return docs.mapInArrow(cast, "pattern bigint").groupBy("pattern").agg(F.count("*").alias("n"))
+    return rows.mapInArrow(cast, schema)
 
 
 @dataclass
@@ -212,26 +246,59 @@ def _correlations(m: np.ndarray, w: np.ndarray, rates: np.ndarray) -> np.ndarray
     return out
 
 
-def maker(lexicon: Lexicon):
-    """Features of a text: hashed words and beginnings at unit length, and a place for every vote."""
+def hashed(piece: str, low: int, size: int) -> list[int]:
+    """Places of a piece's words and their beginnings of 5 and 6 letters, from ``low`` to ``size``."""
     import xxhash
 
-    n = len(lexicon.names())
+    own = [f"{k}{w[:k] if k else w}" for w in tokens(piece) for k in (0, 5, 6) if len(w) > k]
+    return [low + xxhash.xxh64_intdigest(u.encode()) % (size - low) for u in own]
+
+
+class Features:
+    """Features of a text: a place for each vote given or not, and the hashed units of its pieces.
 
-    def features(text: str, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-        cast = votes(text, lexicon)
-        mask = (1 << bits) - 1
-        own: dict[int, float] = {}
-        for k, w in units(set(tokens(text))):
-            if k in (0, 5, 6):
-                at = 1 + 2 * n + xxhash.xxh64_intdigest(f"{k}{w}".encode()) % (mask - 2 * n)
-                own[at] = own.get(at, 0.0) + 1.0
-        values = np.array(list(own.values()))
-        scale = 0.5 / np.sqrt(values @ values) if len(values) else 1.0
-        flags = [1 + 2 * k + v for k, v in enumerate(cast)]
-        return np.array([0, *flags, *own], np.int64), np.concatenate([np.ones(1 + len(flags)), values * scale])
+    The units share a length that falls with their number, so long texts don't outweigh their votes.
+    """
 
-    return features
+    def __init__(self, lexicon: Lexicon, bits: int = BITS):
+        self.ballot, self.size = Ballot(lexicon), 1 << bits
+        self.n = len(lexicon.names())
+        self.low = 1 + 2 * self.n
+
+    def flags(self, mask: int) -> list[int]:
+        return [1 + 2 * k + (mask >> k & 1) for k in range(self.n)]
+
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        at = [u for p in set(text.split()) for u in hashed(p, self.low, self.size)]
+        places, counts = np.unique(np.array(at, np.int64), return_counts=True)
+        flags = self.flags(self.ballot(text))
+        values = counts * (0.5 / np.sqrt(max(len(at), 1)))
+        return np.array([0, *flags, *places.tolist()], np.int64), np.concatenate([np.ones(1 + self.n), values])
+
+
+class Scorer(Features):
+    """Sparse dot products of texts with weights; a piece's share of them is remembered."""
+
+    def __init__(self, lexicon: Lexicon, weights: np.ndarray, bits: int = BITS):
+        super().__init__(lexicon, bits)
+        self.weights, self.known = weights, {}
+
+    def __call__(self, text: str) -> float:
+        known, mask, dot, n = self.known, 0, 0.0, 0
+        for p in sorted(set(text.split())):
+            got = known.get(p)
+            if got is None:
+                if len(known) >= CACHE:
+                    known.clear()
+                at = hashed(p, self.low, self.size)
+                got = known[p] = (self.ballot.piece(p), float(self.weights[at].sum()), len(at))
+            mask |= got[0]
+            dot += got[1]
+            n += got[2]
+        if mask >> self.ballot.first & 1 and ADDRESSED.search(text):
+            mask |= 1 << self.ballot.first + 3
+        z = self.weights[0] + self.weights[self.flags(mask)].sum() + dot * (0.5 / np.sqrt(max(n, 1)))
+        return float(sigmoid(z))
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> tuple[Lexicon, LabelModel, np.ndarray]:
@@ -243,14 +310,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -
     lexicon = induce(rows)
     # Patterns: at most 2 ** voters, and far fewer in practice; the counts cover every document.
     counted = {r.pattern: r.n for r in count_patterns(docs, lexicon).collect()}
-    held = spark.sparkContext.broadcast(lexicon)
-
-    def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            got = [pattern_of(votes(t, held.value)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(got, pa.int64()), batch.column("y")], names=["pattern", "y"])
-
-    gold = rows.select("text", "y").mapInArrow(cast, "pattern bigint, y int").groupBy("pattern", "y").count().collect()
+    gold = _patterns(rows.select("text", "y"), lexicon).groupBy("pattern", "y").count().collect()
     patterns = sorted(counted.keys() | {r.pattern for r in gold} | {0})
     at = {p: i for i, p in enumerate(patterns)}
     matrix = np.array([[p >> k & 1 for k in range(len(lexicon.names()))] for p in patterns], bool)
@@ -259,23 +319,30 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -
         known[at[r.pattern], int(r.y > 0)] += r["count"]
     model = fit_label_model(matrix, np.array([counted.get(p, 0) for p in patterns], float), known)
     posterior = dict(zip(patterns, model.posterior(matrix).tolist(), strict=True))
-    soft = spark.sparkContext.broadcast(posterior)
+    held, soft = spark.sparkContext.broadcast(lexicon), spark.sparkContext.broadcast(posterior)
 
     def relabel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ballot = Ballot(held.value)
         for batch in slices(batches):
-            got = [soft.value[pattern_of(votes(t, held.value))] for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(got)], names=["doc_id", "text", "y"])
+            got = pa.array([soft.value[ballot(t)] for t in batch.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), got], names=["doc_id", "text", "y"])
 
     taught = rows.select("doc_id", "text").mapInArrow(relabel, "doc_id bigint, text string, y double")
-    return lexicon, model, train(taught, maker(lexicon))
+    return lexicon, model, train(taught, Features(lexicon))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, score, predicted."""
     lexicon, _, weights = toxicity_model(docs, labels, most)
-    score = score_column(docs.sparkSession, weights, maker(lexicon))
-    scored = texts(docs).select("doc_id", score("text").alias("score"))
-    return scored.select(
+    held = docs.sparkSession.sparkContext.broadcast((lexicon, weights))
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(*held.value)
+        for batch in slices(batches):
+            got = [scorer(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got, pa.float64())], names=["doc_id", "score"])
+
+    return texts(docs).mapInArrow(rate, "doc_id bigint, score double").select(
         "doc_id",
         F.coalesce(fold(F.col("doc_id")) == 0, F.lit(True)).alias("held_out"),
         "score",
