@@ -9,37 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from cobble.functions.streets import ORDINAL_SUFFIXES
-from cobble.functions.text import KEYWORD_STOPWORDS, NOT_NUMBER_LABEL, NUMBER_LABEL
-
-_STOP = "(" + ", ".join(f"'{w}'" for w in KEYWORD_STOPWORDS) + ")"
-_WORD = r"'[\\p{L}\\p{N}_]+'"
-
-# The keyword pipeline of ``text.keywords`` written in Spark SQL: sentences on '.', word
-# tokens, non-capital words become '*', phrases split on '*', leading stopwords dropped,
-# two or more words kept.
-KEYWORDS_SQL = f"""
-flatten(transform(split(t, '[.]', -1), s ->
-  transform(
-    filter(
-      transform(
-        transform(
-          split(array_join(transform(regexp_extract_all(s, {_WORD}, 0),
-                  w -> CASE WHEN w RLIKE '^\\\\p{{Lu}}' OR lower(w) IN {_STOP} THEN w ELSE '*' END), ' '), '[*]', -1),
-          ch -> filter(split(ch, ' ', -1), x -> x != '')),
-        ws -> CASE WHEN array_position(transform(ws, y -> NOT lower(y) IN {_STOP}), true) > 0
-                   THEN slice(ws, CAST(array_position(transform(ws, y -> NOT lower(y) IN {_STOP}), true) AS INT), size(ws))
-                   ELSE CAST(array() AS ARRAY<STRING>) END),
-      ws -> size(ws) >= 2),
-    ws -> array_join(ws, ' '))))
-"""
-
-STREET_KEY_SQL = (
-    r"regexp_replace(regexp_replace(upper(t), '(?U)(?<!\\S)(\\d\\S*?)(?:"
-    + "|".join(ORDINAL_SUFFIXES)
-    + r")(?!\\S)', '$1'), '(?U)\\s+', '')"
-)
+from cobble.functions.streets import street_key_sql
+from cobble.functions.text import NOT_NUMBER_LABEL, NUMBER_LABEL, keywords_sql
 
+KEYWORDS_SQL = keywords_sql("t")
+STREET_KEY_SQL = street_key_sql("t")
 NUMBER_LABEL_SQL = rf"CASE WHEN t RLIKE '\\A[0-9]+\\z' THEN '{NUMBER_LABEL}' ELSE '{NOT_NUMBER_LABEL}' END"
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,39 +33,32 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def borough_code(c) -> Column:
-    """Spelling -> borough code 1..5; NULL for any other spelling."""
-    if isinstance(c, str):
-        arms = " ".join(
-            "WHEN {} IN ({}) THEN {}".format(_q(c), ", ".join("'" + n + "'" for n in names), code)
-            for code, names in BOROUGH_SPELLINGS.items()
-        )
-        return F.expr(f"CASE {arms} END")
-    expr = None
-    for code, names in BOROUGH_SPELLINGS.items():
-        cond = _c(c).isin(*names)
-        expr = F.when(cond, F.lit(code)) if expr is None else expr.when(cond, F.lit(code))
-    return expr
+def borough_code(name: str) -> Column:
+    """Spelling in the named column -> borough code 1..5; NULL for any other spelling."""
+    arms = " ".join(
+        "WHEN {} IN ({}) THEN {}".format(_q(name), ", ".join("'" + n + "'" for n in names), code)
+        for code, names in BOROUGH_SPELLINGS.items()
+    )
+    return F.expr(f"CASE {arms} END")
 
 
-def street_key(c, strip_ordinals: bool = True) -> Column:
-    """Upper-case, drop TH/ST/ND from whitespace-separated words that start with a digit,
-    then remove all whitespace: 'w  8th st' -> 'W8ST'.
+def street_key_sql(text: str, strip_ordinals: bool = True) -> str:
+    """SQL of a street key: upper-case, drop TH/ST/ND from whitespace-separated words that
+    start with a digit, then remove all whitespace: 'w  8th st' -> 'W8ST'.
 
     The look-behind/look-ahead pair makes each rewrite act on one whole word, so adjacent
     ordinals ('1ST 2ND') are both handled.
     """
-    if isinstance(c, str):
-        col = f"upper({_q(c)})"
-        if strip_ordinals:
-            suffix = "|".join(ORDINAL_SUFFIXES)
-            col = rf"regexp_replace({col}, '(?U)(?<!\\S)(\\d\\S*?)(?:{suffix})(?!\\S)', '$1')"
-        return F.expr(rf"regexp_replace({col}, '(?U)\\s+', '')")
-    s = F.upper(_c(c))
+    key = f"upper({text})"
     if strip_ordinals:
         suffix = "|".join(ORDINAL_SUFFIXES)
-        s = F.regexp_replace(s, rf"(?U)(?<!\S)(\d\S*?)(?:{suffix})(?!\S)", "$1")
-    return F.regexp_replace(s, r"(?U)\s+", "")
+        key = rf"regexp_replace({key}, '(?U)(?<!\\S)(\\d\\S*?)(?:{suffix})(?!\\S)', '$1')"
+    return rf"regexp_replace({key}, '(?U)\\s+', '')"
+
+
+def street_key(name: str, strip_ordinals: bool = True) -> Column:
+    """Street key of the named column."""
+    return F.expr(street_key_sql(_q(name), strip_ordinals))
 
 
 def blank_to_null(c) -> Column:
@@ -71,14 +66,19 @@ def blank_to_null(c) -> Column:
     return F.when(F.trim(_c(c)) == F.lit(""), F.lit(None)).otherwise(_c(c))
 
 
-def _trim_letter(p: Column) -> Column:
-    """A part of two or more characters ending in a non-digit loses that last character."""
-    return F.when((F.length(p) >= 2) & ~F.substring(p, -1, 1).rlike("[0-9]"), p.substr(F.lit(1), F.length(p) - 1)).otherwise(p)
+def house_parts(name: str) -> Column:
+    """House number in the named column -> ARRAY<BIGINT>, or NULL when it cannot match any
+    segment.
 
+    Split on '-'. A part of two or more characters ending in a non-digit loses that last
+    character ('35A' -> 35). The number is rejected when a part is empty ('3-'), or when a
+    one-character part occurs while the (trimmed) first part is not all digits. Every part
+    must then read as an integer ('12AB' -> '12A' -> rejected).
 
-def _house_parts_sql(col: str) -> str:
-    """SQL text of ``house_parts`` for a column name (one expression, one call to the JVM)."""
-    raw = f"split({col}, '-', -1)"
+    Numbers of one or two parts (nearly all) take a scalar path that stays in generated
+    code; longer ones use the array form.
+    """
+    raw = f"split({_q(name)}, '-', -1)"
 
     def trim(p: str) -> str:
         return f"(CASE WHEN length({p}) >= 2 AND NOT substring({p}, -1, 1) RLIKE '[0-9]' THEN substr({p}, 1, length({p}) - 1) ELSE {p} END)"
@@ -92,7 +92,7 @@ def _house_parts_sql(col: str) -> str:
 
     i1, i2 = f"try_cast({t1} AS BIGINT)", f"try_cast({t2} AS BIGINT)"
     ints = f"transform({raw}, p -> try_cast({trim('p')} AS BIGINT))"
-    return (
+    return F.expr(
         f"CASE WHEN size({raw}) = 1 THEN (CASE WHEN {bad(r1)} OR {i1} IS NULL THEN NULL ELSE array({i1}) END) "
         f"WHEN size({raw}) = 2 THEN (CASE WHEN {bad(r1)} OR {bad(r2)} OR {i1} IS NULL OR {i2} IS NULL THEN NULL "
         f"ELSE array({i1}, {i2}) END) "
@@ -100,47 +100,11 @@ def _house_parts_sql(col: str) -> str:
     )
 
 
-def house_parts(c) -> Column:
-    """House number -> ARRAY<BIGINT>, or NULL when it cannot match any segment.
-
-    Split on '-'. A part of two or more characters ending in a non-digit loses that last
-    character ('35A' -> 35). The number is rejected when a part is empty ('3-'), or when a
-    one-character part occurs while the (trimmed) first part is not all digits. Every part
-    must then read as an integer ('12AB' -> '12A' -> rejected).
-
-    Numbers of one or two parts (nearly all) take a scalar path that stays in generated
-    code; longer ones use the array form. Given a column name, the same rules are built
-    as one SQL expression.
-    """
-    if isinstance(c, str):
-        return F.expr(_house_parts_sql(_q(c)))
-    raw = F.split(_c(c), "-", -1)
-    n = F.size(raw)
-    r1, r2 = F.element_at(raw, 1), F.try_element_at(raw, F.lit(2))
-    t1, t2 = _trim_letter(r1), _trim_letter(r2)
-    first_digits = t1.rlike(r"\A[0-9]+\z")
-
-    def bad(r: Column) -> Column:
-        return (F.length(r) == 0) | ((F.length(r) == 1) & ~first_digits)
-
-    i1, i2 = t1.try_cast("bigint"), t2.try_cast("bigint")
-    one = F.when(bad(r1) | i1.isNull(), F.lit(None)).otherwise(F.array(i1))
-    two = F.when(bad(r1) | bad(r2) | i1.isNull() | i2.isNull(), F.lit(None)).otherwise(F.array(i1, i2))
-
-    trimmed = F.transform(raw, _trim_letter)
-    rejected = F.exists(raw, bad)
-    ints = F.transform(trimmed, lambda p: p.try_cast("bigint"))
-    many = F.when(rejected | F.exists(ints, lambda v: v.isNull()), F.lit(None)).otherwise(ints)
-    return F.when(n == 1, one).when(n == 2, two).otherwise(many)
-
-
-def range_ends(c) -> Column:
-    """Segment end '12' or '12-34' -> ARRAY<BIGINT>; NULL when any part is not an integer."""
-    if isinstance(c, str):
-        ints = f"transform(split({_q(c)}, '-', -1), p -> try_cast(p AS BIGINT))"
-        return F.expr(f"CASE WHEN {_q(c)} IS NULL OR exists({ints}, v -> v IS NULL) THEN NULL ELSE {ints} END")
-    ints = F.transform(F.split(_c(c), "-", -1), lambda p: p.try_cast("bigint"))
-    return F.when(_c(c).isNull() | F.exists(ints, lambda v: v.isNull()), F.lit(None)).otherwise(ints)
+def range_ends(name: str) -> Column:
+    """Segment end '12' or '12-34' in the named column -> ARRAY<BIGINT>; NULL when any part is
+    not an integer."""
+    ints = f"transform(split({_q(name)}, '-', -1), p -> try_cast(p AS BIGINT))"
+    return F.expr(f"CASE WHEN {_q(name)} IS NULL OR exists({ints}, v -> v IS NULL) THEN NULL ELSE {ints} END")
 
 
 def house_parity(parts) -> Column:
@@ -162,19 +126,12 @@ def in_box(parts, low, high) -> Column:
 
 
 def slope_over_years(counts: list, years: list | None = None) -> Column:
-    """Least-squares slope of counts against consecutive years, evaluated in the same
-    floating-point order as a plain loop (mean of y, then sum of (x - mean_x) * (y - mean_y))."""
-    n = len(counts)
-    xs = [float(i) for i in range(n)] if years is None else [float(y) for y in years]
-    xmean = sum(xs) / n
+    """Least-squares slope of counts against years: each count's distance from the mean count,
+    weighted by its year's distance from the mean year; the sum of squared year distances
+    divides at the end, and terms are added in year order."""
+    xs = [float(x) for x in (years if years is not None else range(len(counts)))]
+    away = [x - sum(xs) / len(xs) for x in xs]
     ys = [_c(c).cast("double") for c in counts]
-    total = ys[0]
-    for y in ys[1:]:
-        total = total + y
-    ymean = total / F.lit(float(n))
-    num = F.lit(0.0)
-    denom = 0.0
-    for x, y in zip(xs, ys):
-        num = num + F.lit(x - xmean) * (y - ymean)
-        denom += (x - xmean) ** 2
-    return num / F.lit(denom)
+    mean = reduce(Column.__add__, ys) / F.lit(float(len(ys)))
+    terms = [F.lit(w) * (y - mean) for w, y in zip(away, ys, strict=True)]
+    return reduce(Column.__add__, terms, F.lit(0.0)) / F.lit(sum(w * w for w in away))

@@ -57,40 +57,36 @@ def word_tokens(c, with_apostrophe: bool = False) -> Column:
     return F.regexp_extract_all(_c(c), F.lit(pat), 0)
 
 
-def starts_upper(c) -> Column:
-    """First character is an upper-case letter."""
-    return _c(c).rlike(r"^\p{Lu}")
+def keywords_sql(text: str) -> str:
+    """SQL of all keyword phrases of a text, as an array of strings.
 
-
-def _is_stopword(w: Column) -> Column:
-    return F.lower(w).isin(*KEYWORD_STOPWORDS)
-
-
-def sentence_keywords(sentence: Column) -> Column:
-    """Keyword phrases of one sentence, as an array of strings.
-
-    Words are ``\\w+`` tokens. A word stays when it starts with a capital or is a stopword;
-    every other word breaks the phrase. Leading stopwords of a phrase are dropped, and a
+    Sentences are split on '.', and phrases never cross one. Words are ``\\w+`` tokens. A word
+    stays when it starts with a capital or is a stopword; every other word becomes '*', which
+    no token holds, and breaks the phrase. Leading stopwords of a phrase are dropped, and a
     phrase needs two or more words. Stopwords at the end of a phrase stay.
     """
-    words = F.regexp_extract_all(sentence, F.lit(WORD_PATTERN), 0)
-    marked = F.transform(words, lambda w: F.when(starts_upper(w) | _is_stopword(w), w).otherwise(F.lit("*")))
-    # '*' never occurs inside a \w+ token, so it is a safe phrase break.
-    chunks = F.split(F.array_join(marked, " "), r"\*", -1)
-    runs = F.transform(chunks, lambda ch: F.filter(F.split(ch, " ", -1), lambda w: w != F.lit("")))
-
-    def strip_leading(ws: Column) -> Column:
-        first = F.array_position(F.transform(ws, lambda w: ~_is_stopword(w)), True)
-        return F.when(first > 0, F.slice(ws, first.cast("int"), F.size(ws))).otherwise(F.array().cast("array<string>"))
-
-    phrases = F.filter(F.transform(runs, strip_leading), lambda ws: F.size(ws) >= 2)
-    return F.transform(phrases, lambda ws: F.array_join(ws, " "))
+    stop = "(" + ", ".join(f"'{w}'" for w in KEYWORD_STOPWORDS) + ")"
+    word = r"'[\\p{L}\\p{N}_]+'"
+    return f"""
+flatten(transform(split({text}, '[.]', -1), s ->
+  transform(
+    filter(
+      transform(
+        transform(
+          split(array_join(transform(regexp_extract_all(s, {word}, 0),
+                  w -> CASE WHEN w RLIKE '^\\\\p{{Lu}}' OR lower(w) IN {stop} THEN w ELSE '*' END), ' '), '[*]', -1),
+          ch -> filter(split(ch, ' ', -1), x -> x != '')),
+        ws -> CASE WHEN array_position(transform(ws, y -> NOT lower(y) IN {stop}), true) > 0
+                   THEN slice(ws, CAST(array_position(transform(ws, y -> NOT lower(y) IN {stop}), true) AS INT), size(ws))
+                   ELSE CAST(array() AS ARRAY<STRING>) END),
+      ws -> size(ws) >= 2),
+    ws -> array_join(ws, ' '))))
+"""
 
 
-def keywords(text) -> Column:
-    """All keyword phrases of a text: sentences split on '.', phrases never cross a sentence."""
-    sentences = F.split(_c(text), r"\.", -1)
-    return F.flatten(F.transform(sentences, sentence_keywords))
+def keywords(name: str) -> Column:
+    """All keyword phrases of the named text column."""
+    return F.expr(keywords_sql(f"`{name}`"))
 
 
 def words_not_in(x, y) -> Column:

@@ -27,7 +27,7 @@ from cobble.functions import text as X
 from cobble.operators import aggregates as A
 from cobble.operators import ordered as O
 from cobble.operators import violations as V
-from cobble.session import ensure_checkpoint_dir, spread
+from cobble.session import ensure_checkpoint_dir, shared_scratch, spread
 from cobble.sources import io
 
 # Positions of the fields the violations job reads (0-based) in the city's parking
@@ -67,7 +67,7 @@ def violations(spark: SparkSession, violations_glob: str, segments_path: str, id
 def complaints(spark: SparkSession, path: str, out: str, lowercase: bool = False) -> DataFrame:
     """Complaints CSV (quoted fields may hold newlines) -> product, year, complaints,
     companies, top company's share in whole percent, as CSV."""
-    df = spread(spark.read.csv(path, header=True, multiLine=True, escape='"', quote='"'))
+    df = spread(spark.read.csv(path, header=True, multiLine=True, escape='"', quote='"'), splits=False)
     rep = A.complaints_report(df, "Product", "Date sent to company", "Company", lowercase_product=lowercase)
     io.write_csv(rep.orderBy("product", "year"), out)
     return rep
@@ -93,9 +93,11 @@ def schools(spark: SparkSession, sat_path: str, schools_path: str, out: str, min
     sat = sat.filter(F.col("takers") != "s").select(
         "dbn", F.col("takers").try_cast("bigint").alias("takers"), F.col("math").try_cast("bigint").alias("score")
     )
-    names = [f"c{i}" for i in range(58)]
+    # Rows of exactly 58 fields: the last one is there, and there is none after it.
+    names = [f"c{i}" for i in range(59)]
     sch = io.read_positional_csv(spark, schools_path, names, header_first="dbn")
-    big = sch.filter(F.col("c17").rlike(r"\A[0-9]+\z") & F.col("c57").isNotNull()).filter(
+    exact = F.col("c57").isNotNull() & F.col("c58").isNull()
+    big = sch.filter(F.col("c17").rlike(r"\A[0-9]+\z") & exact).filter(
         F.col("c17").cast("bigint") > min_students
     ).select(F.col("c0").alias("dbn"), F.col("c2").alias("boro"))
     rep = A.weighted_mean_truncated(big.join(sat, "dbn"), "boro", "score", "takers")
@@ -115,16 +117,24 @@ def words(spark: SparkSession, path: str, out: str, first_lines: int | None = No
     if first_lines is not None:
         lines = O.top_k(lines, int(first_lines), F.asc("_file"), F.asc("_ord"))
     counts = A.token_counts(spread(lines), F.transform(X.word_tokens("value", True), lambda w: F.lower(w)))
+    # Counted once: the other two results are taken from the written counts.
     io.write_csv(counts, os.path.join(out, "counts"))
+    counts = spark.read.csv(
+        os.path.join(out, "counts"), schema=counts.schema, quote='"', escape='"', nullValue="\0", emptyValue=""
+    )
     io.write_csv(O.top_k(counts, 10, F.desc("n"), F.asc("word")), os.path.join(out, "top10"))
     io.write_csv(A.most_frequent(counts, "word", "n"), os.path.join(out, "most_used"))
     return counts
 
 
 def keywords(spark: SparkSession, path: str, out: str) -> DataFrame:
-    """Capitalised phrases of each text file, in text order."""
-    docs = spread(spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value"))
-    kw = docs.select("file", F.posexplode(X.keywords("value")).alias("pos", "keyword"))
+    """Capitalised phrases of each text file: (file, sentence, pos, keyword), where ``sentence``
+    rises with the place in the file. The full stop is the record separator, so one large
+    file is cut like any text, and no phrase crosses a sentence anyway."""
+    sentences = spark.read.text(path, lineSep=".").select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("sentence"), "value"
+    )
+    kw = spread(sentences).select("file", "sentence", F.posexplode(X.keywords("value")).alias("pos", "keyword"))
     io.write_csv(kw, out)
     return kw
 
@@ -140,6 +150,10 @@ def bikes(spark: SparkSession, trips_path: str, docking_path: str, out: str) ->
         "start_station_name STRING, s_lat STRING, s_lon STRING, end_station_id STRING, end_station_name STRING, "
         "e_lat STRING, e_lon STRING, bikeid STRING, usertype STRING, birth_year STRING, gender INT",
     ).withColumn("_row", _input_order())
+    # Parsed once; each result then reads only its own columns.
+    parsed = shared_scratch(spark, "trips")
+    io.write_table(trips, parsed)
+    trips = spark.read.parquet(parsed)
     labels = F.element_at(F.array(F.lit("Unknown"), F.lit("Male"), F.lit("Female")), F.col("gender") + 1)
     pick = trips.filter(F.col("usertype") == "Subscriber").groupBy(labels.alias("gender"), "start_station_name").agg(
         F.count(F.lit(1)).alias("trips")
@@ -153,7 +167,7 @@ def bikes(spark: SparkSession, trips_path: str, docking_path: str, out: str) ->
         "top_station_by_gender": A.best_per_group(pick, "gender", "start_station_name", "trips"),
         "hour_histogram": trips.groupBy(F.hour("starttime").alias("hour")).agg(F.count(F.lit(1)).alias("n")),
         "first_ride_of_day": O.first_per_group(trips, F.to_date("starttime"), ["starttime", "_row"], "day").drop("_row"),
-        "max_riders_from_trips": O.max_concurrency(trips, "starttime", "stoptime", "_row"),
+        "max_riders_from_trips": O.max_concurrency(trips, "starttime", "stoptime"),
         "max_riders_from_docks": O.max_running_level(dock, ["time", "_row"], delta, F.col("event") == "undock"),
     }
     for name, df in res.items():

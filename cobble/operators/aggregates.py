@@ -63,7 +63,7 @@ def complaints_report(
 def distinct_and_total(
     df: DataFrame, key: str, member: str, amount: str, money_scale: int = 2, first_seen: str | None = None
 ) -> DataFrame:
-    """key -> exact number of distinct members and the total amount (money summed as decimals).
+    """key -> exact number of distinct members and the total amount (money stays decimal).
 
     Two-level: (key, member) partial sums first, then per key count and sum. This is the
     exact form that needs no clustering of the input; a key held by a third of all rows is
@@ -77,7 +77,7 @@ def distinct_and_total(
     extra2 = [F.min("_first").alias("first_seen")] if first_seen else []
     return per_member.groupBy(key).agg(
         F.count(F.lit(1)).alias("customers"),
-        F.sum("_amt").cast("double").alias("revenue"),
+        F.sum("_amt").alias("revenue"),
         *extra2,
     )
 

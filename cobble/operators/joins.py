@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cobble.functions.streets import house_parity, in_box
+from cobble.session import shared_scratch
 
 # Default bound for shipping a lookup to every task (an explicit hint; Spark's own
 # automatic limit is 10 MiB, and a city's street segments are just above that).
@@ -50,17 +51,17 @@ def broadcast_if_bounded(
     max_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> tuple[DataFrame, SizeCheck]:
     """Hint ``broadcast`` only when the measured size is within bounds; otherwise leave the
-    join to a shuffle (sort-merge, with AQE's skew handling). The caller should pass a
-    persisted or cheap-to-recompute DataFrame, since it is measured by running it."""
-    # Measure a cached copy: when it is small enough, the join then reads the blocks the
-    # measurement filled (lost blocks are recomputed from lineage); otherwise drop them.
-    cached = df.cache()
-    rows, size = measure(cached)
+    join to a shuffle (sort-merge, with AQE's skew handling).
+
+    The table is written to the shared folder, measured there and joined from there: it is
+    built once, and nothing stays in the executors' memory after the query."""
+    spark = df.sparkSession
+    path = shared_scratch(spark, "lookup")
+    df.write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    rows, size = measure(written)
     ok = rows <= max_rows and size <= max_bytes
-    if not ok:
-        cached.unpersist()
-        return df, SizeCheck(rows, size, ok)
-    return F.broadcast(cached), SizeCheck(rows, size, ok)
+    return (F.broadcast(written) if ok else written), SizeCheck(rows, size, ok)
 
 
 def street_lookup(segments: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -72,9 +73,10 @@ def street_lookup(segments: DataFrame, aliases: DataFrame) -> DataFrame:
     label (priority 1, in alias order). Alias rows equal to their label add nothing: the
     label pass has already tried those same segments.
 
-    Each row carries ``rank``: its position in first-match order among the rows of the
-    same (key, borough, side) - label segments in source order, then alias-reached ones -
-    so the probe side only needs min_by(pid, rank). The part count ``n`` and the first two
+    Each row carries ``rank``, a (priority, alias order, source order) struct that compares
+    in first-match order - label segments in source order, then alias-reached ones - so the
+    probe side only needs min_by(pid, rank), and no window has to number the rows of a hot
+    key: rows of one range are reduced by an ordinary aggregate, map-side first. The part count ``n`` and the first two
     parts of both ends are split out as plain columns for a code-generated range test.
     """
     seg = segments.select("label", "borough", "l_low", "l_high", "r_low", "r_high", "pid", "ord")
@@ -94,8 +96,7 @@ def street_lookup(segments: DataFrame, aliases: DataFrame) -> DataFrame:
     )
     # Ends of unequal length can never hold a house number (its parts must match both).
     rows = rows.filter(F.size("low") == F.size("high"))
-    w = Window.partitionBy("key", "borough", "side").orderBy("pri", "aord", "ord")
-    ranked = rows.select("key", "borough", "side", "low", "high", "pid", F.row_number().over(w).cast("bigint").alias("rank"))
+    ranked = rows.select("key", "borough", "side", "low", "high", "pid", F.struct("pri", "aord", "ord").alias("rank"))
     # Among rows of one (key, borough, side) with the very same range only the first can
     # ever be chosen: keep that one. Exact, and it bounds the candidates an address can
     # meet by the number of distinct ranges rather than the number of segments.
@@ -132,7 +133,8 @@ def first_match_segment(
     side from parity, number of parts) with the per-part range test as the residual
     condition, then keep per address the candidate of smallest rank: the label's own
     segments in source order first, and only then the alias-reached ones. Addresses with
-    no candidate are dropped (the matching is an inner join).
+    no candidate are dropped (the matching is an inner join), and so are those whose first
+    match has no readable id.
 
     The aggregate groups by the address keys the input is already partitioned on, so it
     adds no shuffle after the (broadcast) join.
@@ -161,21 +163,40 @@ def first_match_segment(
     others = [c for c in addresses.columns if c not in address_keys]
     return cand.groupBy(*address_keys).agg(
         *[F.first(c).alias(c) for c in others], F.min_by("_pid", "_rank").alias("pid")
-    )
+    ).filter(F.col("pid").isNotNull())
+
+
+#: Copies of one roster id that a single row stands for until the last step.
+COPIES_PER_ROW = 1000
 
 
-def roster_outer_join(roster: DataFrame, results: DataFrame, key: str, fill_cols: Sequence[str]) -> DataFrame:
+def roster_outer_join(
+    roster: DataFrame,
+    results: DataFrame,
+    key: str,
+    fill_cols: Sequence[str],
+    ordered: bool = False,
+    copies_per_row: int = COPIES_PER_ROW,
+) -> DataFrame:
     """Every roster id (repeats kept) plus every result id, with zeros where nothing matched.
 
     The roster is first reduced to (id, copies) so the outer join sees unique keys on both
-    sides; the copies are re-expanded afterwards with a copy number, so a hot repeated id
-    does not make one join task, and a later sort on (id, copy) can split it.
+    sides. An id becomes a row for each ``copies_per_row`` of its copies; these rows are
+    dealt out anew, by range when the result is ``ordered`` by
+    (id, copy), and only then does each of them become its copies, so a hot id is expanded by
+    many tasks and no array holds more than ``copies_per_row`` numbers.
     """
     copies = roster.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
     joined = copies.join(results, key, "full")
     filled = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in fill_cols]
-    return joined.select(
-        key,
-        *filled,
-        F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1)).cast("int"))).alias("copy"),
-    )
+    n = F.coalesce(F.col("_copies"), F.lit(1)).cast("bigint")
+    per = F.lit(int(copies_per_row)).cast("bigint")
+    last = F.expr(f"(coalesce(_copies, 1L) - 1) div {int(copies_per_row)}L")
+    rows = joined.select(key, *filled, n.alias("_n"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_row"))
+    if ordered:
+        rows = rows.orderBy(key, "_row")
+    else:
+        rows = rows.repartition(key, "_row")
+    first = F.col("_row") * per + 1
+    upto = F.least(F.col("_n"), (F.col("_row") + 1) * per)
+    return rows.select(key, *fill_cols, F.explode(F.sequence(first, upto)).alias("copy"))

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cobble.session import shared_scratch
+
 BUCKET = "_bucket"
 
 
@@ -44,19 +46,19 @@ def change_runs(
     """key -> number of runs of equal consecutive ``member`` values in ``order_cols`` order.
 
     Counts one for the first row of each key and one for every row whose member differs
-    from the previous row of the same key: the counter of a one-pass scan that remembers
-    only the last member per key.
+    from the previous row of the same key (a NULL member equals a NULL one): the counter of
+    a one-pass scan that remembers only the last member per key.
     """
     cols = [key, member, *order_cols]
     b = range_buckets(df.select(*cols), [key, *order_cols], num_buckets)
     w = Window.partitionBy(key, BUCKET).orderBy(*order_cols)
-    prev = F.lag(member).over(w)
+    prev, first = F.lag(member).over(w), F.row_number().over(w) == 1
     starts = b.select(
         key,
         BUCKET,
         member,
         F.struct(*order_cols).alias("_o"),
-        F.when(prev.isNull() | (prev != F.col(member)), 1).otherwise(0).alias("_start"),
+        F.when(first | ~prev.eqNullSafe(F.col(member)), 1).otherwise(0).alias("_start"),
     )
     # One row per (key, range); the window above already clusters by (key, _bucket).
     per_range = starts.groupBy(key, BUCKET).agg(
@@ -65,7 +67,7 @@ def change_runs(
         F.max_by(member, "_o").alias("_last"),
     )
     w2 = Window.partitionBy(key).orderBy(BUCKET)
-    joined = F.lag("_last").over(w2) == F.col("_first")
+    joined = (F.row_number().over(w2) > 1) & F.lag("_last").over(w2).eqNullSafe(F.col("_first"))
     return per_range.select(key, (F.col("_starts") - F.when(joined, 1).otherwise(0)).alias("_r")).groupBy(key).agg(
         F.sum("_r").cast("bigint").alias(out)
     )
@@ -93,18 +95,14 @@ def level_summaries(
     peak_at: Column,
     num_buckets: int | None = None,
 ) -> DataFrame:
-    """One row per ordered range: ``_bucket``, ``_net`` (sum of deltas), ``_peak`` (highest
-    in-range running total at a peak row; NULL when the range has none) and ``_first``
-    and ``_last`` (the range's first and last order keys). Zero deltas are dropped first."""
+    """One row per ordered range: ``_bucket``, ``_net`` (sum of deltas) and ``_peak`` (highest
+    in-range running total at a peak row; NULL when the range has none). Zero deltas are
+    dropped first."""
     d = df.select(*order_cols, delta.cast("bigint").alias("_d"), peak_at.alias("_p")).filter(F.col("_d") != 0)
     b = range_buckets(d, order_cols, num_buckets)
     w = Window.partitionBy(BUCKET).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    levels = b.select(
-        BUCKET, "_d", F.when(F.col("_p"), F.sum("_d").over(w)).alias("_lvl"), F.struct(*order_cols).alias("_o")
-    )
-    return levels.groupBy(BUCKET).agg(
-        F.sum("_d").alias("_net"), F.max("_lvl").alias("_peak"), F.min("_o").alias("_first"), F.max("_o").alias("_last")
-    )
+    levels = b.select(BUCKET, "_d", F.when(F.col("_p"), F.sum("_d").over(w)).alias("_lvl"))
+    return levels.groupBy(BUCKET).agg(F.sum("_d").alias("_net"), F.max("_lvl").alias("_peak"))
 
 
 def stitch_levels(summaries: DataFrame, order_col: str, net: str = "_net", peak: str = "_peak") -> DataFrame:
@@ -113,23 +111,11 @@ def stitch_levels(summaries: DataFrame, order_col: str, net: str = "_net", peak:
     row per range, never over raw rows."""
     before = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum(net).over(before), F.lit(0))
-    return summaries.select(F.col(net).alias("_n"), (offset + F.col(peak)).alias("_abs"), "_first", "_last").agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("_net"),
-        F.max("_abs").cast("bigint").alias("_peak"),
-        F.min("_first").alias("_first"),
-        F.max("_last").alias("_last"),
+    return summaries.select(F.col(net).alias("_n"), (offset + F.col(peak)).alias("_abs")).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("_net"), F.max("_abs").cast("bigint").alias("_peak")
     )
 
 
-def ranges_disjoint(summaries: DataFrame, order_col: str = "_first") -> bool:
-    """True when the summarised stretches do not overlap once put in order (each one starts
-    after the previous one ends): the condition for ``stitch_levels`` to be exact. One
-    boolean comes back to the driver."""
-    prev_last = F.lag("_last").over(Window.orderBy(order_col))
-    bad = summaries.select(F.when(prev_last >= F.col("_first"), 1).otherwise(0).alias("_bad"))
-    return bad.agg(F.coalesce(F.max("_bad"), F.lit(0)).alias("b")).first()["b"] == 0
-
-
 def max_running_level(
     df: DataFrame,
     order_cols: Sequence[str],
@@ -152,21 +138,26 @@ def max_concurrency(
     df: DataFrame,
     start: str,
     stop: str,
-    tie: str,
     out: str = "max_concurrent",
     num_buckets: int | None = None,
 ) -> DataFrame:
     """Most intervals [start, stop) open at once: +1 at start, -1 at stop, and at equal
-    times the stop is applied before the start."""
+    times the stop is applied before the start.
+
+    All stops of a time come before all its starts, so the level after the last of them is
+    the time's peak: starts and stops are first added up by time, map-side, and only one row
+    per distinct time and kind is put in order."""
     ev = df.select(
         F.explode(
             F.array(
-                F.struct(F.col(start).alias("t"), F.lit(1).alias("k"), F.col(tie).alias("id"), F.lit(1).alias("d")),
-                F.struct(F.col(stop).alias("t"), F.lit(0).alias("k"), F.col(tie).alias("id"), F.lit(-1).alias("d")),
+                F.struct(F.col(start).alias("t"), F.lit(1).alias("k"), F.lit(1).alias("d")),
+                F.struct(F.col(stop).alias("t"), F.lit(0).alias("k"), F.lit(-1).alias("d")),
             )
         ).alias("e")
     ).select("e.*")
-    return max_running_level(ev, ["t", "k", "id"], F.col("d"), F.col("d") > 0, out=out, num_buckets=num_buckets)
+    # A missing time counts like any other value in the order, as one time.
+    steps = ev.groupBy("t", "k").agg(F.sum("d").alias("d"))
+    return max_running_level(steps, ["t", "k"], F.col("d"), F.col("k") == 1, out=out, num_buckets=num_buckets)
 
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
@@ -174,6 +165,24 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def with_ordinal(df: DataFrame, order_cols: Sequence[str], name: str = "ordinal", num_buckets: int | None = None) -> DataFrame:
+    """Number the rows from 0 in ``order_cols`` order (F18): numbers within ordered ranges, and
+    for each range how many rows lie before it (a window over one row per range). The
+    numbered ranges are written once, since ranges cut a second time may differ."""
+    spark = df.sparkSession
+    b = range_buckets(df, order_cols, num_buckets)
+    within = F.row_number().over(Window.partitionBy(BUCKET).orderBy(*order_cols))
+    path = shared_scratch(spark, "ordinal")
+    b.withColumn("_within", within.cast("bigint") - 1).write.parquet(path)
+    numbered = spark.read.parquet(path)
+    sizes = numbered.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return numbered.join(F.broadcast(starts), BUCKET).select(
+        *df.columns, (F.col("_start") + F.col("_within")).cast("bigint").alias(name)
+    )
+
+
 def first_lines(df: DataFrame, ordinal: str, n: int) -> DataFrame:
     """The first ``n`` rows by a stored input ordinal (K5): a filter, not ``limit``, so the
     choice of rows does not depend on how the input was split."""

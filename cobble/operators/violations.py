@@ -130,23 +130,36 @@ def violations_report(
     aliases: DataFrame,
     roster: DataFrame,
     years: Sequence[int] = VIOLATION_YEARS,
+    ordered: bool = True,
     **bounds,
 ) -> DataFrame:
     """Every roster id (repeats kept) and every matched id: yearly counts and slope, zeros
-    where nothing matched, in id order."""
+    where nothing matched, in order of (id, copy) if ``ordered``."""
     per_pid = segment_year_counts(violations, segments, aliases, years, **bounds)
     ycols = [f"y{y}" for y in years]
-    full = roster_outer_join(roster.select(F.col("pid").cast("bigint")), per_pid, "pid", [*ycols, "slope"])
+    full = roster_outer_join(roster.select(F.col("pid").cast("bigint")), per_pid, "pid", [*ycols, "slope"], ordered)
     return full.select("pid", *[F.col(c).cast("bigint").alias(c) for c in ycols], F.col("slope").cast("double"), "copy")
 
 
+def python_float_text(c: str) -> Column:
+    """A double as Python prints it: plain digits from 1e-4 to below 1e16, else an exponent
+    of two or more digits (Spark turns to exponents at 1e-3 and 1e7, and writes E-5)."""
+    x = F.col(c)
+    plain = F.regexp_replace(F.regexp_replace(x.cast("decimal(38,21)").cast("string"), "0+$", ""), r"\.$", ".0")
+    e = F.regexp_replace(F.regexp_replace(x.cast("string"), r"\.0E", "E"), r"E(\d)", r"E+$1")
+    short = F.regexp_replace(F.regexp_replace(e, r"E([+-])(\d)$", r"E$10$2"), "E", "e")
+    inside = ((F.abs(x) >= 1e-4) & (F.abs(x) < 1e16)) | (x == 0)
+    return F.when(inside, plain).otherwise(short)
+
+
 def report_lines(report: DataFrame, years: Sequence[int] = VIOLATION_YEARS) -> DataFrame:
-    """'pid, y1, ..., y5, slope' text lines; an unmatched id prints its slope as 0."""
+    """'pid, y1, ..., y5, slope' text lines of an ordered report, in its order; an unmatched id
+    prints its slope as 0."""
     ycols = [f"y{y}" for y in years]
     hits = None
     for c in ycols:
         hits = F.col(c) if hits is None else hits + F.col(c)
-    slope_text = F.when(hits == 0, F.lit("0")).otherwise(F.col("slope").cast("string"))
-    return report.orderBy("pid", "copy").select(
+    slope_text = F.when(hits == 0, F.lit("0")).otherwise(python_float_text("slope"))
+    return report.select(
         F.concat_ws(", ", F.col("pid").cast("string"), *[F.col(c).cast("string") for c in ycols], slope_text).alias("value")
     )

@@ -5,8 +5,19 @@ Each SQL string yields the same column names and values as the Spark query of th
 
 from __future__ import annotations
 
-from cobble.functions.streets import ALL_BOROUGH_SPELLINGS, BOROUGH_SPELLINGS
-from cobble.plans.testdata import ORDINAL_ENDINGS, PART_TYPES, PROBE_BOROUGHS
+# Fixed values, written out here a second time so that a wrong table in the code under test
+# shows: borough spellings by code, part types, ordinal endings of the test streets.
+BOROUGH_SPELLINGS = {
+    1: ("MAN", "MH", "MN", "NEWY", "NEW Y", "NY"),
+    2: ("BRONX", "BX"),
+    3: ("BK", "K", "KING", "KINGS"),
+    4: ("Q", "QN", "QNS", "QU", "QUEEN"),
+    5: ("R", "RICHMOND"),
+}
+ALL_BOROUGH_SPELLINGS = tuple(s for names in BOROUGH_SPELLINGS.values() for s in names)
+PROBE_BOROUGHS = (*ALL_BOROUGH_SPELLINGS, "XX", " ")
+PART_TYPES = ("STANDARD", "MEDIUM", "PROMO", "LARGE", "ECONOMY", "SMALL")
+ORDINAL_ENDINGS = ("th st", "st st", "nd st")
 
 ORACLES: dict[str, str] = {}
 
@@ -190,7 +201,7 @@ joined AS (
          {", ".join(f"coalesce(t.y{y}, 0) AS y{y}" for y in YEARS)}, coalesce(t.slope, 0.0) AS slope
   FROM copies c FULL OUTER JOIN trend t ON c.pid = t.pid
 )
-SELECT pid, {", ".join(f"y{y}" for y in YEARS)}, slope, CAST(g.copy AS INT) AS copy
+SELECT pid, {", ".join(f"y{y}" for y in YEARS)}, slope, CAST(g.copy AS BIGINT) AS copy
 FROM joined, LATERAL (SELECT unnest(generate_series(1, coalesce(joined.n, 1))) AS copy) g
 ORDER BY pid, copy
 """
@@ -259,7 +270,9 @@ ends AS (SELECT start_station AS station FROM trips UNION ALL SELECT end_station
 SELECT station, CAST(count(*) AS BIGINT) AS trips FROM ends GROUP BY station
 """
 ORACLES["station_trips"] = _STATION_TRIPS
-ORACLES["busy_stations"] = f"SELECT * FROM ({_STATION_TRIPS}) WHERE trips > 4800"
+ORACLES["busy_stations"] = (
+    f"WITH st AS ({_STATION_TRIPS}) SELECT * FROM st WHERE trips > (SELECT sum(trips) / count(*) FROM st)"
+)
 ORACLES["station_pairs"] = f"""
 WITH {_TRIPS}
 SELECT least(start_station, end_station) AS station_a, greatest(start_station, end_station) AS station_b,
@@ -296,36 +309,39 @@ ORACLES["top3_words"] = f"SELECT * FROM ({_LOWER_COUNTS}) ORDER BY n DESC, word
 ORACLES["most_used_word"] = f"SELECT n, word FROM ({_LOWER_COUNTS}) ORDER BY n DESC, word DESC LIMIT 1"
 
 _STOP = "('the', 'of', 'when', 'in')"
+# Gaps and islands: a word that is neither capitalised nor a stopword ends an island; an island
+# counts from its first word that is no stopword, if two or more words are left.
 ORACLES["keywords"] = f"""
-WITH s AS (
-  SELECT doc_id, list_transform(string_split(text, '.'), lambda sent:
-    list_transform(
-      list_filter(
-        list_transform(
-          list_transform(
-            string_split(array_to_string(list_transform(regexp_extract_all(sent, '{_WORD}'),
-              lambda w: CASE WHEN regexp_matches(w, '^\\p{{Lu}}') OR lower(w) IN {_STOP} THEN w ELSE '*' END), ' '), '*'),
-            lambda ch: list_filter(string_split(ch, ' '), lambda x: x <> '')),
-          lambda ws: CASE WHEN list_position(list_transform(ws, lambda x: lower(x) NOT IN {_STOP}), true) IS NULL
-                          THEN []::VARCHAR[]
-                          ELSE ws[list_position(list_transform(ws, lambda x: lower(x) NOT IN {_STOP}), true):] END),
-        lambda ws: len(ws) >= 2),
-      lambda ws: array_to_string(ws, ' '))) AS per_sentence
-  FROM documents
+WITH sent AS (
+  SELECT doc_id, generate_subscripts(string_split(text, '.'), 1) AS s_no, unnest(string_split(text, '.')) AS sent FROM documents
+),
+tok AS (
+  SELECT doc_id, s_no, generate_subscripts(ws, 1) AS i, unnest(ws) AS w
+  FROM (SELECT doc_id, s_no, regexp_extract_all(sent, '{_WORD}') AS ws FROM sent)
+),
+cls AS (SELECT *, lower(w) IN {_STOP} AS is_stop, regexp_matches(w, '^\\p{{Lu}}') AS cap FROM tok),
+isl AS (
+  SELECT *, sum(CASE WHEN cap OR is_stop THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, s_no ORDER BY i) AS g FROM cls
 ),
-f AS (SELECT doc_id, flatten(per_sentence) AS kws FROM s)
-SELECT doc_id, CAST(generate_subscripts(kws, 1) - 1 AS INT) AS pos, unnest(kws) AS keyword FROM f
+led AS (
+  SELECT *, min(CASE WHEN NOT is_stop THEN i END) OVER (PARTITION BY doc_id, s_no, g) AS f FROM isl WHERE cap OR is_stop
+),
+phr AS (
+  SELECT doc_id, s_no, g, min(i) AS lead_i, string_agg(w, ' ' ORDER BY i) AS keyword
+  FROM led WHERE i >= f GROUP BY doc_id, s_no, g HAVING count(*) >= 2
+)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s_no, lead_i) - 1 AS INT) AS pos, keyword FROM phr
 """
 
 ORACLES["hour_histogram"] = "SELECT CAST(hour(ts) AS INT) AS hour, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1"
 
 ORACLES["first_event_of_day"] = """
 WITH r AS (
-  SELECT strftime(ts, '%Y-%m-%d') AS day, event_id, ts, user_id, event_type, value,
+  SELECT strftime(ts, '%Y-%m-%d') AS day, event_id, ts, user_id, event_type, value, props,
          row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY ts, event_id) AS rn
   FROM events
 )
-SELECT day, event_id, ts, user_id, event_type, value FROM r WHERE rn = 1
+SELECT day, event_id, ts, user_id, event_type, value, props FROM r WHERE rn = 1
 """
 
 ORACLES["max_concurrent_events"] = """
@@ -356,7 +372,7 @@ sl AS (
   SELECT o_orderkey,
          array_to_string(list_transform(nums, lambda x: CAST(x AS VARCHAR)), ',') || ' : ' ||
          CASE o_orderstatus WHEN 'F' THEN 'Good Service' WHEN 'O' THEN 'Delays' WHEN 'P' THEN 'Planned Work' END AS status_line
-  FROM (SELECT l_orderkey, list_sort(list_distinct(list(l_linenumber))) AS nums FROM lineitem GROUP BY l_orderkey) g
+  FROM (SELECT l_orderkey, list_sort(list(l_linenumber)) AS nums FROM lineitem GROUP BY l_orderkey) g
   JOIN orders ON l_orderkey = o_orderkey
 )"""
 ORACLES["delayed_lines"] = f"""
@@ -407,8 +423,8 @@ FROM v GROUP BY 1, 2
 
 ORACLES["words_not_in"] = """
 WITH j AS (
-  SELECT c.conv_id, c.turn, c.text, p.text AS prev_text
-  FROM conversations c JOIN conversations p ON c.conv_id = p.conv_id AND c.turn = p.turn + 1
+  SELECT c.conv_id, c.turn, c.text, coalesce(p.text, '') AS prev_text
+  FROM conversations c LEFT JOIN conversations p ON c.conv_id = p.conv_id AND c.turn = p.turn + 1
 ),
 w AS (
   SELECT conv_id, turn,
@@ -469,14 +485,14 @@ trend AS (
     SELECT *, ((((CAST(y{_TY[0]} AS DOUBLE) + CAST(y{_TY[1]} AS DOUBLE)) + CAST(y{_TY[2]} AS DOUBLE)) + CAST(y{_TY[3]} AS DOUBLE))
                + CAST(y{_TY[4]} AS DOUBLE)) / 5.0 AS ym FROM per)
 ),
-roster AS (SELECT c_custkey AS pid FROM customer UNION ALL SELECT c_custkey + 1000000 FROM customer WHERE c_custkey % 10 = 0),
+roster AS (SELECT c_custkey AS pid FROM customer UNION ALL SELECT -c_custkey - 1 FROM customer WHERE c_custkey % 10 = 0),
 copies AS (SELECT pid, count(*) AS n FROM roster GROUP BY pid),
 joined AS (
   SELECT coalesce(c.pid, t.pid) AS pid, c.n, {", ".join(f"coalesce(t.y{y}, 0) AS y{y}" for y in _TY)},
          coalesce(t.slope, 0.0) AS slope
   FROM copies c FULL OUTER JOIN trend t ON c.pid = t.pid
 )
-SELECT pid, {", ".join(f"y{y}" for y in _TY)}, slope, CAST(g.copy AS INT) AS copy
+SELECT pid, {", ".join(f"y{y}" for y in _TY)}, slope, CAST(g.copy AS BIGINT) AS copy
 FROM joined, LATERAL (SELECT unnest(generate_series(1, coalesce(joined.n, 1))) AS copy) g
 ORDER BY pid, copy
 """
@@ -498,6 +514,10 @@ ORACLES["feature_explode"] = f"SELECT * FROM ({_FEATURES})"
 
 ORACLES["stream_hour_histogram"] = ORACLES["hour_histogram"]
 ORACLES["stream_first_event_of_day"] = ORACLES["first_event_of_day"]
+ORACLES["stream_closed_days"] = f"""
+SELECT * FROM ({ORACLES['first_event_of_day']})
+WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
+"""
 ORACLES["stream_max_concurrent_events"] = ORACLES["max_concurrent_events"]
 ORACLES["stream_revenue"] = """
 WITH per AS (
@@ -542,3 +562,28 @@ ORACLES["weekday_hour"] = (
     "SELECT CAST(isodow(ts) - 1 AS INT) AS weekday, CAST(hour(ts) AS INT) AS hour, CAST(count(*) AS BIGINT) AS n "
     "FROM events GROUP BY 1, 2"
 )
+
+ORACLES["violations_csv"] = f"""
+SELECT county, right(issue_date, 4) AS year, CAST(count(*) AS BIGINT) AS n,
+       CAST(count(DISTINCT (house_number, street_name)) AS BIGINT) AS addresses
+FROM ({_VIOLATION_ROWS}) GROUP BY 1, 2
+"""
+
+ORACLES["violations_report_lines"] = f"""
+SELECT concat_ws(', ', CAST(pid AS VARCHAR), {", ".join(f"CAST(y{y} AS VARCHAR)" for y in YEARS)},
+         CASE WHEN {" + ".join(f"y{y}" for y in YEARS)} = 0 THEN '0' ELSE CAST(slope AS VARCHAR) END) AS line
+FROM ({ORACLES['violations_by_segment']})
+"""
+
+ORACLES["feature_collection"] = ORACLES["feature_explode"]
+
+ORACLES["first_lines"] = """
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no, unnest(string_split(text, chr(10))) AS line
+  FROM documents
+),
+n AS (SELECT row_number() OVER (ORDER BY doc_id, line_no) - 1 AS ordinal, * FROM lines)
+SELECT CAST(ordinal AS BIGINT) AS ordinal, doc_id, CAST(line_no AS INT) AS line_no,
+       CAST(len(list_filter(string_split(trim(line), ' '), lambda w: w <> '')) AS INT) AS n_words
+FROM n WHERE ordinal < 100
+"""

@@ -29,20 +29,20 @@ def register(name: str):
 
 
 def _violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = TD.violation_rows(spark, sf_dir)
+    raw = TD.derive_violation_rows(spark, sf_dir)
     return V.prepare_violations(raw, "issue_date", "county", "house_number", "street_name", YEARS)
 
 
-def _violations_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _violations_report(spark: SparkSession, sf_dir: str, ordered: bool = True) -> DataFrame:
     segments, aliases = V.prepare_segments(TD.segment_features(spark, sf_dir))
     roster = TD.segment_roster(spark, sf_dir)
-    return V.violations_report(_violations(spark, sf_dir), segments, aliases, roster, YEARS)
+    return V.violations_report(_violations(spark, sf_dir), segments, aliases, roster, YEARS, ordered)
 
 
 @register("violations_by_segment")
 def violations_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: roster ids with yearly violation counts and slope."""
-    return _violations_report(spark, sf_dir).orderBy("pid", "copy")
+    return _violations_report(spark, sf_dir)
 
 
 @register("resolve_segments")
@@ -77,9 +77,7 @@ def complaints_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(rows, "p_brand", "date_sent", "l_suppkey")
 
 
-@register("product_revenue")
-def product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per product: exact distinct customers and revenue."""
+def _product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cobble.operators.aggregates import distinct_and_total
 
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
@@ -90,6 +88,12 @@ def product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_and_total(rows, "product", "o_custkey", "l_extendedprice")
 
 
+@register("product_revenue")
+def product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per product: exact distinct customers and revenue."""
+    return _product_revenue(spark, sf_dir).withColumn("revenue", F.col("revenue").cast("double"))
+
+
 @register("customer_runs")
 def customer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per event type: runs of consecutive equal users in time order (W1), next to the
@@ -99,7 +103,8 @@ def customer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     runs = change_runs(ev, "event_type", "user_id", ["ts", "event_id"])
-    exact = distinct_and_total(ev, "event_type", "user_id", "value").withColumnRenamed("customers", "users")
+    exact = distinct_and_total(ev, "event_type", "user_id", "value")
+    exact = exact.select("event_type", F.col("customers").alias("users"), F.col("revenue").cast("double"))
     return runs.join(exact, "event_type")
 
 
@@ -138,16 +143,13 @@ def station_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return endpoint_counts(_trip_endpoints(spark, sf_dir), "start_station", "end_station")
 
 
-BUSY_THRESHOLD = 4800
-
-
 @register("busy_stations")
 def busy_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stations with more than a threshold of trips (F10, HAVING)."""
+    """Stations with more trips than the average station, whatever the size (F10, HAVING)."""
     from cobble.operators.aggregates import endpoint_counts, having_more_than
 
     counts = endpoint_counts(_trip_endpoints(spark, sf_dir), "start_station", "end_station")
-    return having_more_than(counts, "trips", BUSY_THRESHOLD)
+    return having_more_than(counts, "trips", counts.agg(F.avg("trips")).scalar())
 
 
 @register("station_pairs")
@@ -240,6 +242,9 @@ def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------- events in time
 
 
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
 @register("hour_histogram")
 def hour_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per hour of day, only hours present."""
@@ -252,7 +257,7 @@ def first_event_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole earliest event of each day."""
     from cobble.operators.ordered import first_per_group
 
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = table(spark, sf_dir, "events").select(*EVENT_COLUMNS)
     day = F.date_format("ts", "yyyy-MM-dd")
     return first_per_group(ev, day, ["ts", "event_id"], "day")
 
@@ -277,9 +282,8 @@ def max_concurrent_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.least("o_orderdate", "l_shipdate").alias("start"),
         F.greatest("o_orderdate", "l_shipdate").alias("stop"),
-        "l_orderkey",
     )
-    return max_concurrency(t, "start", "stop", "l_orderkey")
+    return max_concurrency(t, "start", "stop")
 
 
 # --------------------------------------------------------------------------- status lines
@@ -290,10 +294,10 @@ STATUS_TEXT = {"F": "Good Service", "O": "Delays", "P": "Planned Work"}
 
 
 def _status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One 'n,m,... : status' line per order, lines in ascending line-number order."""
+    """One 'n,m,... : status' line per order: every line number, repeats kept, ascending."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    lines = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("l_linenumber")).alias("nums"))
+    lines = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("nums"))
     status = F.coalesce(*[F.when(F.col("o_orderstatus") == k, F.lit(v)) for k, v in STATUS_TEXT.items()])
     return lines.join(o, lines.l_orderkey == o.o_orderkey).select(
         F.col("o_orderkey"),
@@ -385,7 +389,8 @@ def numeric_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("words_not_in")
 def words_not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per conversation turn: its words absent from the previous turn.
+    """Per conversation turn: its words absent from the previous turn, all of them where there
+    is none (A5, J6, U2).
 
     The previous turn is found by an equi-join on (conv_id, turn - 1), not a window, so a
     very long conversation is not gathered into one task."""
@@ -393,7 +398,7 @@ def words_not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     prev = cv.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("prev_text"))
-    j = cv.join(prev, ["conv_id", "turn"])
+    j = cv.join(prev, ["conv_id", "turn"], "left").withColumn("prev_text", F.coalesce("prev_text", F.lit("")))
     new = wni("text", "prev_text")
     return j.select("conv_id", "turn", F.array_join(new, " ").alias("new_words"), F.size(new).alias("n_new"))
 
@@ -435,7 +440,7 @@ def house_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cobble.functions.streets import house_parity
     from cobble.functions.streets import house_parts as hp
 
-    h = TD.violation_rows(spark, sf_dir).select(F.col("house_number").alias("house")).distinct()
+    h = TD.derive_violation_rows(spark, sf_dir).select(F.col("house_number").alias("house")).distinct()
     parts = hp("house")
     return h.select(
         "house",
@@ -450,9 +455,7 @@ def house_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 TREND_YEARS = (1995, 1996, 1997, 1998, 1999)
 
 
-@register("yearly_trend")
-def yearly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers x order year: yearly counts, slope, full roster with zeros."""
+def _yearly_trend(spark: SparkSession, sf_dir: str, ordered: bool) -> DataFrame:
     from cobble.operators.aggregates import with_trend, yearly_counts
     from cobble.operators.joins import roster_outer_join
 
@@ -460,9 +463,16 @@ def yearly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = o.filter(F.col("year").isin(*TREND_YEARS))
     per = with_trend(yearly_counts(o, "pid", "year", TREND_YEARS), TREND_YEARS)
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pid"))
-    roster = c.unionByName(c.filter(F.col("pid") % 10 == 0).select((F.col("pid") + 1_000_000).alias("pid")))
+    # Negative ids stand for roster entries that no order can name: keys are 0 or more.
+    roster = c.unionByName(c.filter(F.col("pid") % 10 == 0).select((-F.col("pid") - 1).alias("pid")))
     ycols = [f"y{y}" for y in TREND_YEARS]
-    return roster_outer_join(roster, per, "pid", [*ycols, "slope"]).orderBy("pid", "copy")
+    return roster_outer_join(roster, per, "pid", [*ycols, "slope"], ordered)
+
+
+@register("yearly_trend")
+def yearly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers x order year: yearly counts, slope, full roster with zeros."""
+    return _yearly_trend(spark, sf_dir, ordered=True)
 
 
 @register("reconcile_total")
@@ -470,8 +480,8 @@ def reconcile_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sum of every yearly count of the flagship report."""
     from cobble.operators.aggregates import sum_of_years
 
-    # The total does not depend on row order: sum the report before its final sort.
-    return sum_of_years(_violations_report(spark, sf_dir), YEARS)
+    # The total does not depend on row order.
+    return sum_of_years(_violations_report(spark, sf_dir, ordered=False), YEARS)
 
 
 # --------------------------------------------------------------------------- sources and sinks
@@ -506,11 +516,12 @@ def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cobble.session import shared_scratch
     from cobble.sources.io import read_text, write_lines
 
-    rep = yearly_trend(spark, sf_dir)
+    rep = _yearly_trend(spark, sf_dir, ordered=False)
     ycols = [f"y{y}" for y in TREND_YEARS]
     base = shared_scratch(spark, "text_roundtrip")
-    write_lines(rep.filter(F.col("pid") % 2 == 0), f"{base}/part=even", ["pid", *ycols, "slope"])
-    write_lines(rep.filter(F.col("pid") % 2 == 1), f"{base}/part=odd", ["pid", *ycols, "slope"])
+    # Every row goes to one of the folders, in one pass: even ids to one, all others to the other.
+    even = F.coalesce(F.col("pid") % 2 == 0, F.lit(False))
+    write_lines(rep.withColumn("part", F.when(even, "even").otherwise("odd")), base, ["pid", *ycols, "slope"], folders="part")
     lines = read_text(spark, f"{base}/part=*")
     f = F.split("value", ", ", -1)
     return lines.select(
@@ -559,25 +570,25 @@ def feature_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------- streaming
 
 
+#: Rows of an arriving file; a batch reads at most this many files, but for jobs that need them in order.
+EVENTS_PER_FILE, FILES_PER_BATCH = 10_000, 8
+
+
 def _event_files(spark: SparkSession, sf_dir: str) -> str:
-    """The events table as time-ranged files (each file a disjoint stretch of time), the
-    shape of a stream's arriving files; written once per session."""
-    return TD.written_path(
-        spark,
-        "event_files",
-        sf_dir,
-        lambda: table(spark, sf_dir, "events")
-        .select("event_id", "ts", "user_id", "event_type", "value")
-        .repartitionByRange(4, "ts", "event_id"),
-    )
+    """The events table as files in no order of time, their number following the table's
+    size, the shape of a stream's arriving files; written once per session."""
+    ev = table(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+    # max(2, ...): even the smallest table arrives in more than one file.
+    n = max(2, -(-ev.count() // EVENTS_PER_FILE))
+    return TD.written_path(spark, "event_files", sf_dir, lambda: ev.repartition(n, "event_id"))
 
 
-def _event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
+def _event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = FILES_PER_BATCH) -> DataFrame:
     from cobble.sources.io import read_stream
 
     path = _event_files(spark, sf_dir)
-    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
-    return read_stream(spark, path, schema, files_per_batch=files_per_batch)
+    # The schema as written, so a column is never left out.
+    return read_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=files_per_batch)
 
 
 @register("stream_hour_histogram")
@@ -585,33 +596,38 @@ def stream_hour_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1 / IO10: hour histogram over a file stream of events."""
     from cobble.streaming import jobs
 
-    return jobs.run_available(spark, jobs.hour_histogram(_event_stream(spark, sf_dir, 2)), "stream_hour_histogram")
+    return jobs.run_available(spark, jobs.hour_histogram(_event_stream(spark, sf_dir)), "stream_hour_histogram")
 
 
 @register("stream_first_event_of_day")
 def stream_first_event_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First event of each day over a file stream."""
+    """The whole first event of each day over a file stream."""
     from cobble.streaming import jobs
 
-    cols = ["event_id", "ts", "user_id", "event_type", "value"]
-    s = jobs.first_event_of_day(_event_stream(spark, sf_dir, 2), cols)
+    s = jobs.first_event_of_day(_event_stream(spark, sf_dir), EVENT_COLUMNS)
     return jobs.run_available(spark, s, "stream_first_event_of_day")
 
 
+@register("stream_closed_days")
+def stream_closed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 in append mode: the first event of each day that the watermark has closed, each
+    emitted once (days that end an hour or more before the latest event). The files come in
+    no order of time, so the stream takes them in one batch and none is late."""
+    from cobble.streaming import jobs
+
+    s = jobs.first_event_of_day_windowed(_event_stream(spark, sf_dir, None), EVENT_COLUMNS, late="1 hour")
+    return jobs.run_available(spark, s, "stream_closed_days", mode="append")
+
+
 @register("stream_max_concurrent_events")
 def stream_max_concurrent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """click/purchase level maximum over a file stream, one summary row per batch."""
-    from cobble.operators.ordered import ranges_disjoint, stitch_levels
+    """click/purchase level maximum over a file stream, for any order of arrival."""
     from cobble.streaming import jobs
 
     delta = F.when(F.col("event_type") == "click", 1).when(F.col("event_type") == "purchase", -1).otherwise(0)
-    step = jobs.level_batch_summary(["ts", "event_id"], delta, F.col("event_type") == "click")
-    rows = jobs.run_available(spark, _event_stream(spark, sf_dir, 1), "stream_levels", mode="append", per_batch=step)
-    if not ranges_disjoint(rows):
-        # Out-of-order arrival: the batch summaries cannot be chained; refuse rather than guess.
-        raise ValueError("stream micro-batches overlap in event order; the running level needs disjoint batches")
-    total = stitch_levels(rows, "_first")
-    return total.select(F.greatest(F.lit(0), F.coalesce("_peak", F.lit(0))).cast("bigint").alias("max_level"))
+    return jobs.stream_max_level(
+        spark, _event_stream(spark, sf_dir), "ts", "event_id", delta, F.col("event_type") == "click"
+    )
 
 
 @register("stream_revenue")
@@ -619,10 +635,8 @@ def stream_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact distinct users and value total per event type over a file stream."""
     from cobble.streaming import jobs
 
-    users, total = jobs.distinct_users_and_total(_event_stream(spark, sf_dir, 2), "event_type", "user_id", "value")
-    u = jobs.run_available(spark, users, "stream_users")
-    t = jobs.run_available(spark, total, "stream_total")
-    return u.join(t, "event_type").select("event_type", "users", F.col("_amt").cast("double").alias("revenue"))
+    r = jobs.stream_distinct_and_total(spark, _event_stream(spark, sf_dir), "event_type", "user_id", "value")
+    return r.select("event_type", F.col("customers").alias("users"), F.col("revenue").cast("double"))
 
 
 # Fixed values that must equal the reference's: header of the revenue report.
@@ -637,7 +651,7 @@ def write_revenue_report(df: DataFrame, path: str) -> None:
     out = df.select(
         F.col("product").cast("string"),
         F.col("customers").cast("string"),
-        F.col("revenue").cast("decimal(18,2)").cast("string"),
+        F.col("revenue").cast("decimal(38,2)").cast("string"),
     ).toDF(*REVENUE_HEADER)
     write_csv(out, path, header=True)
 
@@ -649,7 +663,7 @@ def revenue_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cobble.sources.io import read_csv_records
 
     path = shared_scratch(spark, "revenue_csv")
-    write_revenue_report(product_revenue(spark, sf_dir), path)
+    write_revenue_report(_product_revenue(spark, sf_dir), path)
     back = read_csv_records(spark, path, "product STRING, customers STRING, revenue STRING")
     return back.select(
         F.col("product").cast("bigint"), F.col("customers").cast("bigint"), F.col("revenue").cast("decimal(18,2)").cast("double")
@@ -672,8 +686,9 @@ def unknown_streets(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts: a table anti-join against the lookup keys (J6)."""
     segments, aliases = V.prepare_segments(TD.segment_features(spark, sf_dir))
     keys = segments.select(F.col("label").alias("street")).unionByName(aliases.select(F.col("alias").alias("street")))
-    v = _violations(spark, sf_dir).select("street")
-    return v.join(keys, "street", "left_anti").groupBy("street").agg(F.count(F.lit(1)).alias("violations"))
+    # Counted first: a hot street is one row when it meets the lookup.
+    v = _violations(spark, sf_dir).groupBy("street").agg(F.count(F.lit(1)).alias("violations"))
+    return v.join(keys.distinct(), "street", "left_anti")
 
 
 @register("keywords_sql")
@@ -689,6 +704,63 @@ def keywords_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("violations_csv")
+def violations_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw violation rows written as headed CSV files and read back by column position, header
+    lines dropped by value (IO4, IO5): violations per county spelling and year text."""
+    raw = TD.violation_rows(spark, sf_dir)
+    year = F.substring("issue_date", -4, 4)
+    return raw.groupBy("county", year.alias("year")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("house_number", "street_name").alias("addresses")
+    )
+
+
+@register("violations_report_lines")
+def violations_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship report as written: 'id, counts, slope' lines, read back (IO14, S13)."""
+    from cobble.session import shared_scratch
+    from cobble.sources.io import read_text
+
+    path = shared_scratch(spark, "report_lines")
+    V.report_lines(_violations_report(spark, sf_dir), YEARS).write.text(path)
+    return read_text(spark, path).withColumnRenamed("value", "line")
+
+
+@register("feature_collection")
+def feature_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment features written as FeatureCollection documents, converted once to Feature
+    lines, and read back to property columns (IO7, IO15)."""
+    from pyspark.sql import types as T
+
+    from cobble.session import shared_scratch
+    from cobble.sources.io import read_geojson_features, split_feature_collections, write_feature_collections
+
+    docs, lines = shared_scratch(spark, "collections"), shared_scratch(spark, "features")
+    write_feature_collections(TD.segment_features(spark, sf_dir), docs, FEATURE_PROPS, "ord")
+    split_feature_collections(spark, docs, lines)
+    props = T.StructType(
+        [T.StructField("physicalid", T.LongType())]
+        + [T.StructField(c, T.StringType()) for c in FEATURE_PROPS[1:-1]]
+        + [T.StructField("ord", T.LongType())]
+    )
+    return read_geojson_features(spark, lines, props)
+
+
+FIRST_LINES = 100
+
+
+@register("first_lines")
+def first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the first hundred text lines by a stored ordinal, in order of (document, line)
+    (F18, K5; the cut is the operator)."""
+    from cobble.operators.ordered import first_lines as first
+    from cobble.operators.ordered import with_ordinal
+
+    numbered = with_ordinal(_doc_lines(spark, sf_dir), ["doc_id", "line_no"], "ordinal")
+    words = F.filter(F.split(F.trim("line"), " ", -1), lambda w: w != F.lit(""))
+    return first(numbered, "ordinal", FIRST_LINES).select("ordinal", "doc_id", "line_no", F.size(words).alias("n_words"))
+
+
 @register("weekday_hour")
 def weekday_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per (weekday, hour), Monday = 0 as Python's weekday()."""

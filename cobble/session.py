@@ -16,8 +16,11 @@ TABLES = (
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "cobble") -> SparkSession:
     """A local session for tests and the bench; a cluster job gets its session from spark-submit."""
+    # A folder of this machine will do for a local session; a cluster names a shared one.
+    scratch = os.environ.get("COBBLE_SCRATCH") or tempfile.mkdtemp(prefix="cobble-ckpt-")
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
+        .config("spark.checkpoint.dir", scratch)
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -38,12 +41,15 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "cobbl
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it (a folder every executor can reach); only when it is unset, as in
-    local tests, a fresh scratch folder is made here.
+    A cluster names it (a folder every executor can reach). Where it is unset, a local
+    session gets a fresh folder; any other session is refused, since its executors would
+    each write to a disk of their own.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="cobble-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc.getCheckpointDir() is None:
@@ -66,14 +72,24 @@ def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
         table(spark, sf_dir, n).createOrReplaceTempView(n)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's task slots when a scan yields fewer
-    partitions than there are slots (one unsplittable file or row group, a multi-line CSV).
+#: Bytes of input worth a task of its own when a small input is dealt out.
+SPREAD_BYTES = 256 << 10
 
-    Use before CPU-heavy per-row work (parsing, tokenising). A large input already has
-    at least that many splits, and then this is a no-op that adds no shuffle.
+
+def spread(df: DataFrame, splits: bool = True) -> DataFrame:
+    """Deal the rows of an input that Spark reads in too few tasks over more of them.
+
+    ``splits``: whether the source can be cut (Parquet, plain text, CSV without newlines in
+    fields). Such an input is dealt out only while all of it is at most one split; anything
+    larger is already read in split-sized tasks and is not shuffled. An input that can't be
+    cut (one multi-line document a file) is dealt into split-sized partitions.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    spark = df.sparkSession
+    # The planner's estimate from file sizes; nothing is run for it.
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    small = min(spark.sparkContext.defaultParallelism, -(-size // SPREAD_BYTES))
+    if splits:
+        return df.repartition(small) if size <= split and small > 1 else df
+    n = max(small, -(-size // split))
+    return df.repartition(n) if n > 1 else df

@@ -34,10 +34,11 @@ def read_csv_records(
 
 
 def read_multiline_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str) -> DataFrame:
-    """CSV whose quoted fields hold newlines (IO3). Such files are read whole, one task per
-    file, so the rows are spread over the cluster right after the read."""
+    """CSV whose quoted fields hold newlines (IO3). Such a file can't be cut, so one task
+    streams it, and the rows are spread over the cluster right after the read. A large file
+    that is read more than once is best put through ``write_table`` first."""
     df = spark.read.csv(paths, schema=schema, header=True, multiLine=True, escape='"', quote='"')
-    return spread(df)
+    return spread(df, splits=False)
 
 
 def read_positional_csv(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str], header_first: str | None = None) -> DataFrame:
@@ -80,7 +81,7 @@ def read_geojson_features(
         f = df.select(F.col("_metadata.file_path").alias("_file"), F.posexplode("features").alias("_pos", "f"))
         order = F.struct(F.col("_file").alias("file"), F.col("_pos").cast("bigint").alias("pos"))
         cols = ["f.properties.*"] + ([order.alias(ordinal)] if ordinal else [])
-        return spread(f.select(*cols))
+        return spread(f.select(*cols), splits=False)
     df = spark.read.json(paths, schema=feature)
     # Within one file the row id follows the offset; the path orders the files.
     order = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("pos"))
@@ -89,10 +90,13 @@ def read_geojson_features(
 
 
 def read_id_list(spark: SparkSession, paths: str | Sequence[str], name: str = "pid") -> DataFrame:
-    """Comma-separated ids on one or more lines -> one BIGINT row per id, repeats kept (IO8)."""
+    """Comma-separated ids on one or more lines -> one BIGINT row per id, repeats kept (IO8).
+
+    The comma is the record separator, so a list that is one long line is cut into splits
+    like any text; line ends are left inside a record and split there."""
     return (
-        spark.read.text(paths)
-        .select(F.explode(F.split("value", ",", -1)).alias("v"))
+        spark.read.text(paths, lineSep=",")
+        .select(F.explode(F.split("value", r"[\r\n]+", -1)).alias("v"))
         .filter(F.trim("v") != "")
         .select(F.trim("v").cast("bigint").alias(name))
     )
@@ -129,25 +133,33 @@ def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "overw
     )
 
 
-def write_lines(df: DataFrame, path: str, cols: Sequence[str | Column], sep: str = ", ", mode: str = "overwrite") -> None:
-    """One text line per row, fields joined by ``sep``, no header (IO14)."""
-    df.select(F.concat_ws(sep, *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cols]).alias("value")).write.mode(mode).text(path)
+def write_lines(
+    df: DataFrame,
+    path: str,
+    cols: Sequence[str | Column],
+    sep: str = ", ",
+    mode: str = "overwrite",
+    folders: str | None = None,
+) -> None:
+    """One text line per row, fields joined by ``sep``, no header (IO14); a folder for each
+    value of the column ``folders``, if named."""
+    fields = [F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cols]
+    lines = df.select(F.concat_ws(sep, *fields).alias("value"), *([folders] if folders else []))
+    writer = lines.write.mode(mode)
+    (writer.partitionBy(folders) if folders else writer).text(path)
 
 
 def write_id_list(df: DataFrame, path: str, col: str = "pid", per_line: int = 1000, mode: str = "overwrite") -> None:
-    """Ids as comma-separated lines of at most ``per_line`` ids each: no line (and no task)
-    has to hold the whole list, even when one id repeats very often. A line gathers
-    consecutive rows of one input partition (``monotonically_increasing_id`` counts rows
-    within a partition) from one block of ids."""
-    chunk = (F.monotonically_increasing_id() / F.lit(per_line)).cast("bigint")
-    block = (F.col(col) / F.lit(per_line)).cast("bigint")
-    (
-        df.groupBy(block.alias("_b"), chunk.alias("_c"))
-        .agg(F.array_join(F.array_sort(F.collect_list(F.col(col).cast("string"))), ",").alias("value"))
-        .select("value")
-        .write.mode(mode)
-        .text(path)
-    )
+    """Ids as comma-separated lines of at most ``per_line`` ids each, in input order: no line
+    (and no task) has to hold the whole list, even when one id repeats very often. A line
+    gathers consecutive rows of one input partition (``monotonically_increasing_id`` counts
+    rows within a partition, from a multiple of 2**33)."""
+    row = F.monotonically_increasing_id()
+    numbered = df.select(F.col(col).cast("string").alias("_v"), row.alias("_r"))
+    # Partitions start at multiples of 2**33: the line number is counted within one.
+    chunk = F.struct(F.shiftright("_r", 33), F.expr(f"(_r & {2**33 - 1}L) div {int(per_line)}L"))
+    lines = numbered.groupBy(chunk.alias("_c")).agg(F.array_sort(F.collect_list(F.struct("_r", "_v"))).alias("_ids"))
+    lines.select(F.array_join(F.transform("_ids", lambda x: x["_v"]), ",").alias("value")).write.mode(mode).text(path)
 
 
 def write_feature_lines(df: DataFrame, path: str, properties: Sequence[str], mode: str = "overwrite") -> None:
@@ -156,6 +168,32 @@ def write_feature_lines(df: DataFrame, path: str, properties: Sequence[str], mod
     df.select(F.to_json(feat).alias("value")).write.mode(mode).text(path)
 
 
+#: Features in one FeatureCollection document.
+FEATURES_PER_DOCUMENT = 5000
+
+
+def write_feature_collections(
+    df: DataFrame, path: str, properties: Sequence[str], order: str, mode: str = "overwrite"
+) -> None:
+    """Rows -> FeatureCollection documents of at most ``FEATURES_PER_DOCUMENT`` features, one
+    document a file (IO7)."""
+    feat = F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"))
+    row = F.monotonically_increasing_id()
+    doc = F.concat(F.shiftright("_r", 33), F.lit("-"), F.expr(f"(_r & {2**33 - 1}L) div {FEATURES_PER_DOCUMENT}L"))
+    docs = df.select(row.alias("_r"), feat.alias("f"), F.col(order).alias("o")).groupBy(doc.alias("document"))
+    docs = docs.agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "f"))), lambda x: x["f"]).alias("features"))
+    text = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features"))
+    docs.select("document", text.alias("value")).write.mode(mode).partitionBy("document").text(path)
+
+
+def split_feature_collections(spark: SparkSession, paths: str | Sequence[str], out: str, mode: str = "overwrite") -> None:
+    """FeatureCollection documents -> Feature lines, so that every later read can be cut (IO7, IO15).
+    Properties are carried as written, whatever their names; geometry stays too."""
+    doc = "type STRING, features ARRAY<STRING>"
+    features = spark.read.json(paths, schema=doc, multiLine=True).select(F.explode("features").alias("value"))
+    features.write.mode(mode).text(out)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Prepared lookup / intermediate table as parquet (IO15)."""
     df.write.mode(mode).parquet(path)

@@ -8,36 +8,45 @@ unbounded input stays the same: start it with a processing-time trigger instead.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cobble.operators.ordered import level_summaries, stitch_levels
 from cobble.session import shared_scratch
 
 
-def run_available(spark: SparkSession, stream_df: DataFrame, name: str, mode: str = "complete", per_batch=None) -> DataFrame:
-    """Run ``stream_df`` over all files now present and return what it wrote.
-
-    complete mode: each micro-batch carries the whole (small) result, which replaces the
-    table. append mode: each batch adds its rows. ``per_batch(batch_df, batch_id)`` may
-    transform the batch before it is written.
-    """
-    out = shared_scratch(spark, f"{name}-out")
-    ckpt = shared_scratch(spark, f"{name}-ckpt")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        b = per_batch(batch, batch_id) if per_batch else batch
-        b.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
-
+def _sink(spark: SparkSession, stream_df: DataFrame, name: str, mode: str, write) -> str:
+    """Run ``stream_df`` over all files now present; ``write(batch, path)`` writes a batch to a
+    folder of its own. A batch that is tried again overwrites its own folder, so it counts
+    once, and no reader meets a half-replaced result. Returns the folder of the batches."""
+    out, ckpt = shared_scratch(spark, f"{name}-out"), shared_scratch(spark, f"{name}-ckpt")
     q = (
         stream_df.writeStream.outputMode(mode)
-        .foreachBatch(write)
+        .foreachBatch(lambda batch, batch_id: write(batch, f"{out}/batch={batch_id}"))
         .option("checkpointLocation", ckpt)
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return out
+
+
+def _batches(spark: SparkSession, out: str, schema) -> DataFrame:
+    """All rows of the written batches, with their ``batch`` number."""
+    kept = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    return spark.read.schema(f"{kept}, batch BIGINT").parquet(out)
+
+
+def run_available(spark: SparkSession, stream_df: DataFrame, name: str, mode: str = "complete") -> DataFrame:
+    """What ``stream_df`` gives over all files now present.
+
+    complete mode: each micro-batch carries the whole (small) result; the last one's counts.
+    append mode: each batch adds its rows.
+    """
+    out = _sink(spark, stream_df, name, mode, lambda batch, path: batch.write.mode("overwrite").parquet(path))
+    rows = _batches(spark, out, stream_df.schema)
+    if mode == "complete":
+        rows = rows.filter(F.col("batch") == rows.agg(F.max("batch")).scalar())
+    return rows.drop("batch")
 
 
 def hour_histogram(events: DataFrame) -> DataFrame:
@@ -78,26 +87,79 @@ def first_event_of_day_windowed(events: DataFrame, cols: list[str], late: str =
     )
 
 
-def distinct_users_and_total(events: DataFrame, key: str, member: str, amount: str) -> tuple[DataFrame, DataFrame]:
-    """Exact distinct members per key, and the amount total per key, as two streams.
+def stream_distinct_and_total(
+    spark: SparkSession, events: DataFrame, key: str, member: str, amount: str, name: str = "stream_revenue"
+) -> DataFrame:
+    """Exact distinct members and the total per key (``customers``, ``revenue``), in one pass.
 
-    The distinct count de-duplicates (key, member) pairs first - that state is spread over
-    the shuffle partitions by pair - then counts per key; no per-key set is held anywhere.
+    A batch is reduced to its (key, member) sums, which are written; the result adds those up.
+    The stream itself keeps no state, and the written sums hold a pair once a batch at most.
     """
-    users = events.dropDuplicates([key, member]).groupBy(key).agg(F.count(F.lit(1)).alias("users"))
-    total = events.groupBy(key).agg(F.sum(F.col(amount).cast("decimal(18,2)")).alias("_amt"))
-    return users, total
-
-
-def level_batch_summary(order_cols: list[str], delta: Column, peak_at: Column):
-    """X3 per-batch step: reduce one micro-batch to (first key, net, peak) with the batch
-    operator. Batches must cover disjoint stretches of the order (as time-ranged files
-    read one per trigger do); ``stitch_levels`` over the rows ordered by first key then
-    gives the answer for the whole stream. ``ordered.ranges_disjoint`` checks that
-    condition on the written rows."""
-
-    def per_batch(batch: DataFrame, batch_id: int) -> DataFrame:
-        s = stitch_levels(level_summaries(batch, order_cols, delta, peak_at), "_bucket")
-        return s.select(F.lit(batch_id).alias("batch_id"), "_first", "_last", "_net", "_peak")
-
-    return per_batch
+    money = F.col(amount).cast("decimal(18,2)")
+
+    def write(batch: DataFrame, path: str) -> None:
+        batch.groupBy(key, member).agg(F.sum(money).alias("amount")).write.mode("overwrite").parquet(path)
+
+    out = _sink(spark, events, name, "append", write)
+    types = dict(events.dtypes)
+    sums = _batches(spark, out, f"`{key}` {types[key]}, `{member}` {types[member]}, amount decimal(28,2)")
+    pairs = sums.groupBy(key, member).agg(F.sum("amount").alias("amount"))
+    return pairs.groupBy(key).agg(F.count(F.lit(1)).alias("customers"), F.sum("amount").alias("revenue"))
+
+
+#: Stretch of time whose steps are summed up together.
+LEVEL_BUCKET = "hour"
+
+
+def stream_max_level(
+    spark: SparkSession,
+    events: DataFrame,
+    ts: str,
+    tie: str,
+    delta: Column,
+    peak_at: Column,
+    bucket: str = LEVEL_BUCKET,
+    out: str = "max_level",
+    name: str = "stream_levels",
+) -> DataFrame:
+    """max(0, highest running total of ``delta`` at rows where ``peak_at`` holds), exact for
+    any order of arrival.
+
+    A batch writes its non-zero steps and then the net change and the peak of every stretch
+    of time that it touched, from all steps written so far for those stretches. The newest
+    summary of each stretch counts; folding them in order of time gives the level.
+    """
+    steps, sums = shared_scratch(spark, f"{name}-steps"), shared_scratch(spark, f"{name}-sums")
+    kind = dict(events.dtypes)
+    schema = f"b {kind[ts]}, t {kind[ts]}, id {kind[tie]}, d bigint, p boolean"
+
+    def write(batch: DataFrame, path: str) -> None:
+        number = path.rsplit("=", 1)[1]
+        stretch = F.date_trunc(bucket, F.col(ts)).cast(kind[ts])
+        new = batch.select(stretch.alias("b"), F.col(ts).alias("t"), F.col(tie).alias("id"), delta.cast("bigint").alias("d"), peak_at.alias("p"))
+        new.filter("d <> 0").write.mode("overwrite").parquet(f"{steps}/batch={number}")
+        # A batch that is tried again must not see itself or later ones twice: its own folder was replaced.
+        written = spark.read.schema(f"{schema}, batch BIGINT").parquet(steps).filter(F.col("batch") <= int(number))
+        touched = written.filter(F.col("batch") == int(number)).select("b").distinct()
+        rows = written.join(touched, "b", "left_semi")
+        w = Window.partitionBy("b").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        level = rows.select("b", "d", F.when(F.col("p"), F.sum("d").over(w)).alias("level"))
+        summary = level.groupBy("b").agg(F.sum("d").alias("net"), F.max("level").alias("peak"))
+        summary.write.mode("overwrite").parquet(f"{sums}/batch={number}")
+
+    _sink(spark, events, name, "append", write)
+    all_sums = spark.read.schema(f"b {kind[ts]}, net bigint, peak bigint, batch BIGINT").parquet(sums)
+    newest = all_sums.groupBy("b").agg(F.max_by(F.struct("net", "peak"), "batch").alias("s")).select("b", "s.*")
+    # One row per stretch of time: the stretches of a day are folded first, then the days.
+    per_day = _fold(newest.withColumn("day", F.date_trunc("day", "b")), "b", "day")
+    total = _fold(per_day.withColumnRenamed("day", "b"), "b")
+    return total.select(F.greatest(F.lit(0), F.coalesce("peak", F.lit(0))).cast("bigint").alias(out))
+
+
+def _fold(sums: DataFrame, order: str, within: str | None = None) -> DataFrame:
+    """(net, peak) of stretches put together in ``order``, for each value of ``within``."""
+    w = (Window.partitionBy(within) if within else Window.partitionBy()).orderBy(order)
+    before = F.coalesce(F.sum("net").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    keys = [within] if within else []
+    placed = sums.select(*keys, "net", (before + F.col("peak")).alias("peak"))
+    return placed.groupBy(*keys).agg(F.sum("net").alias("net"), F.max("peak").alias("peak"))

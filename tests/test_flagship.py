@@ -58,60 +58,29 @@ def test_unparseable_segment_dropped(spark):
     assert resolve(spark, feats, [("ZST", 3, "5")]) == {}
 
 
-def _plain_match(features, street, boro, house):
-    """A plain restatement of the matching rules over the raw feature list."""
-    def ints(s):
-        try:
-            return [int(x) for x in s.split("-")]
-        except Exception:
-            return None
-
-    segs = []
-    for f in sorted(features, key=lambda f: f[8]):
-        pid, label, alias, b, ll, lh, rl, rh, _ = f
-        if label is None or alias is None or b is None:
+def _plain_match(features, street, boro, numbers):
+    """The id of the first feature in matching order whose range holds the house numbers."""
+    hits = []
+    for pid, label, alias, b, *ends, place in features:
+        lows_highs = [[int(x) for x in e.split("-")] if "X" not in e else None for e in ends]
+        if None in lows_highs or int(b) != boro:
             continue
-        ends = [ints(x) for x in (ll, lh, rl, rh)]
-        if any(e is None for e in ends):
-            continue
-        segs.append((pid, "".join(label.upper().split()), "".join(alias.upper().split()), int(b), *ends))
-    parts = house.split("-")
-    out = []
-    for i, p in enumerate(parts):
-        if len(p) == 0 or (len(p) == 1 and not out_first_digit(parts, out)):
-            return None
-        out.append(p[:-1] if len(p) >= 2 and not p[-1].isdigit() else p)
-    try:
-        hn = [int(x) for x in out]
-    except ValueError:
-        return None
-    odd = hn[-1] & 1
-
-    def inside(lo, hi):
-        return len(hn) == len(lo) == len(hi) and all(a <= x <= b for x, a, b in zip(hn, lo, hi))
-
-    def by_label(lbl):
-        for pid, label, _a, b, ll, lh, rl, rh in segs:
-            if label == lbl and b == boro and (inside(ll, lh) if odd else inside(rl, rh)):
-                return pid
-        return None
-
-    hit = by_label(street)
-    if hit is None:
-        labels = []
-        for _pid, label, alias, *_ in segs:
-            if alias == street and label != alias and label not in labels:
-                labels.append(label)
-        for lbl in labels:
-            hit = by_label(lbl)
-            if hit is not None:
-                break
-    return hit
-
-
-def out_first_digit(parts, out):
-    first = out[0] if out else parts[0]
-    return first.isdigit()
+        low, high = lows_highs[:2] if numbers[-1] % 2 else lows_highs[2:]
+        if len(low) == len(numbers) == len(high) and all(x <= n <= y for x, n, y in zip(low, numbers, high)):
+            own = label.replace(" ", "")
+            hits.append(((0, 0, place), own, pid))
+            hits += [((1, at, place), name, pid) for name, of, at in _names(features) if of == own != name]
+    return min((rank, pid) for rank, name, pid in [*hits, ((9,), street, None)] if name == street)[1]
+
+
+def _names(features):
+    """(alias, label, place of the first readable feature that pairs them)."""
+    first = {}
+    for _, label, alias, _, *ends, place in features:
+        if not any("X" in e for e in ends):
+            pair = alias.replace(" ", ""), label.replace(" ", "")
+            first[pair] = min(place, first.get(pair, place))
+    return [(*pair, place) for pair, place in first.items()]
 
 
 def test_random_against_plain_rules(spark):
@@ -128,17 +97,46 @@ def test_random_against_plain_rules(spark):
         (ll, lh), (rl, rh) = end(), end()
         if rnd.random() < 0.05:
             rh = rh + "X"
-        feats.append((1000 + i, rnd.choice(labels), rnd.choice(aliases), str(rnd.randrange(1, 3)), ll, lh, rl, rh, rnd.randrange(10_000)))
+        feats.append((1000 + i, rnd.choice(labels), rnd.choice(aliases), str(rnd.randrange(1, 3)), ll, lh, rl, rh, i * 37 % 61))
     streets = ["AST", "BST", "CAVE", "DPL", "ALPHA", "BETA", "NONE"]
-    probes = []
+    # House numbers put together from known parts, and some that can't be read.
+    probes = {}
     for _ in range(1500):
-        h = "".join(rnd.choice("0159A -") for _ in range(rnd.randrange(1, 5)))
-        probes.append((rnd.choice(streets), rnd.randrange(1, 3), h))
-    got = resolve(spark, feats, probes)
+        numbers = [rnd.randrange(1, 9), rnd.randrange(99)] if rnd.random() < 0.4 else [rnd.randrange(99)]
+        house = "-".join(f"{n}{rnd.choice(['', '', 'A'])}" for n in numbers)
+        probes[rnd.choice(streets), rnd.randrange(1, 3), house] = numbers
+    bad = [(s, b, h) for s in streets for b in (1, 2) for h in ("", "A", "5-", "-5", "1AB", "A-5")]
+    got = resolve(spark, feats, [*probes, *bad])
     want = {}
-    for s, b, h in set(probes):
-        pid = _plain_match(feats, s, b, h)
+    for (s, b, h), numbers in probes.items():
+        pid = _plain_match(feats, s, b, numbers)
         if pid is not None:
             want[(s, b, h)] = pid
     assert len(want) > 50
     assert got == want
+
+
+def _report(spark, features, houses, roster, **bounds):
+    segments, aliases = V.prepare_segments(spark.createDataFrame(features, FEATURE_SCHEMA))
+    probes = spark.createDataFrame([(2016, 1, h, "MAINST") for h in houses], "year int, borough int, house string, street string")
+    ids = spark.createDataFrame([(i,) for i in roster], "pid long")
+    return [(r["pid"], r["y2016"], r["copy"]) for r in V.violations_report(probes, segments, aliases, ids, **bounds).collect()]
+
+
+def test_broadcast_off_gives_the_same(spark):
+    feats = [(i, "MAIN ST", "HIGH ST", "1", str(2 * i + 1), str(2 * i + 1), str(2 * i), str(2 * i), i) for i in range(1, 50)]
+    houses = [str(h) for h in range(120)] * 2
+    on = _report(spark, feats, houses, range(1, 60))
+    off = _report(spark, feats, houses, range(1, 60), max_broadcast_bytes=0)
+    assert on == off and sum(n for _, n, _ in on) == 2 * 98
+
+
+def test_first_match_without_an_id_is_no_match(spark):
+    feats = [(None, "MAIN ST", "X", "1", "1", "9", "2", "8", 0), (7, "MAIN ST", "X", "1", "1", "99", "2", "98", 1)]
+    assert _report(spark, feats, ["5", "51"], [7, 8]) == [(7, 1, 1), (8, 0, 1)]
+
+
+def test_report_lines_print_like_python(spark):
+    values = [0.0, 0.2, -6.8, 5.551115123125783e-18, -1.5e-05, 1e-05, 0.0001, 0.00012345678901234567, 12345678.9, 1e16, 1.5e22, 123456789012345.6, -0.1]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(V.python_float_text("v")).collect()] == [repr(v) for v in values]

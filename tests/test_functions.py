@@ -5,45 +5,38 @@ from pyspark.sql import functions as F
 from cobble.functions import streets as S
 from cobble.functions import text as X
 
-ABOUT = """House of An is a portfolio of restaurants and a catering 
-company all featuring the Euro-Asian fusion cuisine of Master Chef
-Helene "Mama" An. The company is run by the close-knit members of
-the An family, which includes Helene's five daughters and now, a
-new generation of their offspring. The company began with Thanh
-Long in San Francisco, which opened in 1971, bringing
-Euro-Vietnamese food to the city. When Crustacean San Francisco
-opened, in 1991, the San Francisco Chronicle newspaper called it
-the first Asian fusion restaurant, and dubbed Helene An
-the "Mother of Fusion." In 1997, Helene's daughter Elizabeth An
-took the idea upscale by opening Crustacean Restaurant in Beverly
-Hills, which quickly attracted raves reviews in national press
-and a sizable celebrity clientele."""
+# An own text with every rule in it: phrases across line ends, punctuation, hyphens and
+# apostrophes, stopwords inside, at the start and at the end, single capitals, digits.
+ABOUT = """The Old Mill of Upper Town is a mill and a bakery
+all known for the Franco-Swiss bread of Master Baker
+Rosa "Nonna" Bell. The mill was built by the people of
+the Bell family, whose Rosa's ovens, in 1922, were the first
+of their kind. It began with Flour
+House in Port Anna, which closed in 1950. When Grand Port Anna
+opened, the Port Anna Courier paper called it
+a find, and named Rosa Bell
+the "Queen of Bread." In 1960, Rosa's Carla Bell
+went north to North Lake Mills in When."""
 
 ABOUT_KEYWORDS = [
-    "House of An",
-    "Euro Asian",
-    "Master Chef Helene Mama An",
-    "Thanh Long in San Francisco",
-    "Euro Vietnamese",
-    "Crustacean San Francisco",
-    "San Francisco Chronicle",
-    "Helene An the Mother of Fusion",
-    "Elizabeth An",
-    "Crustacean Restaurant in Beverly Hills",
+    "Old Mill of Upper Town",
+    "Franco Swiss",
+    "Master Baker Rosa Nonna Bell",
+    "Flour House in Port Anna",
+    "Grand Port Anna",
+    "Port Anna Courier",
+    "Rosa Bell the Queen of Bread",
+    "Carla Bell",
+    "North Lake Mills in When",
 ]
 
 STATUS = [
-    "1,2,3 : Good Service",
-    "4,5,6 : Delays",
-    "7 : Good Service",
-    "A,C : Good Service",
-    "E : Planned Work",
-    "G : Delays",
-    "B,D,F,M : Good Service",
-    "J,Z : Delays",
-    "L : Good Service",
-    "N,Q,R : Planned Work",
-    "S : Good Service",
+    "10 : On Time",
+    "11,12 : Delays",
+    "X,Y,Z : Works",
+    "13 : Delays",
+    "P,Q : On Time",
+    "R,S,R : Delays",
 ]
 
 
@@ -52,11 +45,11 @@ def one(spark, col, value, schema="v string"):
 
 
 def test_keywords_about_text(spark):
-    assert one(spark, X.keywords(F.col("v")), ABOUT) == ABOUT_KEYWORDS
+    assert one(spark, X.keywords("v"), ABOUT) == ABOUT_KEYWORDS
 
 
 def test_keywords_trailing_stopwords_stay(spark):
-    assert one(spark, X.keywords(F.col("v")), "He saw House of the cat. ABC of") == ["House of the", "ABC of"]
+    assert one(spark, X.keywords("v"), "He saw House of the cat. ABC of") == ["House of the", "ABC of"]
 
 
 def test_delayed_lines_and_count(spark):
@@ -68,8 +61,7 @@ def test_delayed_lines_and_count(spark):
         .orderBy("i", "pos")
         .collect()
     )
-    assert [r["name"] for r in rows] == ["4", "5", "6", "G", "J", "Z"]
-    assert len(rows) == 6
+    assert [r["name"] for r in rows] == ["11", "12", "13", "R", "S", "R"]
 
 
 def test_status_lines_expanded_in_order(spark):
@@ -82,9 +74,9 @@ def test_status_lines_expanded_in_order(spark):
         .collect()
     )
     out = [r["u"] for r in rows]
-    assert len(out) == 22
-    assert out[:4] == ["1 : Good Service", "2 : Good Service", "3 : Good Service", "4 : Delays"]
-    assert out[-1] == "S : Good Service"
+    assert len(out) == 12
+    assert out[:4] == ["10 : On Time", "11 : Delays", "12 : Delays", "X : Works"]
+    assert out[-3:] == ["R : Delays", "S : Delays", "R : Delays"]
 
 
 def test_natural_number(spark):

@@ -38,3 +38,29 @@ def test_geojson_collection_keeps_feature_order(spark):
     props = T.StructType([T.StructField("name", T.StringType())])
     df = io.read_geojson_features(spark, path + "/f.json", props, collection=True, ordinal="ord")
     assert [r["name"] for r in df.orderBy("ord").collect()] == ["c", "a", "b"]
+
+
+def test_id_list_lines_are_full_and_in_order(spark):
+    from cobble.session import shared_scratch
+    from cobble.sources.io import read_id_list, write_id_list
+
+    ids = [i * 7919 % 10_007 for i in range(10_000)] + [5] * 3000
+    path = shared_scratch(spark, "ids_test")
+    write_id_list(spark.createDataFrame([(i,) for i in ids], "pid long").coalesce(1), path, per_line=100)
+    lines = sorted(spark.read.text(path).collect(), key=lambda r: ids.index(int(r[0].split(",")[0])))
+    assert len(lines) == 130 and all(len(r[0].split(",")) == 100 for r in lines)
+    assert lines[0][0] == ",".join(map(str, ids[:100]))
+    assert sorted(r["pid"] for r in read_id_list(spark, path).collect()) == sorted(ids)
+
+
+def test_one_long_id_line_is_cut(spark, tmp_path):
+    from cobble.sources.io import read_id_list
+
+    (tmp_path / "ids.txt").write_text(",".join(map(str, range(200_000))) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        df = read_id_list(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() > 3
+        assert sorted(r["pid"] for r in df.collect()) == list(range(200_000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -56,9 +56,9 @@ def test_violations_job(spark):
         "9, 0, 0, 0, 0, 0, 0",
         "10, 1, 0, 0, 0, 1, 0.0",
         "11, 0, 0, 0, 0, 1, 0.2",
-        # the same float operations as the original loop: Python prints 5.551115123125783e-18
-        "12, 0, 0, 1, 0, 0, 5.551115123125783E-18",
-        "12, 0, 0, 1, 0, 0, 5.551115123125783E-18",
+        # exponents as Python prints them
+        "12, 0, 0, 1, 0, 0, 5.551115123125783e-18",
+        "12, 0, 0, 1, 0, 0, 5.551115123125783e-18",
     ]
 
 
@@ -124,7 +124,9 @@ def test_schools_job(spark):
         return ",".join(f)
     header = ",".join(["dbn"] + [f"h{i}" for i in range(1, cols)])
     _write(f"{base}/dir.csv", header + "\n" + "\n".join([school("01A", "M", "900"), school("02B", "M", "600"),
-                                                         school("03C", "M", "700"), school("04D", "Q", "100")]) + "\n")
+                                                         school("03C", "M", "700"), school("04D", "Q", "100"),
+                                                         # one field too many, one too few: no rows
+                                                         school("01A", "Z", "900") + ",y", school("01A", "Z", "900")[:-2]]) + "\n")
     rep = {r["boro"]: r["mean_score"] for r in jobs.schools(spark, f"{base}/sat.csv", f"{base}/dir.csv", f"{base}/out").collect()}
     assert rep == {"M": 433}
 
@@ -134,7 +136,7 @@ def test_words_and_keywords_jobs(spark):
     _write(f"{base}/t/a.txt", "He saw House of the cat. ABC of\nthe the The it's\n")
     counts = {r["word"]: r["n"] for r in jobs.words(spark, f"{base}/t/*.txt", f"{base}/w").collect()}
     assert counts["the"] == 4 and counts["it's"] == 1
-    kw = [r["keyword"] for r in jobs.keywords(spark, f"{base}/t/*.txt", f"{base}/k").orderBy("pos").collect()]
+    kw = [r["keyword"] for r in jobs.keywords(spark, f"{base}/t/*.txt", f"{base}/k").orderBy("sentence", "pos").collect()]
     # sentences end only at ".": the phrase runs on across the newline
     assert kw == ["House of the", "ABC of the the The"]
 

@@ -2,6 +2,8 @@
 brute-force comparisons."""
 
 import random
+from collections import Counter
+from itertools import accumulate
 
 from pyspark.sql import functions as F
 
@@ -56,13 +58,8 @@ def test_running_level_cases(spark):
 def test_running_level_random_against_scan(spark):
     rnd = random.Random(3)
     ev = [rnd.choice(["undock", "undock", "dock", "dock", "dock", "x"]) for _ in range(5000)]
-    users = best = 0
-    for e in ev:
-        if e == "undock":
-            users += 1
-            best = max(best, users)
-        elif e == "dock":
-            users -= 1
+    levels = accumulate({"undock": 1, "dock": -1}.get(e, 0) for e in ev)
+    best = max([0, *(lv for lv, e in zip(levels, ev) if e == "undock")])
     df = spark.createDataFrame([(i, e) for i, e in enumerate(ev)], "t long, e string")
     d = F.when(F.col("e") == "undock", 1).when(F.col("e") == "dock", -1).otherwise(0)
     got = O.max_running_level(df, ["t"], d, F.col("e") == "undock", num_buckets=11).first()["max_level"]
@@ -72,7 +69,35 @@ def test_running_level_random_against_scan(spark):
 def test_max_concurrency_half_open(spark):
     df = spark.createDataFrame([(1, 5, 1), (5, 8, 2), (2, 6, 3)], "s long, e long, id long")
     # [1,5) [5,8) [2,6): at most 2 open at once (the stop at 5 comes before the start at 5)
-    assert O.max_concurrency(df, "s", "e", "id").first()["max_concurrent"] == 2
+    assert O.max_concurrency(df, "s", "e").first()["max_concurrent"] == 2
+
+
+def test_max_concurrency_random_against_counting(spark):
+    rnd = random.Random(8)
+    spans = [(a, a + rnd.randrange(0, 6)) for a in (rnd.randrange(0, 40) for _ in range(2000))]
+    df = spark.createDataFrame(spans, "s long, e long")
+    # Stops of a time come before its starts; an empty span is both at once.
+    events = Counter()
+    for a, b in spans:
+        events[a, 1] += 1
+        events[b, 0] -= 1
+    levels = list(accumulate(n for _, n in sorted(events.items())))
+    got = O.max_concurrency(df, "s", "e", num_buckets=7).first()["max_concurrent"]
+    assert got == max(lv for lv, (k, _) in zip(levels, sorted(events.items())) if k[1] == 1)
+
+
+def test_change_runs_with_missing_members(spark):
+    rows = [("p", m, t) for t, m in enumerate(["a", None, None, "a"])] + [("q", None, 1), ("q", None, 2)]
+    df = spark.createDataFrame(rows, "p string, m string, t long")
+    for n in (1, 3, 6):
+        got = {r["p"]: r["runs"] for r in O.change_runs(df, "p", "m", ["t"], num_buckets=n).collect()}
+        assert got == {"p": 3, "q": 1}
+
+
+def test_money_stays_exact(spark):
+    df = spark.createDataFrame([("p", 1), ("p", 2)], "p string, c int").withColumn("amt", F.lit("90071992547409.93"))
+    total = A.distinct_and_total(df, "p", "c", "amt").first()["revenue"]
+    assert str(total) == "180143985094819.86"
 
 
 def test_first_per_group(spark):
@@ -108,7 +133,8 @@ def test_revenue_report_header_and_money(spark):
     from cobble.plans.queries import write_revenue_report
     from cobble.session import shared_scratch
 
-    df = spark.createDataFrame([(7, 2, 10.5), (8, 1, 0.1)], "product long, customers long, revenue double")
+    df = spark.createDataFrame([(7, 2, "10.5"), (8, 1, "0.1")], "product long, customers long, revenue string")
+    df = df.withColumn("revenue", F.col("revenue").cast("decimal(28,2)"))
     path = shared_scratch(spark, "rev_test")
     write_revenue_report(df.coalesce(1), path)
     lines = open(sorted(glob.glob(path + "/part-*.csv"))[0]).read().splitlines()
@@ -123,7 +149,7 @@ def test_first_lines_by_stored_ordinal(spark):
     assert got == list(range(7))
 
 
-def test_ranges_disjoint_detects_overlap(spark):
-    ok = spark.createDataFrame([(1, 5), (6, 9), (10, 12)], "_first long, _last long")
-    bad = spark.createDataFrame([(1, 7), (6, 9)], "_first long, _last long")
-    assert O.ranges_disjoint(ok) and not O.ranges_disjoint(bad)
+def test_ordinal_counts_through_all_ranges(spark):
+    df = spark.createDataFrame([(i * 7 % 1000, i) for i in range(1000)], "k long, v long")
+    got = {r["k"]: r["ordinal"] for r in O.with_ordinal(df, ["k"], num_buckets=9).collect()}
+    assert got == {k: k for k in range(1000)}

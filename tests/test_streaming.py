@@ -1,8 +1,10 @@
 """Streaming jobs equal their batch twins."""
 
-from pyspark.sql import functions as F
-
+import random
 import time
+from datetime import datetime, timedelta
+
+from pyspark.sql import functions as F
 
 from cobble.plans.queries import QUERIES
 from cobble.session import shared_scratch, table
@@ -36,12 +38,12 @@ def test_first_event_of_day_append_mode_emits_closed_days(spark):
     src = _arriving_in_time_order(spark)
     schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
     s = jobs.first_event_of_day_windowed(read_stream(spark, src, schema, files_per_batch=1), cols)
-    got = {r["day"]: r["event_id"] for r in jobs.run_available(spark, s, "x2_append", mode="append").collect()}
-    want = {r["day"]: r["event_id"] for r in QUERIES["first_event_of_day"](spark, SF).collect()}
-    # append mode emits a day once the watermark has passed its end: all but the newest day(s)
-    assert got
-    assert all(want[d] == e for d, e in got.items())
-    assert max(want) not in got
+    got = [(r["day"], r["event_id"]) for r in jobs.run_available(spark, s, "x2_append", mode="append").collect()]
+    first = {r["day"]: r["event_id"] for r in QUERIES["first_event_of_day"](spark, SF).collect()}
+    latest = table(spark, SF, "events").agg(F.max("ts")).first()[0]
+    # exactly the days that ended an hour or more before the latest event, each once
+    closed = {d: e for d, e in first.items() if datetime.fromisoformat(d) + timedelta(days=1) <= latest - timedelta(hours=1)}
+    assert closed and sorted(got) == sorted(closed.items())
 
 
 def test_stream_revenue_equals_batch(spark):
@@ -54,3 +56,44 @@ def test_stream_levels_equal_batch(spark):
     s = QUERIES["stream_max_concurrent_events"](spark, SF).first()[0]
     b = QUERIES["max_concurrent_events"](spark, SF).first()[0]
     assert s == b
+
+
+def _shuffled_files(spark, rows, schema, files):
+    """Rows dealt at random over files, which a stream then reads in any order."""
+    random.Random(4).shuffle(rows)
+    path = shared_scratch(spark, "shuffled_events")
+    for k in range(files):
+        spark.createDataFrame(rows[k::files], schema).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def test_level_is_exact_for_any_order_of_arrival(spark):
+    rnd = random.Random(6)
+    start = datetime(2024, 1, 1)
+    rows = [(i, start + timedelta(seconds=rnd.randrange(200_000)), rnd.choice("+++--.")) for i in range(600)]
+    level = best = 0
+    for _, _, e in sorted(rows, key=lambda r: (r[1], r[0])):
+        level += {"+": 1, "-": -1}.get(e, 0)
+        best = max(best, level) if e == "+" else best
+    schema = "id BIGINT, ts TIMESTAMP_NTZ, e STRING"
+    src = _shuffled_files(spark, rows, schema, 5)
+    s = read_stream(spark, src, schema, files_per_batch=2)
+    delta = F.when(F.col("e") == "+", 1).when(F.col("e") == "-", -1).otherwise(0)
+    assert jobs.stream_max_level(spark, s, "ts", "id", delta, F.col("e") == "+").first()[0] == best
+
+
+def test_replayed_batch_counts_once(spark, monkeypatch):
+    """Every batch is written twice, as after a failure between the write and its commit."""
+    write_once = jobs._sink
+
+    def twice(spark_, df, name, mode, write):
+        def again(batch, path):
+            write(batch, path)
+            write(batch, path)
+
+        return write_once(spark_, df, name, mode, again)
+
+    want = {name: sorted(map(str, QUERIES[name](spark, SF).collect())) for name in ("stream_revenue", "stream_max_concurrent_events", "stream_hour_histogram")}
+    monkeypatch.setattr(jobs, "_sink", twice)
+    for name, rows in want.items():
+        assert sorted(map(str, QUERIES[name](spark, SF).collect())) == rows
