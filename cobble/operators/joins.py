@@ -182,9 +182,9 @@ def roster_outer_join(
 
     The roster is first reduced to (id, copies) so the outer join sees unique keys on both
     sides. An id becomes a row for each ``copies_per_row`` of its copies; these rows are
-    dealt out anew, by range when the result is ``ordered`` by
-    (id, copy), and only then does each of them become its copies, so a hot id is expanded by
-    many tasks and no array holds more than ``copies_per_row`` numbers.
+    dealt out anew and only then does each of them become its copies, so a hot id is
+    expanded by many tasks and no array holds more than ``copies_per_row`` numbers.
+    ``ordered`` sorts by (id, copy), which splits a hot id as well.
     """
     copies = roster.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
     joined = copies.join(results, key, "full")
@@ -193,10 +193,7 @@ def roster_outer_join(
     per = F.lit(int(copies_per_row)).cast("bigint")
     last = F.expr(f"(coalesce(_copies, 1L) - 1) div {int(copies_per_row)}L")
     rows = joined.select(key, *filled, n.alias("_n"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_row"))
-    if ordered:
-        rows = rows.orderBy(key, "_row")
-    else:
-        rows = rows.repartition(key, "_row")
     first = F.col("_row") * per + 1
     upto = F.least(F.col("_n"), (F.col("_row") + 1) * per)
-    return rows.select(key, *fill_cols, F.explode(F.sequence(first, upto)).alias("copy"))
+    full = rows.repartition(key, "_row").select(key, *fill_cols, F.explode(F.sequence(first, upto)).alias("copy"))
+    return full.orderBy(key, "copy") if ordered else full
