@@ -47,7 +47,6 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"),
         "contaminated",
-        "n_near",
     )
 
 
@@ -84,4 +83,60 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _escaped(column: str) -> str:
+    """SQL of a text with its backslashes doubled and the template's control strings broken up."""
+    return rf"regexp_replace(replace({column}, '\', '\\'), '(<|\[)(/?s>|/?ROLE\]|/?INST\])', '\1\\\2', 'g')"
+
+
+ORACLES: dict[str, str] = {
+    "op4_chat": f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+),
+out AS (
+  SELECT *, '<s>[ROLE]' || {_escaped("role")} || '[/ROLE]' ||
+    CASE role WHEN 'assistant' THEN ' ' || {_escaped("text")} ELSE '[INST] ' || {_escaped("text")} || ' [/INST]' END
+    || '</s>' AS formatted
+  FROM rows
+),
+conv AS (
+  SELECT conv_id, count(*) AS n_turns, sum(length(formatted)) AS formatted_chars,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss
+  FROM out GROUP BY conv_id
+)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(turns) AS turns_sha256,
+  CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM conv
+""",
+    "op5_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), {decontam.WINDOW}) AS k, unnest(list_transform(
+    range(1, greatest(len(w) - {decontam.WINDOW} + 1, 1) + 1),
+    lambda i: array_to_string(w[i:i + {decontam.WINDOW} - 1], ' '))) AS win
+  FROM b WHERE len(w) > 0
+),
+seen AS (
+  SELECT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS win,
+    unnest(range(1, len(w) - k + 2)) AS i
+  FROM d, (SELECT DISTINCT k FROM win) ks WHERE len(w) >= k
+),
+hits AS (SELECT doc_id, i, k, item_id FROM seen JOIN win USING (win, k)),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS joined
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(joined, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
+""",
+}
