@@ -26,6 +26,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import fsum, sqrt
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -76,8 +78,20 @@ class Lexicon:
         return [v for v, _ in self.voters] + list(PATTERNS)
 
 
-def tokens(piece: str) -> set[str]:
-    return set(WORD.findall(piece.lower()))
+#: Characters that stand for letters in a disguised spelling, or that some disguise keeps.
+STAND_INS = frozenset("013!4@*")
+PUNCTUATION = ".,;:!?\"'()[]{}<>|&%$#*"
+
+
+def tokens(text: str) -> set[str]:
+    return set(WORD.findall(text.lower()))
+
+
+def piece_words(piece: str) -> list[str]:
+    """The words of a white-space-separated piece; mostly it is one word with punctuation around."""
+    low = piece.lower()
+    bare = low.strip(PUNCTUATION)
+    return [bare] if bare.isalpha() else WORD.findall(low)
 
 
 def units(words: set[str]) -> set[tuple[int, str]]:
@@ -137,11 +151,15 @@ class Ballot:
                 of = self.by_kind.setdefault(kind, {})
                 of[w] = of.get(w, 0) | 1 << k
         self.first = len(lexicon.voters)
+        # A word that begins like no entry and no insult gets no vote.
+        self.starts = {w[:3] for entries in (*lexicon.entries, INSULTS) for w in entries}
         self.known: dict[str, int] = {}
 
     def piece(self, piece: str) -> int:
         mask = 0
-        for w in tokens(piece):
+        for w in piece_words(piece):
+            if w[:3] not in self.starts:
+                continue
             for kind, of in self.by_kind.items():
                 if kind == 0:
                     mask |= of.get(w, 0)
@@ -149,9 +167,9 @@ class Ballot:
                     mask |= of.get(w[:kind], 0)
             if w in INSULTS or w[-1] == "s" and w[:-1] in INSULTS:
                 mask |= 1 << self.first
-        if DISGUISED.fullmatch(piece):
+        if not STAND_INS.isdisjoint(piece) and DISGUISED.fullmatch(piece):
             mask |= 1 << self.first + 1
-        if SHOUTED.fullmatch(piece):
+        if piece.isupper() and SHOUTED.fullmatch(piece):
             mask |= 1 << self.first + 2
         return mask
 
@@ -248,10 +266,14 @@ def _correlations(m: np.ndarray, w: np.ndarray, rates: np.ndarray) -> np.ndarray
 
 def hashed(piece: str, low: int, size: int) -> list[int]:
     """Places of a piece's words and their beginnings of 5 and 6 letters, from ``low`` to ``size``."""
-    import xxhash
-
-    own = [f"{k}{w[:k] if k else w}" for w in tokens(piece) for k in (0, 5, 6) if len(w) > k]
-    return [low + xxhash.xxh64_intdigest(u.encode()) % (size - low) for u in own]
+    own, room = [], size - low
+    for w in piece_words(piece):
+        own.append(low + crc32(w.encode()) % room)
+        if len(w) > 5:
+            own.append(low + crc32(w[:5].encode(), 5) % room)
+        if len(w) > 6:
+            own.append(low + crc32(w[:6].encode(), 6) % room)
+    return own
 
 
 class Features:
@@ -281,24 +303,29 @@ class Scorer(Features):
 
     def __init__(self, lexicon: Lexicon, weights: np.ndarray, bits: int = BITS):
         super().__init__(lexicon, bits)
-        self.weights, self.known = weights, {}
+        self.weights: list[float] = weights.tolist()
+        self.known: dict[str, tuple[int, float, int]] = {}
+
+    def learn(self, piece: str) -> tuple[int, float, int]:
+        if len(self.known) >= CACHE:
+            self.known.clear()
+        weights, at = self.weights, hashed(piece, self.low, self.size)
+        got = self.known[piece] = (self.ballot.piece(piece), sum([weights[i] for i in at]), len(at))
+        return got
 
     def __call__(self, text: str) -> float:
-        known, mask, dot, n = self.known, 0, 0.0, 0
-        for p in sorted(set(text.split())):
-            got = known.get(p)
-            if got is None:
-                if len(known) >= CACHE:
-                    known.clear()
-                at = hashed(p, self.low, self.size)
-                got = known[p] = (self.ballot.piece(p), float(self.weights[at].sum()), len(at))
-            mask |= got[0]
-            dot += got[1]
-            n += got[2]
+        known, learn = self.known.get, self.learn
+        got = [known(p) or learn(p) for p in set(text.split())]
+        mask = n = 0
+        for m, _, k in got:
+            mask |= m
+            n += k
         if mask >> self.ballot.first & 1 and ADDRESSED.search(text):
             mask |= 1 << self.ballot.first + 3
-        z = self.weights[0] + self.weights[self.flags(mask)].sum() + dot * (0.5 / np.sqrt(max(n, 1)))
-        return float(sigmoid(z))
+        weights = self.weights
+        # fsum: the same whatever the order of the pieces.
+        z = fsum(d for _, d, _ in got) * (0.5 / sqrt(max(n, 1))) + weights[0]
+        return float(sigmoid(z + sum([weights[i] for i in self.flags(mask)])))
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> tuple[Lexicon, LabelModel, np.ndarray]:

@@ -70,7 +70,7 @@ def test_ballot_against_plain_votes():
     assert votes("vile vil") == {"begin3_weak", "insult"}
     assert votes("you are an IDIOT!!!") == {"insult", "disguised", "shouted", "addressed"}
     assert votes("what an 1d!0t") == {"disguised"}
-    assert votes("idiots") == {"insult", "disguised"}
+    assert votes("idiots") == {"insult"}
 
 
 def test_scorer_equals_the_training_features():
