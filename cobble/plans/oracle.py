@@ -587,3 +587,13 @@ SELECT CAST(ordinal AS BIGINT) AS ordinal, doc_id, CAST(line_no AS INT) AS line_
        CAST(len(list_filter(string_split(trim(line), ' '), lambda w: w <> '')) AS INT) AS n_words
 FROM n WHERE ordinal < 100
 """
+
+# The columns of lineitem in their order.
+_LINEITEM = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
+    "l_returnflag l_linestatus l_shipdate"
+).split()
+ORACLES["column_positions"] = " UNION ALL ".join(
+    f"SELECT CAST({i} AS INT) AS position, '{c}' AS name, CAST(count({c}) AS BIGINT) AS filled FROM lineitem"
+    for i, c in enumerate(_LINEITEM)
+)
