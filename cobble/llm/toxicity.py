@@ -243,6 +243,8 @@ def fit_label_model(matrix: np.ndarray, n: np.ndarray, known: np.ndarray, rounds
     for i in range(rounds):
         p = model.posterior(matrix)
         w = np.stack([free * (1 - p) + known[:, 0], free * p + known[:, 1]])
+        if not w.sum():
+            break  # no rows at all
         model.balance = float(np.clip(w[1].sum() / w.sum(), 1e-4, 0.999))
         model.rates = np.stack([(w[c] @ m + 0.01) / (w[c].sum() + 1) for c in (0, 1)])
         if i % 10 == 9:
