@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cobble.session import shared_scratch, table
 
-__all__ = ["materialize", "partitions", "prepare", "slices", "table", "texts"]
+__all__ = ["gathered", "materialize", "partitions", "prepare", "slices", "table", "texts"]
 
 #: Rows in an Arrow batch sent to Python; bounds a batch when single texts are long.
 BATCH_ROWS = 1000
@@ -67,3 +67,17 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             held += n or 0
         if at < len(sizes):
             yield batch.slice(at)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Join small batches to ones of up to about ``most`` bytes, in order."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if held and size + batch.nbytes > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)

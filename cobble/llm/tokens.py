@@ -21,7 +21,9 @@ Null text: empty, only the end id. Null doc_ids come first. Repeated rows are al
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cobble.llm.common import partitions, prepare, slices, texts
+from cobble.llm.common import gathered, partitions, prepare, slices, texts
 from cobble.session import shared_scratch
 
 SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES = 512, 2048, 32 << 10
@@ -42,6 +44,8 @@ BLOCK_BYTES, BLOCK_DOCS = 1 << 20, 4096
 #: Words kept with their ids in a Python worker; beyond it the cache starts anew.
 CACHE_WORDS = 400_000
 LEVEL = 3
+#: Text bytes whose words are looked up together: the more, the fewer distinct words in all.
+ENCODE_BYTES = 16 << 20
 
 BLOCKS = (
     "shard int, block int, first_doc bigint, last_doc bigint, doc_ids array<bigint>, n_tokens array<int>, "
@@ -49,6 +53,58 @@ BLOCKS = (
 )
 
 
+#: How the tokenizer that ``Runs`` knows prepares a text (fixed values: they must equal its file's).
+KNOWN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+KNOWN_STEPS = (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"], "BPE")
+
+
+class Runs:
+    """Ids of words of printable ASCII and Latin-1 letters, by the library's BPE model alone.
+
+    For these characters the normaliser only lower-cases and the pre-tokenizer only cuts a word
+    into runs of letters, single digits and runs of others. The runs repeat far more than words
+    with their punctuation do, so each is given to the model once.
+    """
+
+    FIT = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+    CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+
+    def __init__(self, tok, dtype: np.dtype):
+        self.tokenize, self.dtype = tok.model.tokenize, dtype
+        self.known: dict[str, bytes] = {}
+        # Byte-level BPE writes a byte as itself where that prints, the others from 256 on.
+        prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in prints]
+        self.byte = {b: b for b in prints} | {b: 256 + i for i, b in enumerate(others)}
+
+    @staticmethod
+    def serve(tok) -> bool:
+        """Whether the tokenizer prepares texts the way this class relies on."""
+        got = json.loads(tok.to_str())
+        steps = [x["type"] for x in (got["normalizer"] or {}).get("normalizers", [])]
+        cuts = (got["pre_tokenizer"] or {}).get("pretokenizers", [])
+        split = cuts[0].get("pattern", {}).get("Regex") if cuts else None
+        return (steps, [x["type"] for x in cuts], got["model"]["type"]) == KNOWN_STEPS and split == KNOWN_SPLIT
+
+    def run(self, run: str) -> bytes:
+        if run.isascii():
+            text = run
+        else:
+            text = "".join(chr(self.byte[b]) for b in run.encode())
+        return np.array([t.id for t in self.tokenize(text)], self.dtype).tobytes()
+
+    def word(self, word: str) -> bytes:
+        known, out = self.known, b""
+        for run in self.CUT.findall(word.lower()):
+            ids = known.get(run)
+            if ids is None:
+                if len(known) >= CACHE_WORDS:
+                    known.clear()
+                ids = known[run] = self.run(run)
+            out += ids
+        return out
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, each distinct word encoded once.
 
@@ -63,12 +119,22 @@ class WordEncoder:
         self.tok = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
+        self.runs = Runs(self.tok, self.dtype) if Runs.serve(self.tok) else None
 
     def _learn(self, words: list[str]) -> None:
         if len(self.known) + len(words) > CACHE_WORDS:
             self.known.clear()
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
+        rest = words
+        if self.runs:
+            rest, fit, word = [], Runs.FIT.fullmatch, self.runs.word
+            for w in words:
+                # A special token's name in a word is left to the library.
+                if fit(w) and "<|" not in w:
+                    self.known[w] = word(w)
+                else:
+                    rest.append(w)
+        for at in range(0, len(rest), 20_000):
+            part = rest[at : at + 20_000]
             for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.known[w] = np.array(e.ids, self.dtype).tobytes()
 
@@ -144,7 +210,7 @@ def _pack(path: str, end_id: int, dictionary: bytes, sha: str) -> Callable:
             names = [c.split()[0] for c in BLOCKS.split(", ")]
             return pa.RecordBatch.from_pylist([dict(zip(names, row, strict=True))], schema=BLOCK_ARROW)
 
-        for batch in slices(batches):
+        for batch in gathered(slices(batches), ENCODE_BYTES):
             for doc, ids in zip(batch.column("doc_id").to_pylist(), _arrays(path, end_id, batch), strict=True):
                 frame = squeeze(ids.tobytes())
                 docs.append(doc)
