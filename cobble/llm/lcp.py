@@ -176,7 +176,32 @@ ROWS_ARROW = pa.schema(
     + [(k, pa.string()) for k in ("edited_sha256", "fingerprint", "edited_fingerprint")]
     + [("near_edited", pa.float64()), ("near_next", pa.float64())]
 )
-EDGE_ARROW = pa.schema([*ROWS_ARROW, ("kind", pa.string()), ("shard", pa.int32()), ("text", pa.string())])
+#: The written form: digests and sketches in bytes, half as long as in hex.
+_BYTES = ["sha", *(f"{k}{level}" for k in ("own", "new") for level in range(LEVELS, 0, -1))]
+WRITTEN = (
+    "doc_id bigint, n_chars bigint, " + ", ".join(f"{k} binary" for k in _BYTES) + ", near_edited double, "
+    "near_next double, kind string, shard int, text string"
+)
+WRITTEN_ARROW = pa.schema(
+    [("doc_id", pa.int64()), ("n_chars", pa.int64())]
+    + [(k, pa.binary()) for k in _BYTES]
+    + [("near_edited", pa.float64()), ("near_next", pa.float64())]
+    + [("kind", pa.string()), ("shard", pa.int32()), ("text", pa.string())]
+)
+
+
+def _in_bytes(fingerprint: str) -> list[bytes | None]:
+    """The names of each level from the highest on; None for a level that a fingerprint leaves out."""
+    parts: list[bytes | None] = [bytes.fromhex(p[2:]) for p in fingerprint.split(";")]
+    return parts + [None] * (LEVELS - len(parts))
+
+
+def _in_text(prefix: str):
+    """The fingerprint column from its columns of bytes."""
+    parts = [
+        F.concat(F.lit(f"{level}:"), F.lower(F.hex(f"{prefix}{level}"))) for level in range(LEVELS, 0, -1)
+    ]
+    return F.concat_ws(";", *parts)
 
 
 def compared(rows: list[tuple[int | None, str, str]]) -> list[tuple]:
@@ -195,7 +220,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shard, held, held_print = TaskContext.get().partitionId(), None, None
 
     def edge(kind: str, doc: int | None, text: str) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist([{"kind": kind, "shard": shard, "doc_id": doc, "text": text}], schema=EDGE_ARROW)
+        return pa.RecordBatch.from_pylist([{"kind": kind, "shard": shard, "doc_id": doc, "text": text}], schema=WRITTEN_ARROW)
 
     for batch in slices(batches, most=PARSE_BYTES):
         rows = list(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True))
@@ -208,12 +233,16 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = fingerprints_of([t for _, t in rows[skip:]] + new)
         own = [held_print] * skip + prints[: len(rows) - skip]
         cols = [
-            (d, len(t), hashlib.sha256(e.encode()).hexdigest(), a, b, likeness(a, b), likeness(a, c), "row", shard, None)
+            (
+                *(d, len(t), hashlib.sha256(e.encode()).digest(), *_in_bytes(a), *_in_bytes(b)),
+                *(likeness(a, b), likeness(a, c), "row", shard, None),
+            )
             for (d, t), e, a, b, c in zip(rows, new, own, prints[len(rows) - skip :], own[1:], strict=False)
         ]
         if cols:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*cols, strict=True), EDGE_ARROW, strict=True)], schema=EDGE_ARROW
+                [pa.array(c, f.type) for c, f in zip(zip(*cols, strict=True), WRITTEN_ARROW, strict=True)],
+                schema=WRITTEN_ARROW,
             )
         held, held_print = rows[-1], own[-1]
     if held is not None:
@@ -239,7 +268,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     prepare(spark)
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text").asc(), F.col("text").asc()]
     ranged = texts(docs).repartitionByRange(partitions(spark), *order[:2]).sortWithinPartitions(*order)
-    parsed = materialize(ranged.mapInArrow(_neighbours, f"{ROWS}, kind string, shard int, text string"), "lcp")
+    parsed = materialize(ranged.mapInArrow(_neighbours, WRITTEN), "lcp")
     tails = parsed.filter("kind = 'tail'").select("doc_id", "text", "shard")
     heads = parsed.filter("kind = 'head'").select("shard", F.col("text").alias("after"))
     # One row of each partition, whatever the data.
@@ -248,4 +277,13 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     pairs = tails.join(turn, "shard").drop("shard").join(heads.withColumnRenamed("shard", "next"), "next")
     last = pairs.select("doc_id", "text", "after").mapInArrow(_compare, ROWS)
     names = [f.name for f in ROWS_ARROW]
-    return parsed.filter("kind = 'row'").select(*names).unionByName(last.select(*names))
+    rows = parsed.filter("kind = 'row'").select(
+        "doc_id",
+        "n_chars",
+        F.lower(F.hex("sha")).alias("edited_sha256"),
+        _in_text("own").alias("fingerprint"),
+        _in_text("new").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+    return rows.unionByName(last.select(*names))
