@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from cobble.llm.common import materialize, prepare, slices, texts
 from cobble.llm.quality import BITS, fold, sigmoid, train, training_rows
 
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 24_000
 #: White-space-separated pieces remembered with their votes in a Python worker.
 CACHE = 300_000
 #: Lexicon entries: least toxic documents that hold one, least precision, and how many at most a kind.
@@ -60,10 +60,10 @@ ADDRESSED = re.compile(
     re.IGNORECASE,
 )
 DISGUISED = re.compile(
-    r"\W*(?:[i1!]d[i1!][o0]t|m[o0]r[o0]n|l[o0]s[e3]r|s[ct]um|tr[a@4]sh|st[uv*]p[i1!*]d|d[u*]mb|sh[i1!*]t|f[u*@]ck|b[i1!*]tch)s?\W*",
+    r"(?:\b|(?<!\w))(?:[i1!]d[i1!][o0]t|m[o0]r[o0]n|l[o0]s[e3]r|s[ct]um|tr[a@4]sh|st[uv*]p[i1!*]d|d[u*]mb|sh[i1!*]t|f[u*@]ck|b[i1!*]tch)s?\b",
     re.IGNORECASE,
 )
-SHOUTED = re.compile(r"\W*(?:" + "|".join(sorted(w.upper() for w in INSULTS)) + r")S?\W*")
+SHOUTED = re.compile(r"\b(?:" + "|".join(sorted(w.upper() for w in INSULTS)) + r")S?\b|!!!")
 PATTERNS = ("insult", "disguised", "shouted", "addressed")
 
 
@@ -78,8 +78,6 @@ class Lexicon:
         return [v for v, _ in self.voters] + list(PATTERNS)
 
 
-#: Characters that stand for letters in a disguised spelling, or that some disguise keeps.
-STAND_INS = frozenset("013!4@*")
 PUNCTUATION = ".,;:!?\"'()[]{}<>|&%$#*"
 
 
@@ -167,9 +165,10 @@ class Ballot:
                     mask |= of.get(w[:kind], 0)
             if w in INSULTS or w[-1] == "s" and w[:-1] in INSULTS:
                 mask |= 1 << self.first
-        if not STAND_INS.isdisjoint(piece) and DISGUISED.fullmatch(piece):
+        if DISGUISED.search(piece):
             mask |= 1 << self.first + 1
-        if piece.isupper() and SHOUTED.fullmatch(piece):
+        # Neither a capital nor an exclamation: nothing is shouted.
+        if ("!!!" in piece or not piece.islower()) and SHOUTED.search(piece):
             mask |= 1 << self.first + 2
         return mask
 

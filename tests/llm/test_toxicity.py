@@ -70,7 +70,19 @@ def test_ballot_against_plain_votes():
     assert votes("vile vil") == {"begin3_weak", "insult"}
     assert votes("you are an IDIOT!!!") == {"insult", "disguised", "shouted", "addressed"}
     assert votes("what an 1d!0t") == {"disguised"}
-    assert votes("idiots") == {"insult"}
+    assert votes("idiots") == {"insult", "disguised"}
+
+
+def test_pattern_voters_see_whole_pieces():
+    ballot = T.Ballot(T.Lexicon())
+    votes = lambda text: {n for k, n in enumerate(T.PATTERNS) if ballot(text) >> k & 1}
+    for text in ("fuck", "so shit.", "stvpid", "1d10t/m0ron", "a tr@sh-talk show", "(!d!ot)", "you!diot"):
+        assert votes(text) == {"disguised"}, text
+    assert votes("idiot!") == votes("idiot.") == {"insult", "disguised"}
+    assert votes("he/SCUMBAG/she") == {"insult", "shouted"}
+    assert votes("no!!!") == {"shouted"}
+    assert votes("shitake f_ck tr@shed drum lower Case") == set()
+    assert T.TRAIN_ROWS == 24_000
 
 
 def test_scorer_equals_the_training_features():
