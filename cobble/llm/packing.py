@@ -12,7 +12,10 @@ To keep a hot source (or cluster) from walking past all bins that already hold i
 counted: where every open bin holds the source, the walk is skipped, and a bin that is full leaves
 the order. Shards bound the rest of the work whatever the skew.
 
-Only ids, lengths and hashes reach Python. Length is the number of words (runs other than white
+Duplicate clusters are exact copies but for case and spacing, and with ``near`` (``near_clusters``)
+also near copies: the components that ``simhash`` links.
+
+Only ids, lengths and hashes reach the packing. Length is the number of words (runs other than white
 space) and one end mark. Null texts are empty, length 1; null sources are one source; empty texts
 are not each other's duplicates. Repeated rows are duplicates and part company. Every row is placed.
 """
@@ -26,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cobble.llm.common import prepare
+from cobble.llm import simhash
+from cobble.llm.common import materialize, prepare
 
 CAPACITY, SHARD_DOCS = 2048, 4000
 
@@ -102,18 +106,31 @@ def text_cluster(text: Column) -> Column:
     return F.when(words != "", F.xxhash64(words))
 
 
+def near_clusters(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """(own, cluster) for each text cluster of ``docs`` that is a near copy of others: the least of its component.
+
+    Text clusters stand for the ids, so rows with repeated ids, or none, are told apart by their texts.
+    """
+    text = docs["text"].cast("string")
+    # Lower-cased as in text_cluster: exact copies have one fingerprint.
+    rows = docs.select(text_cluster(text).alias("doc_id"), F.lower(text).alias("text")).filter("doc_id IS NOT NULL")
+    found = simhash.near_duplicates(rows, shingle, max_bits).filter("component_id <> doc_id")
+    return materialize(found.select(F.col("doc_id").alias("own"), F.col("component_id").alias("cluster")).distinct(), "near-clusters")
+
+
 def pack(
     docs: DataFrame,
     capacity: int = CAPACITY,
     shard_docs: int = SHARD_DOCS,
     cluster: Column | None = None,
     length: Column | None = None,
+    near: DataFrame | None = None,
 ) -> DataFrame:
     """A row per part of each row of ``docs`` (doc_id, text, source).
 
     bin_id, slot (place in the bin), doc_id, part, n_tokens, start (token offset in the bin), source,
     cluster and room (tokens left in the bin). ``cluster`` and ``length`` may be given, else the words' hash and
-    number are taken.
+    number are taken. ``near`` (own, cluster), one row an own, gives clusters that belong to others theirs.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -125,6 +142,10 @@ def pack(
         (length if length is not None else word_count(text) + 1).cast("int").alias("n_tokens"),
         F.xxhash64(text, F.lit(3)).alias("mix"),
     )
+    if near is not None:
+        known = near.select(near["own"].alias("__own"), near["cluster"].alias("__near"))
+        joined = items.join(known, items["cluster"] == known["__own"], "left")
+        items = joined.withColumn("cluster", F.coalesce("__near", "cluster")).drop("__own", "__near")
     n = max(1, -(-docs.count() // shard_docs))
     # Both the id and the text are in the hash, so neither repeated ids nor copies pile up in a shard.
     shard = F.pmod(F.xxhash64("doc_id", "mix", "n_tokens"), F.lit(n)).cast("int")

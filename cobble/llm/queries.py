@@ -63,7 +63,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, near=packing.near_clusters(docs))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

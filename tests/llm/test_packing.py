@@ -90,5 +90,25 @@ def test_copies_part_company(spark):
     assert len({r.bin_id for r in apart}) == 1
 
 
+def test_near_copies_part_company(spark, tmp_path):
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(10**6)}é" for _ in range(4000)]
+    text = " ".join(words)
+    changed = " ".join([*words[:2000], "other", *words[2001:]])
+    texts = [text, changed, f"{text} all rights reserved", changed.upper(), "another text", None, ""]
+    ids = [1, 2, 2, None, 2, 5, 6]  # ids repeat and lack; the texts tell the rows apart
+    rows = [(d, t, f"s{i}", 0) for i, (d, t) in enumerate(zip(ids, texts))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars int")
+    exact = P.pack(docs, capacity=20_000).collect()
+    assert len({r.bin_id for r in exact}) == 2  # only the upper-case copy is kept apart
+    near = P.pack(docs, capacity=20_000, near=P.near_clusters(docs)).collect()
+    long = [r for r in near if r.n_tokens > 4000]
+    assert len({r.bin_id for r in long}) == 4 and len({r.cluster for r in long}) == 1
+    assert len(near) == 7 and len({r.cluster for r in near}) == 3
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = [r for r in op9_packing(spark, str(tmp_path)).collect() if r.n_tokens < 2048 and r.part == 1]
+    assert len({r.bin_id for r in got}) == len(got) == 4
+
+
 def test_empty(spark):
     assert P.pack(documents(spark, [])).count() == 0
