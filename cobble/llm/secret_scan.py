@@ -52,11 +52,23 @@ CLASSES = (
         (re.compile("[0-9]"), re.compile("[a-z]"), re.compile("[A-Z]")),
     ),
     ("upper", re.compile(r"[A-Z0-9]{20,}"), 20, 3.6, (re.compile("[0-9].*[0-9]"), re.compile("[A-Z]"))),
+    ("lower", re.compile(r"[a-z0-9]{20,}"), 20, 3.5, (re.compile("[0-9].*[0-9]"), re.compile("[a-z]"))),
 )
+
+
+def _begun(chars: str) -> str:
+    """Pattern of the beginnings of ``chars``, the empty one included."""
+    out = ""
+    for c in reversed(chars):
+        out = f"(?:{c}{out})?"
+    return out
+
+
 ALLOW = (
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"(0123456789)+[0-9]*",
-    r"(0?123456789)?(?i:abcdef(ghijklmnopqrstuvwxyz)?)(0123456789)?.*",
+    # Counting sequences of digits and letters, the last one maybe cut short, and an alphabet's signs.
+    rf"(?i:(?:0?(?:123456789|abcdef{_begun('ghijklmnopqrstuvwxyz')}))+(?:{_begun('0123456789')}|{_begun('123456789')}|{_begun('abcdef')}))[+/_=-]*",
     r".*EXAMPLE(KEY)?",
     r"[A-Za-z]+([/_-]+[A-Za-z]+)*[0-9]{0,4}",
     r"sha(1|256|384|512)-.*",

@@ -107,6 +107,26 @@ def test_entropy_finds_keys_and_suppresses_allowed():
         assert S.entropy_spans(clean, allow) == []
 
 
+def test_entropy_finds_lower_case_keys():
+    rng = random.Random(6)
+    allow = [re.compile(a, re.DOTALL) for a in S.ALLOW]
+    keys = ["".join(rng.choice(string.ascii_lowercase + string.digits) for _ in range(32)) for _ in range(300)]
+    assert sum(bool(S.entropy_spans(f"see {k} here", allow)) for k in keys) >= 297
+    assert S.entropy_spans("thequickbrownfoxjumpsoverthelazydog", allow) == []
+
+
+def test_allowed_counting_ends_with_the_sequence():
+    rng = random.Random(7)
+    allow = [re.compile(a, re.DOTALL) for a in S.ALLOW]
+    key = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(40))
+    for start in ("abcdef", "ABCDEF", "123456789abcdef", "0123456789abcdef0123456789"):
+        assert S.entropy_spans(start + key, allow)
+    letters = string.ascii_uppercase + string.ascii_lowercase
+    for clean in (f"{letters}0123456789+/", "0123456789abcdef" * 4, "0123456789abcdefghij", "0123456789ABCDEF01234", "abcdef1234567890abcdef1234567890"):
+        assert S.entropy_spans(clean, allow) == [], clean
+    assert S.entropy_spans("0123456789abcdef" * 5000 + "Q7z", allow) is not None  # no blow-up
+
+
 def test_redaction(spark):
     docs = documents(spark, [(1, "my password=hunter22! ok"), (2, None), (3, "clean")])
     rows = {r.doc_id: r.text for r in S.redact(docs).collect()}
