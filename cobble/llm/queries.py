@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cobble.llm import chat, decontam, lcp, packing, quality, secret_scan, simhash, tokens, toxicity, url_filters
+from cobble.llm import (
+    chat,
+    decontam,
+    lcp,
+    packing,
+    prefix_trie,
+    quality,
+    secret_scan,
+    simhash,
+    tokens,
+    toxicity,
+    url_filters,
+)
 from cobble.llm.common import table
 
 
@@ -71,6 +83,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_tokens": op1_tokens,
     "op2_secrets": op2_secrets,
@@ -82,6 +98,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
