@@ -14,6 +14,7 @@ from cobble.llm import (
     quality,
     secret_scan,
     simhash,
+    token_counts,
     tokens,
     toxicity,
     url_filters,
@@ -21,10 +22,10 @@ from cobble.llm import (
 from cobble.llm.common import table
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path("word_bpe_49k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op1_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +88,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=512)
+
+
 QUERIES = {
     "op1_tokens": op1_tokens,
     "op2_secrets": op2_secrets,
@@ -99,6 +104,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
     "op11_prefix_trie": op11_prefix_trie,
+    "op13_token_counts": op13_token_counts,
 }
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
