@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cobble.llm import (
+    alignment,
     chat,
     decontam,
     lcp,
@@ -88,6 +89,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), a, b)
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=512)
 
@@ -104,6 +110,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_alignment": op12_alignment,
     "op13_token_counts": op13_token_counts,
 }
 
