@@ -12,8 +12,8 @@ To keep a hot source (or cluster) from walking past all bins that already hold i
 counted: where every open bin holds the source, the walk is skipped, and a bin that is full leaves
 the order. Shards bound the rest of the work whatever the skew.
 
-Duplicate clusters are exact copies but for case and spacing, and with ``near`` (``near_clusters``)
-also near copies: the components that ``simhash`` links.
+Duplicate clusters are exact copies but for case and spacing, and with ``pack_apart`` also near
+copies: the components that ``simhash`` links.
 
 Only ids, lengths and hashes reach the packing. Length is the number of words (runs other than white
 space) and one end mark. Null texts are empty, length 1; null sources are one source; empty texts
@@ -24,13 +24,15 @@ from __future__ import annotations
 
 import bisect
 from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cobble.llm import simhash
-from cobble.llm.common import materialize, prepare
+from cobble.llm.common import materialize, prepare, slices
 
 CAPACITY, SHARD_DOCS = 2048, 4000
 
@@ -106,16 +108,63 @@ def text_cluster(text: Column) -> Column:
     return F.when(words != "", F.xxhash64(words))
 
 
-def near_clusters(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """(own, cluster) for each text cluster of ``docs`` that is a near copy of others: the least of its component.
+MEASURED = "doc_id bigint, source string, cluster bigint, n_tokens int, mix bigint, fp bigint"
+
+
+def measured(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """All that packing with near copies needs of each row, by one pass over the texts: ``text_cluster``,
+    ``word_count`` and an end mark, a hash of the text, and the lower-cased text's fingerprint."""
+    prepare(docs.sparkSession)
+    rows = docs.select(
+        docs["doc_id"].cast("bigint").alias("doc_id"),
+        docs["source"].cast("string").alias("source"),
+        F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"),
+    )
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        digest = xxhash.xxh64_intdigest
+        for batch in slices(batches):
+            clusters, sizes, mixes, prints = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                words = text.lower().encode().split()
+                clusters.append(digest(b" ".join(words), 42) if words else None)
+                sizes.append(len(words) + 1)
+                mixes.append(digest(text.encode(), 3))
+                prints.append(simhash.fingerprint(b" ".join(words), shingle))
+            own = np.array([c or 0 for c in clusters], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("source"),
+                    pa.array(own, mask=np.array([c is None for c in clusters], bool)),
+                    pa.array(sizes, pa.int32()),
+                    pa.array(np.array(mixes, np.uint64).view(np.int64)),
+                    pa.array(np.array(prints, np.uint64).view(np.int64)),
+                ],
+                MEASURED_NAMES,
+            )
+
+    return materialize(rows.mapInArrow(measure, MEASURED), "packing-measured")
+
+
+MEASURED_NAMES = ["doc_id", "source", "cluster", "n_tokens", "mix", "fp"]
+
+
+def near_clusters(rows: DataFrame, max_bits: int = 2) -> DataFrame:
+    """(own, cluster) for each text cluster of ``measured`` rows that is a near copy of others: the least
+    of its component.
 
     Text clusters stand for the ids, so rows with repeated ids, or none, are told apart by their texts.
     """
-    text = docs["text"].cast("string")
-    # Lower-cased as in text_cluster: exact copies have one fingerprint.
-    rows = docs.select(text_cluster(text).alias("doc_id"), F.lower(text).alias("text")).filter("doc_id IS NOT NULL")
-    found = simhash.near_duplicates(rows, shingle, max_bits).filter("component_id <> doc_id")
-    return materialize(found.select(F.col("doc_id").alias("own"), F.col("component_id").alias("cluster")).distinct(), "near-clusters")
+    texts = rows.filter("cluster IS NOT NULL").select(F.col("cluster").alias("own"), "fp").distinct()
+    nodes = materialize(texts.groupBy("fp").agg(F.min("own").alias("least"), F.count("*").alias("n")), "packing-prints")
+    roots = simhash.components(simhash.links(nodes.select("fp"), max_bits)).withColumnRenamed("node", "fp")
+    linked = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    best = linked.groupBy("root").agg(F.min("least").alias("cluster"), F.sum("n").alias("texts")).filter("texts > 1")
+    groups = linked.join(best, "root").select("fp", "cluster")
+    return materialize(texts.join(groups, "fp").filter("own <> cluster").select("own", "cluster"), "near-clusters")
 
 
 def pack(
@@ -124,13 +173,12 @@ def pack(
     shard_docs: int = SHARD_DOCS,
     cluster: Column | None = None,
     length: Column | None = None,
-    near: DataFrame | None = None,
 ) -> DataFrame:
     """A row per part of each row of ``docs`` (doc_id, text, source).
 
     bin_id, slot (place in the bin), doc_id, part, n_tokens, start (token offset in the bin), source,
     cluster and room (tokens left in the bin). ``cluster`` and ``length`` may be given, else the words' hash and
-    number are taken. ``near`` (own, cluster), one row an own, gives clusters that belong to others theirs.
+    number are taken.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -142,11 +190,24 @@ def pack(
         (length if length is not None else word_count(text) + 1).cast("int").alias("n_tokens"),
         F.xxhash64(text, F.lit(3)).alias("mix"),
     )
-    if near is not None:
-        known = near.select(near["own"].alias("__own"), near["cluster"].alias("__near"))
-        joined = items.join(known, items["cluster"] == known["__own"], "left")
-        items = joined.withColumn("cluster", F.coalesce("__near", "cluster")).drop("__own", "__near")
-    n = max(1, -(-docs.count() // shard_docs))
+    return place(items, capacity, shard_docs)
+
+
+def pack_apart(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS, max_bits: int = 2) -> DataFrame:
+    """``pack`` with near copies in one cluster too: texts are read once, everything else comes from
+    the small table that this gives."""
+    rows = measured(docs)
+    near = near_clusters(rows, max_bits).select(F.col("own").alias("cluster"), F.col("cluster").alias("__near"))
+    # A cluster that all copies of a text share is one row of ``near``; the copies' side may be split.
+    items = rows.join(near, "cluster", "left").select(
+        "doc_id", "source", F.coalesce("__near", "cluster").alias("cluster"), "n_tokens", "mix"
+    )
+    return place(items, capacity, shard_docs)
+
+
+def place(items: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS) -> DataFrame:
+    """The rows of ``pack`` for (doc_id, source, cluster, n_tokens, mix)."""
+    n = max(1, -(-items.count() // shard_docs))
     # Both the id and the text are in the hash, so neither repeated ids nor copies pile up in a shard.
     shard = F.pmod(F.xxhash64("doc_id", "mix", "n_tokens"), F.lit(n)).cast("int")
 

@@ -77,8 +77,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return packing.pack(docs, near=packing.near_clusters(docs))
+    return packing.pack_apart(table(spark, sf_dir, "documents"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

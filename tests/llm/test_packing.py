@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from conftest_llm import documents, rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cobble.llm import packing as P
 from cobble.llm.queries import op9_packing
@@ -101,7 +102,7 @@ def test_near_copies_part_company(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars int")
     exact = P.pack(docs, capacity=20_000).collect()
     assert len({r.bin_id for r in exact}) == 2  # only the upper-case copy is kept apart
-    near = P.pack(docs, capacity=20_000, near=P.near_clusters(docs)).collect()
+    near = P.pack_apart(docs, capacity=20_000).collect()
     long = [r for r in near if r.n_tokens > 4000]
     assert len({r.bin_id for r in long}) == 4 and len({r.cluster for r in long}) == 1
     assert len(near) == 7 and len({r.cluster for r in near}) == 3
@@ -110,5 +111,25 @@ def test_near_copies_part_company(spark, tmp_path):
     assert len({r.bin_id for r in got}) == len(got) == 4
 
 
+def test_one_pass_measures_what_the_columns_do(spark, odd):
+    docs = documents(spark, [*odd, (11, "Ünd  GROSS\u00a0klein\tİ")])
+    text = F.coalesce("text", F.lit(""))
+    want = docs.select("doc_id", P.text_cluster(text).alias("cluster"), (P.word_count(text) + 1).alias("n_tokens"))
+    got = P.measured(docs).select("doc_id", "cluster", "n_tokens")
+    assert sorted(rows_of(got), key=str) == sorted(rows_of(want), key=str)
+
+
+def test_a_source_in_most_rows(spark, tmp_path):
+    """The whole query where one source holds two thirds of the rows."""
+    rng = random.Random(7)
+    rows = [(i, " ".join(f"w{rng.randrange(999)}" for _ in range(rng.randrange(900))), "hot" if i % 3 else f"s{i}", 0) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = op9_packing(spark, str(tmp_path)).collect()
+    check(got, [r[:3] for r in rows], P.CAPACITY)
+    assert len({r.bin_id for r in got if r.source == "hot"}) == sum(r.source == "hot" for r in got)
+
+
 def test_empty(spark):
     assert P.pack(documents(spark, [])).count() == 0
+    assert P.pack_apart(documents(spark, [])).count() == 0
