@@ -36,7 +36,11 @@ def main() -> None:
     from cobble.plans import testdata as TD
 
     t0 = time.perf_counter()
+    TD.violation_table(spark, sf_dir)
     TD.violation_rows(spark, sf_dir)
+    TD.yearly_files(spark, sf_dir, Q.YEARS)
+    TD.line_files(spark, sf_dir)
+    TD.collection_files(spark, sf_dir, Q.FEATURE_PROPS)
     Q._event_files(spark, sf_dir)
     preparation = round(time.perf_counter() - t0, 3)
 
@@ -57,7 +61,7 @@ def main() -> None:
     # second: rows read, violations resolved to a segment (the report's yearly total).
     flagship = None
     if "violations_by_segment" in times:
-        read = TD.derive_violation_rows(spark, sf_dir).count()
+        read = TD.violation_table(spark, sf_dir).count()
         resolved = QUERIES["reconcile_total"](spark, sf_dir).first()["total"]
         sec = times["violations_by_segment"]
         flagship = {

@@ -108,14 +108,8 @@ def schools(spark: SparkSession, sat_path: str, schools_path: str, out: str, min
 def words(spark: SparkSession, path: str, out: str, first_lines: int | None = None) -> DataFrame:
     """Lower-cased [\\w']+ word counts of text files, the ten most frequent, and the most used
     word (ties to the greatest word). ``first_lines`` counts only the first n input lines
-    (files in path order): lines carry an input ordinal, and the n smallest are kept."""
-    # Splits are packed into partitions by size, so the row id alone is not path order;
-    # within one file it follows the offset. Order by (file path, row id).
-    lines = io.read_text(spark, path).select(
-        "value", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_ord")
-    )
-    if first_lines is not None:
-        lines = O.top_k(lines, int(first_lines), F.asc("_file"), F.asc("_ord"))
+    (files in path order): lines are numbered by counting them a split, and no further file is read."""
+    lines = io.read_text(spark, path) if first_lines is None else O.first_text_lines(spark, path, int(first_lines))
     counts = A.token_counts(spread(lines), F.transform(X.word_tokens("value", True), lambda w: F.lower(w)))
     # Counted once: the other two results are taken from the written counts.
     io.write_csv(counts, os.path.join(out, "counts"))

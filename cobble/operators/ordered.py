@@ -12,9 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cobble.operators.joins import broadcast_if_bounded
 from cobble.session import shared_scratch
 
 BUCKET = "_bucket"
@@ -183,6 +184,50 @@ def with_ordinal(df: DataFrame, order_cols: Sequence[str], name: str = "ordinal"
     )
 
 
+def _text(spark: SparkSession, paths: str | Sequence[str], line_sep: str | None) -> DataFrame:
+    reader = spark.read if line_sep is None else spark.read.option("lineSep", line_sep)
+    return reader.text([paths] if isinstance(paths, str) else list(paths))
+
+
+def number_lines(
+    spark: SparkSession, paths: str | Sequence[str], name: str = "ordinal", line_sep: str | None = None
+) -> DataFrame:
+    """Lines of text files as (``value``, file, ``name``), numbered from 0 in order of (path, place in file)
+    (F18).
+
+    Lines are counted for every split; the sums before each split (a window over one row a split)
+    and a line's place in its split make its number. The lines themselves are neither sorted nor
+    shuffled. A line's row id counts on within a task, so its place is the distance from the
+    smallest id that the split had when it was counted; both scans cut the files alike.
+    """
+    text = _text(spark, paths, line_sep)
+    meta = F.col("_metadata")
+    lines = text.select("value", meta["file_path"].alias("file"), meta["file_block_start"].alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    splits = lines.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.orderBy("file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    starts, _ = broadcast_if_bounded(starts)
+    place = F.col("_id") - F.col("_first")
+    moved = F.raise_error(F.lit("the files changed while their lines were numbered")).cast("bigint")
+    checked = F.when((place >= 0) & (place < F.col("_n")), F.col("_start") + place).otherwise(moved)
+    return lines.join(starts, ["file", "_block"]).select("value", "file", checked.alias(name))
+
+
+def first_text_lines(
+    spark: SparkSession, paths: str | Sequence[str], n: int, name: str = "ordinal", line_sep: str | None = None
+) -> DataFrame:
+    """The first ``n`` lines of text files in order of (path, place in file) (K5), numbered.
+
+    Files are taken by path, twice as many each time, until they hold enough lines: further
+    files are never opened.
+    """
+    files = sorted(_text(spark, paths, line_sep).inputFiles())
+    some = 1
+    while some < len(files) and _text(spark, files[:some], line_sep).count() < n:
+        some *= 2
+    return first_lines(number_lines(spark, files[:some] or paths, name, line_sep), name, n)
+
+
 def first_lines(df: DataFrame, ordinal: str, n: int) -> DataFrame:
     """The first ``n`` rows by a stored input ordinal (K5): a filter, not ``limit``, so the
     choice of rows does not depend on how the input was split."""

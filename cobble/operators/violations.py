@@ -25,10 +25,9 @@ from cobble.operators.aggregates import with_trend
 from cobble.operators.joins import (
     DEFAULT_BROADCAST_BYTES,
     DEFAULT_BROADCAST_ROWS,
-    broadcast_if_bounded,
     first_match_segment,
     roster_outer_join,
-    street_lookup,
+    street_index,
 )
 
 ADDRESS_KEYS = ["street", "borough", "house"]
@@ -116,9 +115,8 @@ def segment_year_counts(
 ) -> DataFrame:
     """pid -> yearly counts and slope, for every segment that matched at least once."""
     addr = address_counts(violations, years)
-    lookup = street_lookup(segments, aliases)
-    lookup, _check = broadcast_if_bounded(lookup, max_broadcast_bytes, max_broadcast_rows)
-    matched = first_match_segment(addr, lookup, ADDRESS_KEYS)
+    index = street_index(segments, aliases, max_broadcast_bytes, max_broadcast_rows)
+    matched = first_match_segment(addr, index, ADDRESS_KEYS)
     ycols = [f"y{y}" for y in years]
     per_pid = matched.groupBy("pid").agg(*[F.sum(c).cast("bigint").alias(c) for c in ycols])
     return with_trend(per_pid, years)

@@ -518,6 +518,10 @@ ORACLES["stream_closed_days"] = f"""
 SELECT * FROM ({ORACLES['first_event_of_day']})
 WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
 """
+ORACLES["stream_late_events"] = f"""
+SELECT f.*, c.n FROM ({ORACLES['first_event_of_day']}) f
+JOIN (SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1) c USING (day)
+"""
 ORACLES["stream_max_concurrent_events"] = ORACLES["max_concurrent_events"]
 ORACLES["stream_revenue"] = """
 WITH per AS (
@@ -575,6 +579,8 @@ SELECT concat_ws(', ', CAST(pid AS VARCHAR), {", ".join(f"CAST(y{y} AS VARCHAR)"
 FROM ({ORACLES['violations_by_segment']})
 """
 
+ORACLES["violations_incremental"] = ORACLES["violations_by_segment"]
+
 ORACLES["feature_collection"] = ORACLES["feature_explode"]
 
 ORACLES["first_lines"] = """

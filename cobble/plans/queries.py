@@ -29,7 +29,7 @@ def register(name: str):
 
 
 def _violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = TD.derive_violation_rows(spark, sf_dir)
+    raw = TD.violation_table(spark, sf_dir)
     return V.prepare_violations(raw, "issue_date", "county", "house_number", "street_name", YEARS)
 
 
@@ -48,16 +48,38 @@ def violations_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("resolve_segments")
 def resolve_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct violation addresses with the segment each resolves to."""
-    from cobble.operators.joins import broadcast_if_bounded, first_match_segment, street_lookup
+    from cobble.operators.joins import first_match_segment, street_index
 
     segments, aliases = V.prepare_segments(TD.segment_features(spark, sf_dir))
     addr = V.address_counts(_violations(spark, sf_dir), YEARS)
-    lookup, _ = broadcast_if_bounded(street_lookup(segments, aliases))
-    m = first_match_segment(addr, lookup, V.ADDRESS_KEYS)
+    m = first_match_segment(addr, street_index(segments, aliases), V.ADDRESS_KEYS)
     total = sum((F.col(f"y{y}") for y in YEARS[1:]), F.col(f"y{YEARS[0]}"))
     return m.select("street", "borough", "house", "pid", total.alias("violations"))
 
 
+#: Buckets of the roster and the counts.
+BUCKETS = 16
+
+
+@register("violations_incremental")
+def violations_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship from violations that arrive year by year: each year's files are added to the counts, only
+    new addresses are resolved, and the bucketed roster is joined without an exchange (U4, G17-G19, J3, IO15)."""
+    from cobble.operators.incremental import ViolationStore, write_bucketed
+    from cobble.operators.joins import street_index
+    from cobble.session import shared_scratch
+
+    segments, aliases = V.prepare_segments(TD.segment_features(spark, sf_dir))
+    index = street_index(segments, aliases)
+    store = ViolationStore(shared_scratch(spark, "violation_store"), YEARS)
+    for batch, path in enumerate(TD.yearly_files(spark, sf_dir, YEARS)):
+        raw = spark.read.schema("issue_date STRING, county STRING, house_number STRING, street_name STRING").parquet(path)
+        prepared = V.prepare_violations(raw, "issue_date", "county", "house_number", "street_name", YEARS)
+        store.add(prepared, index, batch)
+    roster = write_bucketed(TD.segment_roster(spark, sf_dir).select(F.col("pid").cast("bigint").alias("pid")), "pid", BUCKETS)
+    return store.report(roster, BUCKETS)
+
+
 # --------------------------------------------------------------------------- reports
 
 
@@ -440,7 +462,7 @@ def house_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cobble.functions.streets import house_parity
     from cobble.functions.streets import house_parts as hp
 
-    h = TD.derive_violation_rows(spark, sf_dir).select(F.col("house_number").alias("house")).distinct()
+    h = TD.violation_table(spark, sf_dir).select(F.col("house_number").alias("house")).distinct()
     parts = hp("house")
     return h.select(
         "house",
@@ -619,6 +641,16 @@ def stream_closed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.run_available(spark, s, "stream_closed_days", mode="append")
 
 
+@register("stream_late_events")
+def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 with late rows: the first event and the number of events of each day over a file stream in no
+    order of time, days corrected by what came after they closed and open days flushed."""
+    from cobble.streaming import jobs
+
+    out = jobs.stream_first_with_late(spark, _event_stream(spark, sf_dir), EVENT_COLUMNS)
+    return out["final"].select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n", *EVENT_COLUMNS)
+
+
 @register("stream_max_concurrent_events")
 def stream_max_concurrent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """click/purchase level maximum over a file stream, for any order of arrival."""
@@ -728,22 +760,19 @@ def violations_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("feature_collection")
 def feature_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segment features written as FeatureCollection documents, converted once to Feature
-    lines, and read back to property columns (IO7, IO15)."""
+    """Segment features written as FeatureCollection documents, which are cut into features and read
+    to property columns (IO7, IO15)."""
     from pyspark.sql import types as T
 
-    from cobble.session import shared_scratch
-    from cobble.sources.io import read_geojson_features, split_feature_collections, write_feature_collections
+    from cobble.sources.io import read_geojson_features
 
-    docs, lines = shared_scratch(spark, "collections"), shared_scratch(spark, "features")
-    write_feature_collections(TD.segment_features(spark, sf_dir), docs, FEATURE_PROPS, "ord")
-    split_feature_collections(spark, docs, lines)
+    docs = TD.collection_files(spark, sf_dir, FEATURE_PROPS)
     props = T.StructType(
         [T.StructField("physicalid", T.LongType())]
         + [T.StructField(c, T.StringType()) for c in FEATURE_PROPS[1:-1]]
         + [T.StructField("ord", T.LongType())]
     )
-    return read_geojson_features(spark, lines, props)
+    return read_geojson_features(spark, docs, props, collection=True)
 
 
 @register("column_positions")
@@ -764,14 +793,19 @@ FIRST_LINES = 100
 
 @register("first_lines")
 def first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of the first hundred text lines by a stored ordinal, in order of (document, line)
-    (F18, K5; the cut is the operator)."""
-    from cobble.operators.ordered import first_lines as first
-    from cobble.operators.ordered import with_ordinal
-
-    numbered = with_ordinal(_doc_lines(spark, sf_dir), ["doc_id", "line_no"], "ordinal")
-    words = F.filter(F.split(F.trim("line"), " ", -1), lambda w: w != F.lit(""))
-    return first(numbered, "ordinal", FIRST_LINES).select("ordinal", "doc_id", "line_no", F.size(words).alias("n_words"))
+    """Words of the first hundred lines of text files by their ordinal in the files; the files hold the
+    documents' lines in order of (document, line) (F18, K5; the cut is the operator)."""
+    from cobble.operators.ordered import first_text_lines
+
+    numbered = first_text_lines(spark, TD.line_files(spark, sf_dir), FIRST_LINES, line_sep="\n")
+    field = F.split("value", "\t", 3)
+    words = F.filter(F.split(F.trim(F.get(field, 2)), " ", -1), lambda w: w != F.lit(""))
+    return numbered.select(
+        "ordinal",
+        F.get(field, 0).cast("bigint").alias("doc_id"),
+        F.get(field, 1).cast("int").alias("line_no"),
+        F.size(words).alias("n_words"),
+    )
 
 
 @register("weekday_hour")

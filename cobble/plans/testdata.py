@@ -48,6 +48,19 @@ def written_path(spark: SparkSession, name: str, sf_dir: str, build) -> str:
     return path
 
 
+def yearly_files(spark: SparkSession, sf_dir: str, years) -> list[str]:
+    """A folder of raw violation rows for each year, and a last one for rows of other years or none: the
+    files as they arrive."""
+
+    def write(path: str) -> None:
+        year = F.substring("issue_date", -4, 4)
+        part = F.when(year.isin(*[str(y) for y in years]), year).otherwise("other")
+        violation_table(spark, sf_dir).withColumn("part", part).write.partitionBy("part").parquet(path)
+
+    path = written_files(spark, "violations_by_year", sf_dir, write)
+    return [f"{path}/part={y}" for y in (*years, "other")]
+
+
 VIOLATION_HEADER = ("Issue Date", "Violation County", "House Number", "Street Name")
 
 
@@ -57,17 +70,51 @@ def violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     is dropped by value."""
     from cobble.sources.io import read_positional_csv, write_csv
 
-    key = (spark.sparkContext.applicationId, "violation_csv", sf_dir)
-    path = _WRITTEN.get(key)
-    if path is None:
-        path = shared_scratch(spark, "violation_csv")
-        raw = derive_violation_rows(spark, sf_dir)
-        write_csv(raw.toDF(*VIOLATION_HEADER), path, header=True)
-        _WRITTEN[key] = path
+    def write(path: str) -> None:
+        write_csv(violation_table(spark, sf_dir).toDF(*VIOLATION_HEADER), path, header=True)
+
+    path = written_files(spark, "violation_csv", sf_dir, write)
     names = ["issue_date", "county", "house_number", "street_name"]
     return read_positional_csv(spark, path, names, header_first=VIOLATION_HEADER[0])
 
 
+def written_files(spark: SparkSession, name: str, sf_dir: str, write) -> str:
+    """Folder of files that ``write(path)`` makes once a session: the given form of some input."""
+    key = (spark.sparkContext.applicationId, name, sf_dir)
+    if key not in _WRITTEN:
+        path = shared_scratch(spark, name)
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+def line_files(spark: SparkSession, sf_dir: str) -> str:
+    """Text files of all document lines, 'doc_id <tab> line_no <tab> line', in order of (document, line)."""
+
+    def write(path: str) -> None:
+        docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+        lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+        text = F.concat_ws("\t", F.col("doc_id").cast("string"), F.col("line_no").cast("string"), "line")
+        lines.orderBy("doc_id", "line_no").select(text.alias("value")).write.text(path)
+
+    return written_files(spark, "line_files", sf_dir, write)
+
+
+def collection_files(spark: SparkSession, sf_dir: str, properties) -> str:
+    """FeatureCollection documents of the segment features."""
+    from cobble.sources.io import write_feature_collections
+
+    return written_files(
+        spark, "collections", sf_dir, lambda path: write_feature_collections(segment_features(spark, sf_dir), path, properties, "ord")
+    )
+
+
+def violation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw violation rows, derived from lineitem and written once as a table. Catalyst would copy the
+    derivation into every predicate on a derived field; a reader of real files has none to copy."""
+    return written_once(spark, "violation_table", sf_dir, lambda: derive_violation_rows(spark, sf_dir))
+
+
 def derive_violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem -> raw violation rows: issue_date 'MM/dd/yyyy', county, house_number, street_name.
 

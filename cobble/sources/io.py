@@ -1,9 +1,8 @@
 """Sources and sinks: text, CSV (headed, positional, multi-line), GeoJSON features, id
 lists, file streams; CSV / text / parquet writers.
 
-Readers take explicit schemas (no inference pass over the data). A reader whose format
-cannot be split (one multi-line CSV or JSON document per file) is followed by ``spread``
-so the work after it is not stuck in one task per file.
+Readers take explicit schemas (no inference pass over the data). Formats that can't be cut at plain
+separators (multi-line CSV, one JSON document per file) go through ``cobble.sources.splits``.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cobble.session import spread
+from cobble.sources.splits import csv_records, feature_texts
 
 
 # ----------------------------------------------------------------------------- readers
@@ -34,11 +33,13 @@ def read_csv_records(
 
 
 def read_multiline_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str) -> DataFrame:
-    """CSV whose quoted fields hold newlines (IO3). Such a file can't be cut, so one task
-    streams it, and the rows are spread over the cluster right after the read. A large file
-    that is read more than once is best put through ``write_table`` first."""
-    df = spark.read.csv(paths, schema=schema, header=True, multiLine=True, escape='"', quote='"')
-    return spread(df, splits=False)
+    """Headed CSV whose quoted fields hold newlines (IO3), as a reader of whole files gives it, but read by
+    as many tasks as the files have splits: ``cobble.sources.splits`` finds out which line ends lie
+    inside quotes."""
+    records = csv_records(spark, paths, header=True)
+    kind = schema if isinstance(schema, str) else schema.toDDL()
+    options = {"quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
+    return records.select(F.from_csv("value", kind, options).alias("r")).select("r.*")
 
 
 def read_positional_csv(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str], header_first: str | None = None) -> DataFrame:
@@ -68,20 +69,16 @@ def read_geojson_features(
     """GeoJSON features -> one row per feature with its properties as columns; geometry is
     dropped (IO7).
 
-    ``collection=False`` reads one Feature per line (newline-delimited, splittable: the
-    form to keep a large city file in). ``collection=True`` reads FeatureCollection
-    documents, each parsed whole by one task, then spread. ``ordinal`` names a column
-    that keeps the source order of the features: a struct (file path, position in file),
-    since Spark packs file splits into partitions by size, not by path.
+    ``collection=False`` reads one Feature per line (newline-delimited). ``collection=True`` reads
+    FeatureCollection documents, which are cut into features by as many tasks as they have splits.
+    ``ordinal`` names a column that keeps the source order of the features: a struct (file path,
+    position in file), since Spark packs file splits into partitions by size, not by path.
     """
     feature = T.StructType([T.StructField("type", T.StringType()), T.StructField("properties", properties)])
     if collection:
-        doc = T.StructType([T.StructField("type", T.StringType()), T.StructField("features", T.ArrayType(feature))])
-        df = spark.read.json(paths, schema=doc, multiLine=True)
-        f = df.select(F.col("_metadata.file_path").alias("_file"), F.posexplode("features").alias("_pos", "f"))
-        order = F.struct(F.col("_file").alias("file"), F.col("_pos").cast("bigint").alias("pos"))
-        cols = ["f.properties.*"] + ([order.alias(ordinal)] if ordinal else [])
-        return spread(f.select(*cols), splits=False)
+        texts = feature_texts(spark, paths)
+        f = texts.select(F.struct("file", "pos").alias("_order"), F.from_json("value", feature).alias("f"))
+        return f.select("f.properties.*", *([F.col("_order").alias(ordinal)] if ordinal else []))
     df = spark.read.json(paths, schema=feature)
     # Within one file the row id follows the offset; the path orders the files.
     order = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("pos"))
@@ -188,9 +185,9 @@ def write_feature_collections(
 
 def split_feature_collections(spark: SparkSession, paths: str | Sequence[str], out: str, mode: str = "overwrite") -> None:
     """FeatureCollection documents -> Feature lines, so that every later read can be cut (IO7, IO15).
-    Properties are carried as written, whatever their names; geometry stays too."""
-    doc = "type STRING, features ARRAY<STRING>"
-    features = spark.read.json(paths, schema=doc, multiLine=True).select(F.explode("features").alias("value"))
+    Properties are carried as written, whatever their names; geometry stays too. A line end inside a
+    feature can only be white space between its parts, and becomes a blank."""
+    features = feature_texts(spark, paths).select(F.regexp_replace("value", r"[\r\n]+", " ").alias("value"))
     features.write.mode(mode).text(out)
 
 

@@ -8,9 +8,11 @@ unbounded input stays the same: start it with a processing-time trigger instead.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cobble.operators.ordered import BUCKET, range_buckets
 from cobble.session import shared_scratch
 
 
@@ -87,30 +89,193 @@ def first_event_of_day_windowed(events: DataFrame, cols: list[str], late: str =
     )
 
 
+#: Batches after which the state of distinct members is put together into one table.
+COMPACT_EVERY = 8
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def _member_state(rows: DataFrame, key: str, member: str, whole: bool) -> DataFrame:
+    """Distinct members of each key: for integers a bitmap for every 32,768 numbers, else the members."""
+    if not whole:
+        return rows.select(key, F.col(member).cast("string").alias("m")).distinct()
+    m = F.col(member).cast("bigint")
+    bits = F.when(m.isNotNull(), F.bitmap_bit_position(m))
+    return rows.groupBy(key, F.bitmap_bucket_number(m).alias("m")).agg(F.bitmap_construct_agg(bits).alias("bits"))
+
+
+def _merged_state(state: DataFrame, key: str, whole: bool) -> DataFrame:
+    if not whole:
+        return state.select(key, "m").distinct()
+    return state.groupBy(key, "m").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
 def stream_distinct_and_total(
-    spark: SparkSession, events: DataFrame, key: str, member: str, amount: str, name: str = "stream_revenue"
+    spark: SparkSession,
+    events: DataFrame,
+    key: str,
+    member: str,
+    amount: str,
+    name: str = "stream_revenue",
+    compact_every: int = COMPACT_EVERY,
 ) -> DataFrame:
     """Exact distinct members and the total per key (``customers``, ``revenue``), in one pass.
 
-    A batch is reduced to its (key, member) sums, which are written; the result adds those up.
-    The stream itself keeps no state, and the written sums hold a pair once a batch at most.
+    Sets of members merge, so a batch writes its own sets and totals only. Integer members are held
+    as bitmaps, which the next merge ORs together; other members are rows. After every
+    ``compact_every`` batches the newest compact table and the batches since become the next compact
+    table: what is read at the end, or by a compaction, is bounded by the distinct members and
+    ``compact_every`` batches, however many batches there were. A batch that is tried again
+    replaces its own folders, and its compaction reads earlier compactions only. A null member
+    counts as one.
     """
     money = F.col(amount).cast("decimal(18,2)")
+    types = dict(events.dtypes)
+    whole = types[member] in _INTEGERS
+    fresh, compact = shared_scratch(spark, f"{name}-fresh"), shared_scratch(spark, f"{name}-compact")
+    columns = f"`{key}` {types[key]}, m {'bigint, bits binary' if whole else 'string'}, amount decimal(28,2), kind string"
+    kept = [key, "m", *(["bits"] if whole else []), "amount", "kind"]
+
+    def rows_of(state: DataFrame, totals: DataFrame) -> DataFrame:
+        """Members and totals as rows of one table, told apart by ``kind``."""
+        members = state.withColumn("amount", F.lit(None).cast("decimal(28,2)")).withColumn("kind", F.lit("member"))
+        sums = totals.withColumn("m", F.lit(None).cast("bigint" if whole else "string")).withColumn("kind", F.lit("total"))
+        if whole:
+            sums = sums.withColumn("bits", F.lit(None).cast("binary"))
+        return members.select(*kept).unionByName(sums.select(*kept))
+
+    def read(path: str) -> DataFrame:
+        return spark.read.schema(f"{columns}, batch bigint").parquet(path)
+
+    def merged(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        state = _merged_state(rows.filter("kind = 'member'"), key, whole)
+        totals = rows.filter("kind = 'total'").groupBy(key).agg(F.sum("amount").cast("decimal(28,2)").alias("amount"))
+        return state, totals
 
     def write(batch: DataFrame, path: str) -> None:
-        batch.groupBy(key, member).agg(F.sum(money).alias("amount")).write.mode("overwrite").parquet(path)
+        number = int(path.rsplit("=", 1)[1])
+        totals = batch.groupBy(key).agg(F.sum(money).cast("decimal(28,2)").alias("amount"))
+        out = rows_of(_member_state(batch, key, member, whole), totals)
+        out.write.mode("overwrite").parquet(f"{fresh}/batch={number}")
+        if (number + 1) % compact_every == 0:
+            since = read(fresh).filter(F.col("batch").between(number + 1 - compact_every, number))
+            if number >= compact_every:
+                since = since.unionByName(read(compact).filter(F.col("batch") == number - compact_every))
+            rows_of(*merged(since)).write.mode("overwrite").parquet(f"{compact}/batch={number}")
 
-    out = _sink(spark, events, name, "append", write)
-    types = dict(events.dtypes)
-    sums = _batches(spark, out, f"`{key}` {types[key]}, `{member}` {types[member]}, amount decimal(28,2)")
-    pairs = sums.groupBy(key, member).agg(F.sum("amount").alias("amount"))
-    return pairs.groupBy(key).agg(F.count(F.lit(1)).alias("customers"), F.sum("amount").alias("revenue"))
+    _sink(spark, events, name, "append", write)
+    try:
+        rows = read(fresh)
+        last = rows.agg(F.max("batch")).first()[0]
+    except AnalysisException:  # nothing has arrived: no folder
+        rows, last = spark.createDataFrame([], f"{columns}, batch bigint"), -1
+    done = (last + 1) // compact_every * compact_every - 1
+    rows = rows.filter(F.col("batch") > done)
+    if done >= 0:
+        rows = rows.unionByName(read(compact).filter(F.col("batch") == done))
+    state, totals = merged(rows)
+    if whole:
+        # The numbers of a null member's bitmap: none; it still counts as one member.
+        n = F.when(F.col("m").isNull(), 1).otherwise(F.bitmap_count("bits"))
+        counts = state.groupBy(key).agg(F.sum(n).cast("bigint").alias("customers"))
+    else:
+        counts = state.groupBy(key).agg(F.count(F.lit(1)).alias("customers"))
+    both = counts.join(totals, counts[key].eqNullSafe(totals[key]))
+    return both.select(counts[key], "customers", F.col("amount").alias("revenue"))
+
+
+def stream_first_with_late(
+    spark: SparkSession,
+    events: DataFrame,
+    cols: list[str],
+    ts: str = "ts",
+    tie: str = "event_id",
+    late: str = "1 hour",
+    name: str = "stream_days",
+) -> dict[str, DataFrame]:
+    """X2 with nothing lost: the earliest event of each day, emitted when the day closes, with what arrives
+    after that listed and corrected, and the days still open at the end flushed.
+
+    A day closes with the batch after which the latest time seen is ``late`` or more past the day's end (its
+    timer). Every batch writes, in folders of its own: the first event and the number of rows of each of its
+    days; the latest time seen so far; the days that it closes; its rows of days that an earlier batch closed.
+
+    closed: (day, batch, record) as emitted; late: (batch, record) rows of closed days; corrected: (day,
+    record) of days whose emitted first event a late one precedes; final: (day, n, record, closed) over
+    all rows, the flush of open days included.
+    """
+    where = {k: shared_scratch(spark, f"{name}-{k}") for k in ("days", "seen", "closed", "late")}
+    kinds = dict(events.dtypes)
+    record = "struct<" + ", ".join(f"`{c}`: {kinds[c]}" for c in cols) + ">"
+    order = f"struct<`{ts}`: {kinds[ts]}, `{tie}`: {kinds[tie]}>"
+    schemas = {
+        "days": f"day date, n bigint, o {order}, r {record}",
+        "seen": f"t {kinds[ts]}",
+        "closed": f"day date, o {order}, r {record}",
+        "late": f"day date, o {order}, r {record}",
+    }
+    day = F.to_date(ts)
+    first = [F.min("o").alias("o"), F.min_by("r", "o").alias("r")]
+
+    def read(part: str) -> DataFrame:
+        return spark.read.schema(f"{schemas[part]}, batch bigint").parquet(where[part])
+
+    def ended(days: DataFrame, horizon) -> DataFrame:
+        """The days whose time is up at ``horizon``."""
+        end = F.expr(f"timestampadd(DAY, 1, CAST(day AS {kinds[ts]})) + INTERVAL {late}")
+        return days.filter(end <= F.lit(horizon).cast(kinds[ts])) if horizon is not None else days.limit(0)
+
+    def write(batch: DataFrame, path: str) -> None:
+        number = int(path.rsplit("=", 1)[1])
+
+        def put(df: DataFrame, part: str) -> None:
+            df.write.mode("overwrite").parquet(f"{where[part]}/batch={number}")
+
+        rows = batch.select(day.alias("day"), F.struct(ts, tie).alias("o"), F.struct(*cols).alias("r"))
+        before = read("seen").filter(F.col("batch") < number).agg(F.max("t")).first()[0] if number else None
+        put(rows.groupBy("day").agg(F.count(F.lit(1)).alias("n"), *first).select("day", "n", "o", "r"), "days")
+        put(ended(rows, before), "late")
+        put(batch.agg(F.max(ts).alias("t")), "seen")
+        now = read("seen").filter(F.col("batch") <= number).agg(F.max("t")).first()[0]
+        all_days = read("days").filter(F.col("batch") <= number).groupBy("day").agg(*first)
+        newly = ended(all_days, now)
+        if number:
+            newly = newly.join(read("closed").filter(F.col("batch") < number).select("day"), "day", "left_anti")
+        put(newly.select("day", "o", "r"), "closed")
+
+    _sink(spark, events, name, "append", write)
+    closed, late_rows = read("closed"), read("late")
+    whole = read("days").groupBy("day").agg(F.sum("n").alias("n"), *first)
+    final = whole.join(closed.select("day", F.lit(True).alias("c")), "day", "left")
+    fixed = late_rows.groupBy("day").agg(*first).join(closed.select("day", F.col("o").alias("was")), "day").filter("o < was")
+    return {
+        "closed": closed.select("day", "batch", "r.*"),
+        "late": late_rows.select("batch", "r.*"),
+        "corrected": fixed.select("day", "r.*"),
+        "final": final.select("day", "n", "r.*", F.coalesce("c", F.lit(False)).alias("closed")),
+    }
 
 
 #: Stretch of time whose steps are summed up together.
 LEVEL_BUCKET = "hour"
 
 
+def _put(df: DataFrame, path: str, group: str, batch: int) -> None:
+    """Write rows to ``path/<group>=.../batch=<batch>``; a batch that is tried again replaces its own."""
+    out = df.withColumn("batch", F.lit(batch).cast("bigint"))
+    out.write.partitionBy(group, "batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def _get(spark: SparkSession, path: str, group: str, groups: list[str], schema: str, batch: int) -> DataFrame:
+    """What batches up to ``batch`` wrote for some groups; no other group's folder is opened or listed."""
+    reader = spark.read.schema(f"{schema}, {group} string, batch bigint").option("basePath", path)
+    return reader.parquet(*[f"{path}/{group}={g}" for g in groups]).filter(F.col("batch") <= batch)
+
+
+def _newest(sums: DataFrame, *keys: str) -> DataFrame:
+    """The last written (net, peak) of each key."""
+    return sums.groupBy(*keys).agg(F.max_by(F.struct("net", "peak"), "batch").alias("s")).select(*keys, "s.net", "s.peak")
+
+
 def stream_max_level(
     spark: SparkSession,
     events: DataFrame,
@@ -125,41 +290,61 @@ def stream_max_level(
     """max(0, highest running total of ``delta`` at rows where ``peak_at`` holds), exact for
     any order of arrival.
 
-    A batch writes its non-zero steps and then the net change and the peak of every stretch
-    of time that it touched, from all steps written so far for those stretches. The newest
-    summary of each stretch counts; folding them in order of time gives the level.
+    (net change, peak) of neighbouring stretches of time compose associatively, so they are kept as a
+    tree: stretch (an hour) -> day -> month. A batch adds its non-zero steps to the folders of their
+    days, sums up the hours that it touched from all their steps, and renews just the days and
+    months above them. It reads those hours' steps, those days' hours and those months' days, whatever
+    the length of the history. The steps of an hour are cut into ranges of equal size first, so a
+    hot hour is summed up by many tasks.
     """
-    steps, sums = shared_scratch(spark, f"{name}-steps"), shared_scratch(spark, f"{name}-sums")
+    where = {k: shared_scratch(spark, f"{name}-{k}") for k in ("steps", "hours", "days", "months")}
     kind = dict(events.dtypes)
-    schema = f"b {kind[ts]}, t {kind[ts]}, id {kind[tie]}, d bigint, p boolean"
+    sums = "net bigint, peak bigint"
 
     def write(batch: DataFrame, path: str) -> None:
-        number = path.rsplit("=", 1)[1]
-        stretch = F.date_trunc(bucket, F.col(ts)).cast(kind[ts])
-        new = batch.select(stretch.alias("b"), F.col(ts).alias("t"), F.col(tie).alias("id"), delta.cast("bigint").alias("d"), peak_at.alias("p"))
-        new.filter("d <> 0").write.mode("overwrite").parquet(f"{steps}/batch={number}")
-        # A batch that is tried again must not see itself or later ones twice: its own folder was replaced.
-        written = spark.read.schema(f"{schema}, batch BIGINT").parquet(steps).filter(F.col("batch") <= int(number))
-        touched = written.filter(F.col("batch") == int(number)).select("b").distinct()
-        rows = written.join(touched, "b", "left_semi")
-        w = Window.partitionBy("b").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        level = rows.select("b", "d", F.when(F.col("p"), F.sum("d").over(w)).alias("level"))
-        summary = level.groupBy("b").agg(F.sum("d").alias("net"), F.max("level").alias("peak"))
-        summary.write.mode("overwrite").parquet(f"{sums}/batch={number}")
+        number = int(path.rsplit("=", 1)[1])
+        new = batch.select(
+            F.date_format(ts, "yyyyMMdd").alias("day"),
+            F.date_trunc(bucket, F.col(ts)).cast(kind[ts]).alias("b"),
+            F.col(ts).alias("t"),
+            F.col(tie).alias("id"),
+            delta.cast("bigint").alias("d"),
+            peak_at.alias("p"),
+        ).filter("d <> 0")
+        _put(new, where["steps"], "day", number)
+        days = [r["day"] for r in new.select("day").distinct().collect()]
+        if not days:
+            return
+        steps = f"b {kind[ts]}, t {kind[ts]}, id {kind[tie]}, d bigint, p boolean"
+        written = _get(spark, where["steps"], "day", days, steps, number)
+        touched = written.filter(F.col("batch") == number).select("day", "b").distinct()
+        rows = range_buckets(written.join(touched, ["day", "b"], "left_semi"), ["b", "t", "id"])
+        w = Window.partitionBy("day", "b", BUCKET).orderBy("t", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        level = rows.select("day", "b", BUCKET, "d", F.when(F.col("p"), F.sum("d").over(w)).alias("level"))
+        ranges = level.groupBy("day", "b", BUCKET).agg(F.sum("d").alias("net"), F.max("level").alias("peak"))
+        _put(_fold(ranges, BUCKET, ["day", "b"]), where["hours"], "day", number)
+
+        hours = _newest(_get(spark, where["hours"], "day", days, f"b {kind[ts]}, {sums}", number), "day", "b")
+        per_day = _fold(hours, "b", ["day"]).withColumn("month", F.substring("day", 1, 6))
+        _put(per_day, where["days"], "month", number)
+
+        months = sorted({d[:6] for d in days})
+        by_day = _newest(_get(spark, where["days"], "month", months, f"day string, {sums}", number), "month", "day")
+        _put(_fold(by_day, "day", ["month"]), where["months"], "month", number)
 
     _sink(spark, events, name, "append", write)
-    all_sums = spark.read.schema(f"b {kind[ts]}, net bigint, peak bigint, batch BIGINT").parquet(sums)
-    newest = all_sums.groupBy("b").agg(F.max_by(F.struct("net", "peak"), "batch").alias("s")).select("b", "s.*")
-    # One row per stretch of time: the stretches of a day are folded first, then the days.
-    per_day = _fold(newest.withColumn("day", F.date_trunc("day", "b")), "b", "day")
-    total = _fold(per_day.withColumnRenamed("day", "b"), "b")
+    # The root: one row a month.
+    try:
+        root = spark.read.schema(f"{sums}, month string, batch bigint").parquet(where["months"])
+    except AnalysisException:  # nothing has arrived: no folder
+        root = spark.createDataFrame([], f"{sums}, month string, batch bigint")
+    total = _fold(_newest(root, "month"), "month")
     return total.select(F.greatest(F.lit(0), F.coalesce("peak", F.lit(0))).cast("bigint").alias(out))
 
 
-def _fold(sums: DataFrame, order: str, within: str | None = None) -> DataFrame:
+def _fold(sums: DataFrame, order: str, within: list[str] | None = None) -> DataFrame:
     """(net, peak) of stretches put together in ``order``, for each value of ``within``."""
-    w = (Window.partitionBy(within) if within else Window.partitionBy()).orderBy(order)
-    before = F.coalesce(F.sum("net").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    keys = [within] if within else []
+    keys = within or []
+    before = F.coalesce(F.sum("net").over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = sums.select(*keys, "net", (before + F.col("peak")).alias("peak"))
     return placed.groupBy(*keys).agg(F.sum("net").alias("net"), F.max("peak").alias("peak"))

@@ -64,3 +64,48 @@ def test_one_long_id_line_is_cut(spark, tmp_path):
         assert sorted(r["pid"] for r in df.collect()) == list(range(200_000))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def _lines(spark, tmp_path):
+    """Files of lines of very different lengths, one of them without a last line end, one empty."""
+    want = []
+    for k, n in enumerate((40, 0, 700, 3)):
+        body = [f"{k}:{i} " + "x" * (i * 37 % 90) for i in range(n)]
+        (tmp_path / f"f{k}.txt").write_text("\n".join(body) + ("" if k == 3 or not n else "\n"))
+        want += body
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "600")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    return want
+
+
+def test_lines_are_numbered_without_a_shuffle(spark, tmp_path):
+    from cobble.operators.ordered import number_lines
+
+    try:
+        want = _lines(spark, tmp_path)
+        df = number_lines(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() > 20
+        assert [r["value"] for r in df.orderBy("ordinal").collect()] == want
+        assert sorted(r["ordinal"] for r in df.collect()) == list(range(len(want)))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "rangepartitioning" not in plan
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_first_lines_open_the_files_they_need(spark, tmp_path, monkeypatch):
+    from cobble.operators import ordered
+
+    opened, real = [], ordered._text
+    monkeypatch.setattr(ordered, "_text", lambda s, paths, sep: opened.append(paths) or real(s, paths, sep))
+    try:
+        want = _lines(spark, tmp_path)
+        for n, files in ((0, 1), (5, 1), (41, 4), (743, 4), (10_000, 4)):
+            opened.clear()
+            got = ordered.first_text_lines(spark, str(tmp_path), n).orderBy("ordinal").collect()
+            assert [r["value"] for r in got] == want[:n]
+            assert len(opened[-1]) == files
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")

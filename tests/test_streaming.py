@@ -97,3 +97,126 @@ def test_replayed_batch_counts_once(spark, monkeypatch):
     monkeypatch.setattr(jobs, "_sink", twice)
     for name, rows in want.items():
         assert sorted(map(str, QUERIES[name](spark, SF).collect())) == rows
+
+
+def _level(rows):
+    level = best = 0
+    for _, _, e in sorted(rows, key=lambda r: (r[1], r[0])):
+        level += {"+": 1, "-": -1}.get(e, 0)
+        best = max(best, level) if e == "+" else best
+    return best
+
+
+DELTA = F.when(F.col("e") == "+", 1).when(F.col("e") == "-", -1).otherwise(0)
+LEVEL_SCHEMA = "id BIGINT, ts TIMESTAMP_NTZ, e STRING"
+
+
+def _files_in_order(spark, groups):
+    """One file for each group of rows, read in this order."""
+    path = shared_scratch(spark, "level_events")
+    for g in groups:
+        spark.createDataFrame(g, LEVEL_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    return path
+
+
+def test_level_tree_reads_touched_days_and_months_only(spark, monkeypatch):
+    """A month a file, then late rows of the second month: the last batch opens that month alone."""
+    rnd = random.Random(8)
+    groups = []
+    for month in range(1, 5):
+        start = datetime(2024, month, 1)
+        groups.append([(month * 1000 + i, start + timedelta(hours=rnd.randrange(24 * 27)), rnd.choice("++-.")) for i in range(150)])
+    groups.append([(9000 + i, datetime(2024, 2, 3, 4, i % 60), "+") for i in range(20)])
+    opened, real = [], jobs._get
+
+    def get(spark_, path, group, names, *rest):
+        opened.append((rest[-1], group, sorted(names)))
+        return real(spark_, path, group, names, *rest)
+
+    monkeypatch.setattr(jobs, "_get", get)
+    s = read_stream(spark, _files_in_order(spark, groups), LEVEL_SCHEMA, files_per_batch=1)
+    got = jobs.stream_max_level(spark, s, "ts", "id", DELTA, F.col("e") == "+").first()[0]
+    assert got == _level([r for g in groups for r in g])
+    assert [x for x in opened if x[0] == 4] == [(4, "day", ["20240203"]), (4, "day", ["20240203"]), (4, "month", ["202402"])]
+
+
+def test_level_of_one_hot_hour(spark):
+    """All rows in one hour, most of them in one second: cut into ranges before they are summed up."""
+    rnd = random.Random(12)
+    hour = datetime(2024, 5, 5, 5)
+    rows = [(i, hour + timedelta(seconds=rnd.choice([7, 7, 7, rnd.randrange(3600)])), rnd.choice("+-")) for i in range(900)]
+    src = _shuffled_files(spark, rows, LEVEL_SCHEMA, 3)
+    s = read_stream(spark, src, LEVEL_SCHEMA, files_per_batch=1)
+    assert jobs.stream_max_level(spark, s, "ts", "id", DELTA, F.col("e") == "+").first()[0] == _level(rows)
+
+
+def test_level_of_batches_without_steps(spark):
+    rows = [(i, datetime(2024, 1, 1), ".") for i in range(5)]
+    s = read_stream(spark, _shuffled_files(spark, rows, LEVEL_SCHEMA, 2), LEVEL_SCHEMA, files_per_batch=1)
+    assert jobs.stream_max_level(spark, s, "ts", "id", DELTA, F.col("e") == "+").first()[0] == 0
+
+
+def _plain_totals(rows):
+    members, total = {}, {}
+    for k, m, a in rows:
+        members.setdefault(k, set()).add(m)
+        total[k] = round(total.get(k, 0) + a, 2)
+    return {(k, len(members[k]), total[k]) for k in members}
+
+
+def test_distinct_members_over_compactions(spark):
+    """Bitmaps of integers (negative, null and far apart ones too) and rows of strings, compacted twice."""
+    rnd = random.Random(5)
+    ids = [*range(-40, 40), 32767, 32768, 32769, -32768, 2**40, None]
+    for kind, pick in (("bigint", lambda: rnd.choice(ids)), ("string", lambda: rnd.choice(["a", "b", None, "c"]))):
+        rows = [(rnd.choice(["x", "y", None]), pick(), rnd.randrange(1000) / 100) for _ in range(700)]
+        schema = f"k string, m {kind}, a double"
+        src = _shuffled_files(spark, rows, schema, 5)
+        s = read_stream(spark, src, schema, files_per_batch=1)
+        got = jobs.stream_distinct_and_total(spark, s, "k", "m", "a", compact_every=2)
+        assert {(r["k"], r["customers"], float(r["revenue"])) for r in got.collect()} == _plain_totals(rows)
+
+
+def test_state_of_members_is_bounded_by_them(spark, monkeypatch):
+    """Ten batches of the same members: what is read at the end does not grow with the batches."""
+    rows = [("x", i, 1.0) for i in range(100)] * 10
+    src = shared_scratch(spark, "same_members")
+    for k in range(10):
+        spark.createDataFrame(rows[:100], "k string, m bigint, a double").coalesce(1).write.mode("append").parquet(src)
+    seen, real = [], jobs._merged_state
+    monkeypatch.setattr(jobs, "_merged_state", lambda state, key, whole: seen.append(state.count()) or real(state, key, whole))
+    s = read_stream(spark, src, "k string, m bigint, a double", files_per_batch=1)
+    got = jobs.stream_distinct_and_total(spark, s, "k", "m", "a", compact_every=3)
+    assert [tuple(r) for r in got.collect()] == [("x", 100, 1000)]
+    # Two buckets (0 holds the member 0 alone): a compact table and fewer than three batches, always.
+    assert seen[-1] == 2 * 2 and max(seen) <= 2 * 4
+
+
+def test_late_events_are_listed_and_corrected(spark):
+    """Two days close, then rows of the first day come late; the last day is flushed open."""
+    d = datetime(2024, 3, 1)
+    hour = timedelta(hours=1)
+    groups = [
+        [(1, d + 5 * hour, "a"), (2, d + 7 * hour, "b")],
+        [(3, d + 30 * hour, "c")],  # the second day: the first one closes
+        [(4, d + 2 * hour, "late, first"), (5, d + 9 * hour, "late"), (6, d + 26 * hour, "in time")],
+        [(7, d + 55 * hour, "d"), (8, d + 3 * hour, "late")],
+    ]
+    schema = "event_id bigint, ts timestamp_ntz, e string"
+    path = shared_scratch(spark, "late_events")
+    for g in groups:
+        spark.createDataFrame(g, schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    s = read_stream(spark, path, schema, files_per_batch=1)
+    out = jobs.stream_first_with_late(spark, s, ["event_id", "ts", "e"])
+
+    def days(df, *cols):
+        return sorted((str(r["day"])[-2:], *[r[c] for c in cols]) for r in df.collect())
+
+    assert days(out["closed"], "batch", "event_id") == [("01", 1, 1), ("02", 3, 6)]
+    assert sorted((r["batch"], r["event_id"]) for r in out["late"].collect()) == [(2, 4), (2, 5), (3, 8)]
+    assert days(out["corrected"], "event_id") == [("01", 4)]
+    assert days(out["final"], "n", "event_id", "closed") == [("01", 5, 4, True), ("02", 2, 6, True), ("03", 1, 7, False)]
+    # No row is lost: in a day's count, whether late or not.
+    assert sum(r["n"] for r in out["final"].collect()) == sum(map(len, groups))
