@@ -81,6 +81,11 @@ class CsvLines:
         rest = piece[m.end() + 1 :]
         return int(m.end() < len(piece) and self.opens.fullmatch(rest) is not None), 0
 
+    @staticmethod
+    def plain(text: str) -> str:
+        """A record without its carriage return; where it has one, those at line ends inside it go too."""
+        return text[:-1].replace("\r\n", "\n") if text.endswith("\r") else text
+
     def run(self, pieces: Iterator[str], inside: int, depth: int, flag: bool | None) -> Iterator[tuple]:
         held: list[str] | None = [] if inside else None
         tail = bool(inside)
@@ -95,8 +100,8 @@ class CsvLines:
             held.append(piece)
             inside, _ = self.follow(1, piece)
             if not inside:
-                text = "\n".join(held).removesuffix("\r")
-                yield ("tail", text, True) if tail else ("record", text, True)
+                text = "\n".join(held)
+                yield ("tail", text, True) if tail else ("record", self.plain(text), True)
                 held, tail = None, False
         if held is not None:
             yield ("tail", "\n".join(held), False) if tail else ("head", "\n".join(held), True)
@@ -132,6 +137,9 @@ class Features:
         held: list[str] | None = [] if depth > 2 else None
         tail, key, changed = held is not None, "", False
         for piece in pieces:
+            if tail and "]" in piece and (end := self._array_end(piece, inside, depth)) is not None:
+                # What was open was an array within the array, and no object.
+                held, tail, piece, inside, depth = None, False, piece[end:], 0, 2
             if held is None:
                 start, inside, depth, key, flag, changed = self._look(piece, inside, depth, key, flag, changed)
                 if start is None:
@@ -149,6 +157,20 @@ class Features:
             yield ("tail", "".join(held), False) if tail else ("head", "".join(held), flag)
         yield ("end", flag if changed else None)
 
+    def _array_end(self, piece: str, inside: int, depth: int) -> int | None:
+        """Where a closing bracket brings the depth down to 2."""
+        at = self.rest_of_string.match(piece).end() + 1 if inside else 0
+        for m in self.token.finditer(piece, at):
+            if m[0] == "]":
+                depth -= 1
+                if depth == 2:
+                    return m.end()
+            elif m[0] in "{[":
+                depth += 1
+            elif not self.string.fullmatch(m[0]):
+                return None
+        return None
+
     def _look(self, piece, inside, depth, key, flag, changed):
         """Outside of wanted objects: where one begins in the piece (then at depth 2), else the state behind it."""
         at = 0
@@ -172,7 +194,7 @@ class Features:
                 if depth == 1:
                     flag, changed = False, True
             else:
-                if len(c) == 1 or not c.endswith('"') or (c.endswith('\\"') and not self.string.fullmatch(c)):
+                if not self.string.fullmatch(c):
                     return None, 1, depth, key, flag, changed
                 if depth == 1:
                     key = c
@@ -241,12 +263,14 @@ def _maps(machine: Machine) -> Callable:
             for piece in part:
                 if piece is None:
                     continue
-                for k in (0, 1):
-                    if k and s[0] == s[1]:
-                        d[1] += change
-                        continue
-                    s[k], change = machine.follow(s[k], piece)
-                    d[k] += change
+                if s[0] == s[1]:
+                    s[0], change = machine.follow(s[0], piece)
+                    s[1] = s[0]
+                    d = [d[0] + change, d[1] + change]
+                else:
+                    for k in (0, 1):
+                        s[k], change = machine.follow(s[k], piece)
+                        d[k] += change
             out.rows.append((file, block, *s, *d))
         if out.rows:
             yield out.take()
@@ -362,7 +386,8 @@ def split_records(parts: DataFrame, machine: Machine, skip_first: bool = False,
     )
     if skip_first:
         stitched = stitched.filter("NOT (h.block = 0 AND h.n = 0)")
-    stitched = stitched.select("file", (F.col("h.block") + F.col("h.n")).alias("pos"), F.regexp_replace("value", r"\r\z", "").alias("value"))
+    plain = "CASE WHEN endswith(value, '\r') THEN replace(left(value, length(value) - 1), '\r\n', '\n') ELSE value END"
+    stitched = stitched.select("file", (F.col("h.block") + F.col("h.n")).alias("pos"), F.expr(plain).alias("value"))
 
     known = _placed(parts, states.join(flagged.select("file", "block", "flag"), ["file", "block"]))
     return known.mapInArrow(_records(machine, skip_first), RECORDS).unionByName(stitched)

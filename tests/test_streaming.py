@@ -107,7 +107,10 @@ def _level(rows):
     return best
 
 
-DELTA = F.when(F.col("e") == "+", 1).when(F.col("e") == "-", -1).otherwise(0)
+def _delta():
+    return F.when(F.col("e") == "+", 1).when(F.col("e") == "-", -1).otherwise(0)
+
+
 LEVEL_SCHEMA = "id BIGINT, ts TIMESTAMP_NTZ, e STRING"
 
 
@@ -136,7 +139,7 @@ def test_level_tree_reads_touched_days_and_months_only(spark, monkeypatch):
 
     monkeypatch.setattr(jobs, "_get", get)
     s = read_stream(spark, _files_in_order(spark, groups), LEVEL_SCHEMA, files_per_batch=1)
-    got = jobs.stream_max_level(spark, s, "ts", "id", DELTA, F.col("e") == "+").first()[0]
+    got = jobs.stream_max_level(spark, s, "ts", "id", _delta(), F.col("e") == "+").first()[0]
     assert got == _level([r for g in groups for r in g])
     assert [x for x in opened if x[0] == 4] == [(4, "day", ["20240203"]), (4, "day", ["20240203"]), (4, "month", ["202402"])]
 
@@ -148,13 +151,13 @@ def test_level_of_one_hot_hour(spark):
     rows = [(i, hour + timedelta(seconds=rnd.choice([7, 7, 7, rnd.randrange(3600)])), rnd.choice("+-")) for i in range(900)]
     src = _shuffled_files(spark, rows, LEVEL_SCHEMA, 3)
     s = read_stream(spark, src, LEVEL_SCHEMA, files_per_batch=1)
-    assert jobs.stream_max_level(spark, s, "ts", "id", DELTA, F.col("e") == "+").first()[0] == _level(rows)
+    assert jobs.stream_max_level(spark, s, "ts", "id", _delta(), F.col("e") == "+").first()[0] == _level(rows)
 
 
 def test_level_of_batches_without_steps(spark):
     rows = [(i, datetime(2024, 1, 1), ".") for i in range(5)]
     s = read_stream(spark, _shuffled_files(spark, rows, LEVEL_SCHEMA, 2), LEVEL_SCHEMA, files_per_batch=1)
-    assert jobs.stream_max_level(spark, s, "ts", "id", DELTA, F.col("e") == "+").first()[0] == 0
+    assert jobs.stream_max_level(spark, s, "ts", "id", _delta(), F.col("e") == "+").first()[0] == 0
 
 
 def _plain_totals(rows):
