@@ -69,9 +69,11 @@ ALLOW = (
     r"(0123456789)+[0-9]*",
     # Counting sequences of digits and letters, the last one maybe cut short, and an alphabet's signs.
     rf"(?i:(?:0?(?:123456789|abcdef{_begun('ghijklmnopqrstuvwxyz')}))+(?:{_begun('0123456789')}|{_begun('123456789')}|{_begun('abcdef')}))[+/_=-]*",
-    r".*EXAMPLE(KEY)?",
+    # Sample keys of the form that documentation shows: an access key and its secret.
+    r"([A-Za-z0-9_-]+=)?(AKIA[A-Z0-9]{9}EXAMPLE|[A-Za-z0-9+/]{30}EXAMPLEKEY)",
     r"[A-Za-z]+([/_-]+[A-Za-z]+)*[0-9]{0,4}",
-    r"sha(1|256|384|512)-.*",
+    # Integrity digests: whole base64 of 20, 32, 48 or 64 bytes.
+    r"sha1-[A-Za-z0-9+/]{27}=|sha256-[A-Za-z0-9+/]{43}=|sha384-[A-Za-z0-9+/]{64}|sha512-[A-Za-z0-9+/]{86}==",
 )
 
 
@@ -126,9 +128,13 @@ def scan(text: str, allow: Sequence[re.Pattern]) -> tuple[list[tuple[int, str, i
     base += [(m.start(), "access", m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     base += [(m.start(), "hex", m.end()) for m in HEX.finditer(text)]
     base.sort(key=lambda s: (s[0], KINDS.index(s[1])))
-    more = []
+    more, at, reach = [], 0, 0
     for a, b in entropy_spans(text, allow):
-        if not any(s <= a and b <= e for s, _, e in base):
+        # Both lists ascend: the furthest end of the base spans that begin at or before ``a``.
+        while at < len(base) and base[at][0] <= a:
+            reach = max(reach, base[at][2])
+            at += 1
+        if reach < b:
             more.append((a, "entropy", b))
     return base, sorted(base + more, key=lambda s: (s[0], KINDS.index(s[1])))
 
