@@ -4,12 +4,16 @@ Rules name a host and a path prefix; a rule fits its host and all subdomains if
 starts with the rule's, and the longest fitting rule decides. Pages without a rule are judged by
 their host's place in the link graph:
 
-* Edges: from a page's host to every other host that its HTML names (absolute links, and host names
-  of three or more labels), counted once per page and summed per pair of hosts.
+* Edges: from a page's host to every other host that its HTML names (links with a host, such as
+  ``https://host/`` and ``//host/``, and host names of three or more labels), counted once per page and
+  summed per pair of hosts.
 * Seeds: a host's share of pages that a rule allows (trust) or blocks (distrust).
-* Trust flows along the edges, personalised PageRank from the allowed seeds; distrust flows against
-  them, from the blocked seeds to those who link there. Both divide a host's score among its edges
-  by their weight and run until no score moves by ``TOLERANCE`` or ``ROUNDS`` rounds are done.
+* Trust flows along the edges, personalised PageRank from the allowed seeds: a host divides its trust
+  among the hosts it links to. Distrust flows against them, from the blocked seeds to those who link
+  there, and counts with the share that the link has among all links of the one who links. So a
+  host's distrust is the chance that a walk along its links meets blocked hosts, and does not fall
+  with the number of others who link there. Rounds go on until no score moves by ``TOLERANCE``;
+  damping makes them end.
 * A host is blocked where its distrust is at least ``LEAST`` of what a fully blocked seed keeps for
   itself and exceeds its trust; otherwise it is allowed.
 
@@ -32,12 +36,13 @@ from cobble.llm.common import materialize
 
 #: Fixed values of the result's contract: (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-DAMPING, ROUNDS, TOLERANCE, LEAST = 0.85, 30, 1e-4, 0.5
+DAMPING, TOLERANCE, LEAST = 0.85, 1e-4, 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: An absolute link's host, or a name of three or more labels that no mail address or path holds.
+#: A link's host behind ``://``, or behind ``//`` where an attribute's value begins, or a name of three
+#: or more labels that no mail address or path holds.
 NAMED_HOST = (
-    r"(?:://([A-Za-z0-9.-]+\.[A-Za-z]{2,}))"
-    r"|(?:(?<![\w@./-])((?:[A-Za-z0-9-]+\.){2,}[A-Za-z]{2,})(?![\w@-]|\.\w))"
+    r"(?:://|(?<=[\x22\x27=])//)[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+    r"|(?<![\w@./-])(?:[A-Za-z0-9-]+\.){2,}[A-Za-z]{2,}(?![\w@-]|\.\w)"
 )
 
 
@@ -62,32 +67,32 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
 
 def host_edges(pages: DataFrame) -> DataFrame:
     """(src, dst, weight): on how many pages of ``src`` the other host ``dst`` is named."""
+    # One scan of the HTML; what stands before a link's host is taken off the few that are found.
     named = F.transform(
-        F.expr(f"concat(regexp_extract_all(html, r'{NAMED_HOST}', 1), regexp_extract_all(html, r'{NAMED_HOST}', 2))"),
-        lambda h: F.translate(h, UPPER, LOWER),
+        F.expr(f"regexp_extract_all(html, r'{NAMED_HOST}', 0)"),
+        lambda h: F.translate(F.call_function("ltrim", F.lit(":/"), h), UPPER, LOWER),
     )
     pairs = pages.filter("host <> ''").select("host", F.explode(F.array_distinct(named)).alias("dst"))
     pairs = pairs.filter((F.col("dst") != "") & (F.col("dst") != F.col("host")))
     return pairs.groupBy(F.col("host").alias("src"), "dst").agg(F.count("*").cast("double").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int, tolerance: float) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
     """(host, trust, distrust) of every host that has an edge or a seed.
 
     ``edges`` (src, dst, weight), ``seeds`` (host, trust, distrust), one row a host.
     """
-    forward = edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight")
-    backward = edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    both = forward.unionByName(backward)
-    out = both.groupBy("kind", "src").agg(F.sum("weight").alias("total"))
-    steps = materialize(
-        both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("total")).alias("share")),
-        "url-steps",
-    )
+    # Both kinds share by the links of the one who links: trust leaves it, distrust comes to it.
+    out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
+    shares = edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share"))
+    shares = materialize(shares, "url-shares")
+    forward = shares.select(F.lit("trust").alias("kind"), "src", "dst", "share")
+    backward = shares.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "share")
+    steps = forward.unionByName(backward)
     seed = seeds.selectExpr("host", "stack(2, 'trust', trust, 'distrust', distrust) AS (kind, seed)").filter("seed > 0")
     base = materialize(seed.select("kind", "host", (F.col("seed") * (1 - damping)).alias("base")), "url-base")
     scores = base.withColumnRenamed("base", "score")
-    for _ in range(rounds):
+    while True:
         sent = scores.withColumnRenamed("host", "src").join(steps, ["kind", "src"])
         flow = sent.groupBy("kind", F.col("dst").alias("host")).agg((damping * F.sum(F.col("score") * F.col("share"))).alias("flow"))
         new = flow.join(base, ["kind", "host"], "full").select(
@@ -111,7 +116,6 @@ def judge_urls(
     pages: DataFrame,
     rules: Sequence[tuple[str, str, str]] = RULES,
     damping: float = DAMPING,
-    rounds: int = ROUNDS,
     tolerance: float = TOLERANCE,
     least: float = LEAST,
 ) -> DataFrame:
@@ -125,7 +129,7 @@ def judge_urls(
     ruled = parts.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
     share = {k: F.avg((F.coalesce(F.col("fit.verdict"), F.lit("")) == v).cast("double")) for k, v in (("trust", "allow"), ("distrust", "block"))}
     seeds = ruled.filter("host <> ''").groupBy("host").agg(*(v.alias(k) for k, v in share.items()))
-    scores = propagate(host_edges(parts), seeds, damping, rounds, tolerance)
+    scores = propagate(host_edges(parts), seeds, damping, tolerance)
     blocked = (F.col("distrust") >= least * (1 - damping)) & (F.col("distrust") > F.col("trust"))
     verdicts = scores.select("host", "trust", "distrust", F.when(blocked, "block").otherwise("allow").alias("method"))
     return (
