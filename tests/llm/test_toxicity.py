@@ -21,8 +21,8 @@ def test_query_on_held_out_documents(spark):
     known = [(r.score, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     toxic, clean = [s for s, y in known if y], [s for s, y in known if not y]
     assert sum(s >= 0.5 for s in clean) / len(clean) < 0.02
-    assert sum(s >= 0.5 for s in toxic) / len(toxic) > 0.55
-    assert np.mean([[a > b for a in toxic] for b in clean]) > 0.93
+    assert sum(s >= 0.5 for s in toxic) / len(toxic) > 0.8
+    assert np.mean([[a > b for a in toxic] for b in clean]) > 0.95
 
 
 def drawn(rng, n, balance, rates):
@@ -60,6 +60,16 @@ def test_correlated_voters_share_their_weight():
     assert model.weight[0] < 0.5 < model.weight[1]
 
 
+def test_a_label_is_one_more_voter():
+    """The posterior with a label equals Bayes' rule with a voter of known rates."""
+    rng = np.random.default_rng(4)
+    for p in rng.random(50):
+        for toxic in (True, False):
+            right = T.LABEL_RIGHT
+            yes, no = (p * right, (1 - p) * (1 - right)) if toxic else (p * (1 - right), (1 - p) * right)
+            assert T.with_label(p, toxic) == pytest.approx(yes / (yes + no))
+
+
 def test_ballot_against_plain_votes():
     lexicon = T.Lexicon([("word_strong", 0), ("begin3_weak", 3)], [frozenset({"bad", "worse"}), frozenset({"vil"})])
     ballot = T.Ballot(lexicon)
