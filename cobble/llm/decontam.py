@@ -11,8 +11,10 @@ of the window's rarest word, shifted by its offset, gives the possible starts; t
 shifted likewise, are intersected with them until all words agree (exact phrase) or none is left.
 Proximity: an item's windows that tile it (every ``WINDOW``-th) are looked up around each occurrence
 of their ``ANCHORS`` rarest words in the block; where at least ``NEAR_SHARE`` of the window's words
-stand within ``SLACK`` of their places, the document has a near match, which finds passages with
-words put in, left out or replaced.
+stand within ``SLACK`` of their places in one document, that has a near match, which finds passages with
+words put in, left out or replaced. Tiles, two anchors, and no items under ``WINDOW`` words: near matches
+miss edited passages that are short or lost both anchors; they decide nothing in ``contamination``.
+``matches`` gives every match with its item, its kind and its words.
 
 The windows are sent to the tasks ``QUERY_BYTES`` of item text at a time; a longer benchmark takes
 several passes over the index, so what is broadcast is bounded whatever its size.
@@ -169,11 +171,11 @@ class Postings:
                 self.counts[t] = counts[i]
 
 
-def _within(starts: np.ndarray, wanted: np.ndarray, slack: int = 0) -> np.ndarray:
-    """Whether one of the ascending ``wanted`` is within ``slack`` of each start."""
-    at = np.searchsorted(wanted, starts - slack)
+def _within(starts: np.ndarray, wanted: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Whether one of the ascending ``wanted`` is between each start's ``low`` and ``high``."""
+    at = np.searchsorted(wanted, low)
     ok = at < len(wanted)
-    ok[ok] = wanted[at[ok]] <= starts[ok] + slack
+    ok[ok] = wanted[at[ok]] <= high[ok]
     return ok
 
 
@@ -184,48 +186,65 @@ def phrase_starts(window: np.ndarray, post: Postings) -> np.ndarray:
     for k in order[1:]:
         if not len(starts):
             break
-        starts = starts[_within(starts, post.lists[window[k]] - k)]
+        starts = starts[_within(starts, post.lists[window[k]] - k, starts, starts)]
     return starts
 
 
-def near_starts(window: np.ndarray, post: Postings, anchors: int, slack: int, least: int) -> np.ndarray:
-    """Where at least ``least`` of the window's words stand within ``slack`` of their places."""
+def near_starts(
+    window: np.ndarray, post: Postings, first: np.ndarray, anchors: int, slack: int, least: int
+) -> np.ndarray:
+    """Where at least ``least`` of the window's words stand within ``slack`` of their places, all of them in
+    the document of the word that the window was looked up by. ``first``: where documents begin."""
     present = np.flatnonzero(post.counts[window])
     order = present[np.argsort(post.counts[window[present]], kind="stable")]
     found = []
     for anchor in order[:anchors]:
-        starts = post.lists[window[anchor]] - anchor
+        own = post.lists[window[anchor]]
+        doc = np.searchsorted(first, own, side="right") - 1
+        starts, low, high = own - anchor, first[doc], first[doc + 1] - 1
         agree = np.zeros(len(starts), np.int64)
         for k in order:
-            agree += _within(starts, post.lists[window[k]] - k, slack)
-        found.append(starts[agree >= least])
-    return np.concatenate(found)
+            inside = np.maximum(starts - slack, low - k), np.minimum(starts + slack, high - k)
+            agree += _within(starts, post.lists[window[k]] - k, *inside)
+        # A window that sticks out of its document begins with it.
+        found.append(np.maximum(starts, low)[agree >= least])
+    return np.unique(np.concatenate(found))
+
+
+def block_matches(row: dict, query: Windows, anchors: int, slack: int, share: float) -> Iterator[tuple]:
+    """(window, starts, whether exact, where documents begin) of each window with matches in the block."""
+    post = Postings(row, query.terms)
+    first = np.concatenate([[0], np.cumsum(np.array(row["lengths"], np.int64) + 1)])
+    used = query.rows >= 0
+    present = ((post.counts[query.rows] > 0) & used).sum(axis=1)
+    width = used.sum(axis=1)
+    for i in np.flatnonzero((present == width) & (width > 0)):
+        starts = phrase_starts(query.rows[i, : width[i]], post)
+        if len(starts):
+            yield i, starts, True, first
+    for i in np.flatnonzero(query.tiles & (present >= np.ceil(share * width)) & (width == query.rows.shape[1])):
+        starts = near_starts(query.rows[i], post, first, anchors, slack, int(np.ceil(share * width[i])))
+        if len(starts):
+            yield i, starts, False, first
 
 
 def search_block(row: dict, query: Windows, anchors: int, slack: int, share: float) -> Iterator[tuple]:
     """(document's place, hit stretches as flat starts and ends, items, near windows) of each document."""
-    post = Postings(row, query.terms)
     lengths = np.array(row["lengths"], np.int64)
     first = np.concatenate([[0], np.cumsum(lengths + 1)])
     edge = np.zeros(int(first[-1]) + 1, np.int64)
     items: list[set] = [set() for _ in lengths]
     near = np.zeros(len(lengths), np.int64)
-    used = query.rows >= 0
-    present = ((post.counts[query.rows] > 0) & used).sum(axis=1)
-    width = used.sum(axis=1)
-    for i in np.flatnonzero((present == width) & (width > 0)):
-        window = query.rows[i, : width[i]]
-        starts = phrase_starts(window, post)
-        if len(starts):
+    width = (query.rows >= 0).sum(axis=1)
+    for i, starts, exact, _ in block_matches(row, query, anchors, slack, share):
+        own = np.unique(np.searchsorted(first, starts, side="right") - 1)
+        if exact:
             np.add.at(edge, starts, 1)
-            np.add.at(edge, starts + len(window), -1)
-            for d in np.unique(np.searchsorted(first, starts, side="right") - 1):
+            np.add.at(edge, starts + width[i], -1)
+            for d in own:
                 items[d].update(query.items[i])
-    for i in np.flatnonzero(query.tiles & (present >= np.ceil(share * width)) & (width == query.rows.shape[1])):
-        starts = near_starts(query.rows[i], post, anchors, slack, int(np.ceil(share * width[i])))
-        if len(starts):
-            starts = np.clip(starts, 0, first[-1] - 1)
-            near[np.unique(np.searchsorted(first, starts, side="right") - 1)] += 1
+        else:
+            near[own] += 1
     hit = np.concatenate([[0], np.cumsum(edge)[:-1] > 0, [0]]).astype(np.int8)
     turns = np.flatnonzero(np.diff(hit))  # starts and ends by turns; a phrase never crosses documents
     bounds = np.searchsorted(turns, first)
@@ -261,6 +280,55 @@ def _searcher(broadcast, window: int, anchors: int, slack: int, share: float):
     return run
 
 
+MATCHES = "doc_id bigint, item_id bigint, kind string, start bigint, stop bigint"
+
+
+def matches(
+    index: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    anchors: int = ANCHORS,
+    slack: int = SLACK,
+    share: float = NEAR_SHARE,
+    query_bytes: int = QUERY_BYTES,
+) -> DataFrame:
+    """Every match: doc_id, item_id (null for items without one), kind (``phrase`` or ``near``), and the words of
+    the document from ``start`` to ``stop`` (exclusive) that an item's window lies on."""
+    spark = index.sparkSession
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+    names = [f.split()[0] for f in MATCHES.split(", ")]
+
+    def finder(broadcast):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            query = Windows(broadcast.value, window)
+            width = (query.rows >= 0).sum(axis=1)
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    row = batch.slice(at, 1).to_pylist()[0]
+                    for i, starts, exact, first in block_matches(row, query, anchors, slack, share):
+                        docs = np.searchsorted(first, starts, side="right") - 1
+                        begin = starts - first[docs]
+                        end = np.minimum(begin + width[i], np.array(row["lengths"], np.int64)[docs])
+                        owners = query.items[i] or [None]
+                        n, k = len(starts), len(owners)
+                        columns = [
+                            [row["doc_ids"][d] for d in docs] * k,
+                            [o for o in owners for _ in range(n)],
+                            ["phrase" if exact else "near"] * (n * k),
+                            np.tile(begin, k),
+                            np.tile(end, k),
+                        ]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
+        return run
+
+    found = None
+    for group in _item_groups(benchmark, query_bytes):
+        own = index.mapInArrow(finder(spark.sparkContext.broadcast(group)), MATCHES)
+        found = own if found is None else found.unionByName(own)
+    return found.distinct()
+
+
 def _item_groups(benchmark: DataFrame, most: int) -> Iterator[list[tuple[int | None, str]]]:
     """The items, about ``most`` characters of text at a time; at least one group, maybe empty."""
     rows = benchmark.select(

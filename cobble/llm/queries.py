@@ -148,9 +148,9 @@ FROM conv
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 win AS (
-  SELECT DISTINCT item_id, least(len(w), {decontam.WINDOW}) AS k, unnest(list_transform(
-    range(1, greatest(len(w) - {decontam.WINDOW} + 1, 1) + 1),
-    lambda i: array_to_string(w[i:i + {decontam.WINDOW} - 1], ' '))) AS win
+  SELECT DISTINCT item_id, least(len(w), 13) AS k, unnest(list_transform(
+    range(1, greatest(len(w) - 12, 1) + 1),
+    lambda i: array_to_string(w[i:i + 12], ' '))) AS win
   FROM b WHERE len(w) > 0
 ),
 seen AS (

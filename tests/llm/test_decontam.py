@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from conftest_llm import documents, rows_of
@@ -77,6 +78,55 @@ def test_proximity_finds_edited_passages(spark):
     assert got[40] > 0 and got[41] > 0 and got[42] == got[43] == 0
 
 
+def test_matches_with_item_kind_and_place(spark):
+    docs = documents(spark, DOCS)
+    for options in ({}, {"query_bytes": 30}):
+        got = {tuple(r) for r in D.matches(D.build_index(docs), bench(spark, ITEMS), **options).collect()}
+        want = set()
+        for d, text in DOCS:
+            w = words(text)
+            for item, t in ITEMS:
+                own = words(t)
+                for i in range(max(1, len(own) - 12) if own else 0):
+                    window = own[i : i + 13]
+                    want |= {(d, item, "phrase", k, k + len(window)) for k in range(len(w) - len(window) + 1) if w[k : k + len(window)] == window}
+        assert {r for r in got if r[2] == "phrase"} == want
+        near = {r for r in got if r[2] == "near"}
+        assert (41, 1, "near", 0, 13) in near
+        assert all(0 <= a < b <= len(words(dict(DOCS)[d])) for d, _, _, a, b in got)
+
+
+def test_near_matches_stay_in_their_document(spark):
+    """Seven words at one document's end and six at the next one's beginning are no match of either."""
+    w = P.split()[:13]
+    rows = [(1, "x y z " + " ".join(w[:7])), (2, " ".join(w[7:]) + " x y z"), (3, " ".join([*w[:7], "oops", *w[7:]]))]
+    got = {(r.doc_id, r.kind) for r in D.matches(D.build_index(documents(spark, rows).coalesce(1)), bench(spark, [(1, " ".join(w))])).collect()}
+    assert got == {(3, "near")}
+
+
+def test_near_matches_against_brute_force(spark):
+    """The tiles of items in random texts of few words: every place where enough words stand near by, if an
+    anchor stands there."""
+    rng = random.Random(17)
+    pick = lambda n: [rng.choice("abcdefghijklmnop") for _ in range(n)]
+    items = [(i, " ".join(pick(26))) for i in range(4)]
+    docs = [(i, " ".join(pick(8) + [w if rng.random() < 0.9 else "q" for w in items[i % 4][1].split()] + pick(8))) for i in range(12)]
+    got = {(r.doc_id, r.item_id, r.start) for r in D.matches(D.build_index(documents(spark, docs)), bench(spark, items), anchors=13).collect() if r.kind == "near"}
+    want = set()
+    for d, text in docs:
+        w = words(text)
+        for item, t in items:
+            for at in (0, 13):
+                tile = words(t)[at : at + 13]
+                for s in range(-12, len(w)):
+                    if not any(0 <= s + k < len(w) and w[s + k] == tile[k] for k in range(13)):
+                        continue
+                    agree = sum(any(w[p] == tile[k] for p in range(max(0, s + k - 3), min(len(w), s + k + 4))) for k in range(13))
+                    if agree >= 10:
+                        want.add((d, item, max(s, 0)))
+    assert got == want and got
+
+
 def test_no_items_and_no_documents(spark, odd):
     assert all(not r.contaminated for r in D.contamination(documents(spark, odd), bench(spark, [])).collect())
     assert D.contamination(documents(spark, []), bench(spark, ITEMS)).count() == 0
