@@ -7,10 +7,16 @@ labels' local maxima begin the phrases (two to four symbols), and a phrase's nam
 symbols, is a symbol of the next level. A boundary depends on a few symbols around it only, so equal
 substrings, at whatever offset, get equal names but for their ends.
 
-The fingerprint holds the ``KEEP`` smallest hashed names of level 3 (about 15 to 20 characters), and
-of levels 1 and 2 too for texts under ``SHORT`` code points: ``3:<hex...>;2:...;1:...``. Likeness
-estimates the Jaccard similarity of the name sets from two fingerprints, on the highest level where
-both have ``ENOUGH`` names, else the lowest that both have.
+Levels go on to the root: where a text is down to ``FEW`` symbols or fewer, their name together is the
+name of the whole text, so any edit, however small in however long a text, changes it.
+
+The fingerprint holds that name, the ``UPPER`` smallest names of every level above the third, the
+``KEEP`` smallest hashed names of level 3 (about 15 to 20 characters), and of levels 1 and 2 too for
+texts under ``SHORT`` code points: ``top:<hex of root and upper names>;3:<hex...>;2:...;1:...``.
+Likeness is 1 for equal fingerprints alone; else it estimates the Jaccard similarity of the name sets,
+on the highest of the levels 1 to 3 where both have ``ENOUGH`` names, else the lowest that both have.
+A sketch of fixed size can't show a short passage that two very long texts share; all phrases of a text,
+with their places, are there for that: ``phrase_names``.
 
 Null text: empty; two empty texts are alike by 1, an empty and another by 0. Texts are parsed whole;
 memory follows the longest text. Order for neighbours: doc_id descending, nulls last, then text;
@@ -32,6 +38,7 @@ from pyspark.sql import functions as F
 from cobble.llm.common import materialize, partitions, prepare, slices, texts
 
 KEEP, SHORT, ENOUGH, LEVELS = 48, 512, 6, 3
+UPPER, FEW = 4, 4
 #: Text bytes parsed at a time, so that the arrays stay in the processor's cache.
 PARSE_BYTES = 1 << 19
 
@@ -88,8 +95,14 @@ def labels(symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def next_level(symbols: np.ndarray, first: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
     """Names of the phrases of non-empty texts, and where each text begins among them."""
+    names, first, _ = _next_level(symbols, first, level)
+    return names, first
+
+
+def _next_level(symbols: np.ndarray, first: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``next_level``, and at which symbol each phrase begins."""
     if not len(symbols):
-        return symbols.astype(np.uint64), first
+        return symbols.astype(np.uint64), first, np.zeros(0, np.int64)
     begins = np.zeros(len(symbols), bool)
     begins[first] = True
     new = begins.copy()
@@ -114,37 +127,97 @@ def next_level(symbols: np.ndarray, first: np.ndarray, level: int) -> tuple[np.n
     place = np.arange(len(own)) - np.repeat(starts, np.diff(starts, append=len(own)))
     seeded = _mix(symbols.astype(np.uint64) + np.uint64(level + 1))
     names = _mix(np.add.reduceat(seeded * _PLACES[np.minimum(place, 4)] + place.astype(np.uint64), starts))
-    return names, np.searchsorted(starts, first)
+    return names, np.searchsorted(starts, first), runs[starts]
 
 
-def _smallest(names: np.ndarray) -> str:
-    kept = np.unique((names >> np.uint64(32)).astype(np.uint32))[:KEEP]
+def _smallest(names: np.ndarray, keep: int = KEEP) -> str:
+    kept = np.unique((names >> np.uint64(32)).astype(np.uint32))[:keep]
     return kept.astype(">u4").tobytes().hex()
 
 
+def _root(symbols: np.ndarray, level: int) -> str:
+    """The name of a whole text that is down to a few symbols."""
+    place = np.arange(len(symbols), dtype=np.uint64)
+    seeded = _mix(symbols.astype(np.uint64) + np.uint64(level + 1))
+    return f"{int(_mix(np.array([(seeded * _PLACES[: len(symbols)] + place).sum(dtype=np.uint64)]))[0]):016x}"
+
+
 def fingerprints_of(strings: list[str]) -> list[str]:
     """The fingerprints of some texts, parsed together."""
     full = [i for i, s in enumerate(strings) if s]
-    out = ["3:;2:;1:"] * len(strings)
+    out = ["top:;3:;2:;1:"] * len(strings)
     if not full:
         return out
     symbols = np.frombuffer("".join(strings[i] for i in full).encode("utf-32-le"), "<u4").astype(np.uint32)
     sizes = np.array([len(strings[i]) for i in full])
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     parts: list[list[str]] = [[] for _ in full]
-    for level in range(1, LEVELS + 1):
+    tops, roots = [""] * len(full), [""] * len(full)
+    open_ = list(range(len(full)))  # texts whose root is not reached yet
+    level = 0
+    while open_:
+        level += 1
         symbols, first = next_level(symbols, first, level)
         ends = np.append(first[1:], len(symbols))
-        for j in range(len(full)):
-            if level == LEVELS or sizes[j] < SHORT:
-                parts[j].append(f"{level}:{_smallest(symbols[first[j] : ends[j]])}")
+        still = np.ones(len(open_), bool)
+        for k, j in enumerate(open_):
+            own = symbols[first[k] : ends[k]]
+            if level == LEVELS or level < LEVELS and sizes[j] < SHORT:
+                parts[j].append(f"{level}:{_smallest(own)}")
+            elif level > LEVELS:
+                tops[j] += _smallest(own, UPPER)
+            # Level 3 is always kept, so no text stops before.
+            if level >= LEVELS and len(own) <= FEW:
+                roots[j], still[k] = _root(own, level), False
+        if not still.all():
+            symbols = symbols[np.repeat(still, ends - first)]
+            count = (ends - first)[still]
+            first = np.cumsum(count) - count
+            open_ = [j for j, on in zip(open_, still, strict=True) if on]
     for j, i in enumerate(full):
-        out[i] = ";".join(reversed(parts[j]))
+        out[i] = ";".join([f"top:{roots[j]}{tops[j]}", *reversed(parts[j])])
     return out
 
 
+def phrases_of(text: str, level: int = LEVELS) -> list[tuple[int, int, int]]:
+    """(name, start, end) in code points of every phrase of a level: names of 64 bits, as signed numbers."""
+    if not text:
+        return []
+    symbols = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint32)
+    first, starts = np.array([0]), np.arange(len(symbols))
+    for k in range(1, level + 1):
+        symbols, first, at = _next_level(symbols, first, k)
+        starts = starts[at]
+    ends = np.append(starts[1:], len(text))
+    return list(zip(symbols.view(np.int64).tolist(), starts.tolist(), ends.tolist(), strict=True))
+
+
+PHRASES = "doc_id bigint, name bigint, start bigint, stop bigint"
+
+
+def phrase_names(docs: DataFrame, level: int = LEVELS) -> DataFrame:
+    """``(doc_id, name, start, stop)`` of every phrase of a level in every whole text of ``docs`` (doc_id, text).
+
+    Equal passages share all interior names wherever they stand, so a join on ``name`` finds passages that
+    documents of any length have in common.
+    """
+    prepare(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f.split()[0] for f in PHRASES.split(", ")]
+        for batch in slices(batches, most=PARSE_BYTES):
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                found = phrases_of(text, level)
+                if found:
+                    columns = [[doc] * len(found), *map(list, zip(*found, strict=True))]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+    return texts(docs).mapInArrow(run, PHRASES)
+
+
 def _sketch(fingerprint: str) -> dict[int, np.ndarray]:
-    return {int(p[0]): np.frombuffer(bytes.fromhex(p[2:]), ">u4") for p in fingerprint.split(";")}
+    """Names by level, those of levels 1 to 3."""
+    return {int(p[0]): np.frombuffer(bytes.fromhex(p[2:]), ">u4") for p in fingerprint.split(";")[1:]}
 
 
 def likeness(a: str, b: str) -> float:
@@ -158,7 +231,9 @@ def likeness(a: str, b: str) -> float:
     level = next((k for k in both if min(len(x[k]), len(y[k])) >= ENOUGH), both[-1])
     p, q = x[level], y[level]
     union = np.union1d(p, q)[:KEEP]
-    return float(np.isin(union, p).astype(int) @ np.isin(union, q).astype(int)) / len(union)
+    n, of = int(np.isin(union, p).astype(int) @ np.isin(union, q).astype(int)), len(union)
+    # Texts with equal names that differ all the same are less than alike.
+    return min(n / of, (of - 0.5) / of)
 
 
 def edited(text: str, after: str) -> str:
@@ -177,7 +252,7 @@ ROWS_ARROW = pa.schema(
     + [("near_edited", pa.float64()), ("near_next", pa.float64())]
 )
 #: The written form: digests and sketches in bytes, half as long as in hex.
-_BYTES = ["sha", *(f"{k}{level}" for k in ("own", "new") for level in range(LEVELS, 0, -1))]
+_BYTES = ["sha", *(f"{k}{level}" for k in ("own", "new") for level in ("top", *range(LEVELS, 0, -1)))]
 WRITTEN = (
     "doc_id bigint, n_chars bigint, " + ", ".join(f"{k} binary" for k in _BYTES) + ", near_edited double, "
     "near_next double, kind string, shard int, text string"
@@ -191,15 +266,15 @@ WRITTEN_ARROW = pa.schema(
 
 
 def _in_bytes(fingerprint: str) -> list[bytes | None]:
-    """The names of each level from the highest on; None for a level that a fingerprint leaves out."""
-    parts: list[bytes | None] = [bytes.fromhex(p[2:]) for p in fingerprint.split(";")]
-    return parts + [None] * (LEVELS - len(parts))
+    """The top and the names of each level from the highest on; None for a level that a fingerprint leaves out."""
+    parts: list[bytes | None] = [bytes.fromhex(p.split(":")[1]) for p in fingerprint.split(";")]
+    return parts + [None] * (1 + LEVELS - len(parts))
 
 
 def _in_text(prefix: str):
     """The fingerprint column from its columns of bytes."""
     parts = [
-        F.concat(F.lit(f"{level}:"), F.lower(F.hex(f"{prefix}{level}"))) for level in range(LEVELS, 0, -1)
+        F.concat(F.lit(f"{level}:"), F.lower(F.hex(f"{prefix}{level}"))) for level in ("top", *range(LEVELS, 0, -1))
     ]
     return F.concat_ws(";", *parts)
 

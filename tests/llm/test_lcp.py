@@ -32,35 +32,54 @@ def brute_labels(symbols):
     return own
 
 
+MASK = 2**64 - 1
+PLACES = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63]
+
+
+def mix(x):
+    x = x * PLACES[0] & MASK
+    x ^= x >> 29
+    x = x * PLACES[1] & MASK
+    return x ^ x >> 32
+
+
 def brute_level(symbols, level):
+    """Phrases as (name, number of symbols below)."""
     runs = []
     for s in symbols:
         if runs and runs[-1][0] == s:
             runs[-1][1] += 1
         else:
             runs.append([s, 1])
-    mix = lambda x: int(L._mix(np.array([x % 2**64], np.uint64))[0])
-    place = [int(x) for x in L._PLACES]
-    symbols = [mix(s + place[2] * n) if n > 1 else s for s, n in runs]
+    symbols = [mix(s + PLACES[2] * n & MASK) if n > 1 else s for s, n in runs]
     own = brute_labels(symbols)
-    phrases = []
+    phrases, below = [], []
     for i, s in enumerate(symbols):
         peak = 0 < i and own[i] > own[i - 1] and (i + 1 == len(own) or own[i] > own[i + 1])
         if i == 0 or peak:
             phrases.append([])
+            below.append(0)
         phrases[-1].append(s)
+        below[-1] += runs[i][1]
     assert all(len(p) <= 5 for p in phrases)
-    return [mix(sum(mix(s + level + 1) * place[min(k, 4)] + k for k, s in enumerate(p))) for p in phrases]
+    names = [mix(sum(mix(s + level + 1 & MASK) * PLACES[min(k, 4)] + k for k, s in enumerate(p)) & MASK) for p in phrases]
+    return names, below
 
 
 def brute_print(text):
-    symbols, parts = [ord(c) for c in text], []
-    for level in range(1, L.LEVELS + 1):
-        symbols = brute_level(symbols, level) if symbols else []
-        if level == L.LEVELS or len(text) < L.SHORT:
-            kept = sorted({x >> 32 for x in symbols})[: L.KEEP]
-            parts.insert(0, f"{level}:{''.join(f'{x:08x}' for x in kept)}")
-    return ";".join(parts)
+    if not text:
+        return "top:;3:;2:;1:"
+    hexed = lambda names, n: "".join(f"{x:08x}" for x in sorted({x >> 32 for x in names})[:n])
+    symbols, parts, upper, level = [ord(c) for c in text], [], "", 0
+    while level < 3 or len(symbols) > 4:
+        level += 1
+        symbols, _ = brute_level(symbols, level)
+        if level == 3 or level < 3 and len(text) < 512:
+            parts.insert(0, f"{level}:{hexed(symbols, 48)}")
+        elif level > 3:
+            upper += hexed(symbols, 4)
+    root = mix(sum(mix(s + level + 1 & MASK) * PLACES[k] + k for k, s in enumerate(symbols)) & MASK)
+    return ";".join([f"top:{root:016x}{upper}", *parts])
 
 
 TEXTS = ["", "a", "aa", "ab", "aaaa bbbb", "hello world " * 3, "日本語😀" * 40, "".join(chr(97 + i * i % 26) for i in range(900))]
@@ -73,6 +92,47 @@ def test_fingerprints_against_definition(real):
     assert [L.fingerprints_of([t])[0] for t in texts] == want  # neighbours in a batch don't matter
 
 
+def test_phrases_against_definition(real):
+    for text in [t for t in TEXTS if t] + [real[0][1][:1500]]:
+        symbols, spans = [ord(c) for c in text], [(i, i + 1) for i in range(len(text))]
+        for level in (1, 2, 3):
+            symbols, below = brute_level(symbols, level)
+            at, merged = 0, []
+            for n in below:
+                merged.append((spans[at][0], spans[at + n - 1][1]))
+                at += n
+            spans = merged
+            got = L.phrases_of(text, level)
+            assert [(x & MASK, a, b) for x, a, b in got] == [(x, a, b) for x, (a, b) in zip(symbols, spans)]
+
+
+@pytest.mark.parametrize("n", [1_800, 18_000, 119_000])
+def test_any_edit_changes_the_fingerprint(n):
+    rng = random.Random(n)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(n // 6)]
+    texts = [" ".join(words)]
+    for _ in range(20):
+        k = rng.randrange(len(words) - 50)
+        texts.append(" ".join([*words[:k], "other", *words[k + 1 :]]))
+        texts.append(" ".join([*words[:k], *(w[::-1] + "x" for w in words[k : k + 50]), *words[k + 50 :]]))
+    prints = L.fingerprints_of(texts)
+    assert len(set(prints)) == len(set(texts))
+    assert all(L.likeness(prints[0], p) < 1 for p, t in zip(prints, texts) if t != texts[0])
+
+
+def test_a_passage_that_two_very_long_texts_share(spark):
+    rng = random.Random(31)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    shared = text(50)
+    rows = [(i, f"{text(9000 + 700 * i)} {shared} {text(9000)}") for i in range(2)]
+    names = L.phrase_names(documents(spark, [*rows, (2, None), (3, "")]))
+    found = names.alias("a").join(names.alias("b"), "name").filter("a.doc_id = 0 AND b.doc_id = 1").select("a.start", "a.stop").collect()
+    at = rows[0][1].index(shared)
+    inside = [r for r in found if at <= r.start and r.stop <= at + len(shared)]
+    assert sum(r.stop - r.start for r in inside) > 0.6 * len(shared)
+    assert L.phrase_names(documents(spark, [])).count() == 0
+
+
 def test_labels_are_proper():
     rng = np.random.default_rng(2)
     for kind in (np.uint32, np.uint64):
