@@ -133,8 +133,13 @@ def range_nodes(ranges: DataFrame, plain: int = PLAIN_RANGES) -> DataFrame:
     block apart, as their further parts are tested one by one.
     """
     key = ["label", "borough", "side", "n"]
-    crowded = ranges.groupBy(*key).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > plain).select(*key, F.lit(True).alias("_many"))
-    rows = ranges.join(crowded, key, "left").withColumn("_many", F.coalesce("_many", F.lit(False)))
+    crowded = ranges.groupBy(*key).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > plain)
+    some = not crowded.isEmpty()
+    if some:
+        marked = crowded.select(*key, F.lit(True).alias("_many"))
+        rows = ranges.join(marked, key, "left").withColumn("_many", F.coalesce("_many", F.lit(False)))
+    else:
+        rows = ranges.withColumn("_many", F.lit(False))
     one = F.array(F.struct(F.lit(0).alias("l"), F.lit(0).cast("bigint").alias("i")))
     flat = rows.filter(~F.col("_many")).select(
         *key,
@@ -143,6 +148,8 @@ def range_nodes(ranges: DataFrame, plain: int = PLAIN_RANGES) -> DataFrame:
         F.try_element_at("low", F.lit(2)).alias("lo2"), F.try_element_at("high", F.lit(2)).alias("hi2"),
         F.when(F.col("n") > 2, F.col("low")).alias("low"), F.when(F.col("n") > 2, F.col("high")).alias("high"), "rank", "pid",
     )
+    if not some:
+        return flat
     blocks = (
         rows.filter("_many")
         .select(*key, "low", "high", "rank", "pid", F.explode(dyadic_cover("low[0]", "high[0]")).alias("x"))
@@ -172,7 +179,11 @@ def street_index(
     def named(df: DataFrame, mark: str) -> DataFrame:
         return df.toDF(*[f"{mark}_{c}" for c in df.columns])
 
-    nodes, c1 = broadcast_if_bounded(named(range_nodes(segment_ranges(segments), plain), "n"), max_bytes, max_rows)
+    # Written once: the ranges are counted by street before they are laid out.
+    path = shared_scratch(segments.sparkSession, "ranges")
+    segment_ranges(segments).write.parquet(path)
+    ranges = segments.sparkSession.read.parquet(path)
+    nodes, c1 = broadcast_if_bounded(named(range_nodes(ranges, plain), "n"), max_bytes, max_rows)
     key = [F.col(f"n_{c}").alias(c) for c in ("label", "borough", "side", "n")]
     used = nodes.groupBy(*key).agg(F.collect_set(F.struct(F.col("n_l1").alias("l1"), F.col("n_l2").alias("l2"))).alias("levels"))
     levels, c2 = broadcast_if_bounded(named(used, "v"), max_bytes, max_rows)

@@ -7,7 +7,6 @@ from io import StringIO
 
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cobble.session import shared_scratch
