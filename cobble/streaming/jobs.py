@@ -292,14 +292,16 @@ def stream_max_level(
 
     (net change, peak) of neighbouring stretches of time compose associatively, so they are kept as a
     tree: stretch (an hour) -> day -> month. A batch adds its non-zero steps to the folders of their
-    days, sums up the hours that it touched from all their steps, and renews just the days and
-    months above them. It reads those hours' steps, those days' hours and those months' days, whatever
-    the length of the history. The steps of an hour are cut into ranges of equal size first, so a
-    hot hour is summed up by many tasks.
+    days. A day is due when the steps that came since it was last summed up are as many as those
+    before: its hours are then summed up from all its steps, and just the days and months above them
+    renewed. What is still waiting at the end is summed up then, so a step is read a few times in
+    all, in whatever order and in however many batches the steps come. The steps of an hour are cut
+    into ranges of equal size first, so a hot hour is summed up by many tasks.
     """
-    where = {k: shared_scratch(spark, f"{name}-{k}") for k in ("steps", "hours", "days", "months")}
+    where = {k: shared_scratch(spark, f"{name}-{k}") for k in ("steps", "counts", "hours", "days", "months")}
     kind = dict(events.dtypes)
     sums = "net bigint, peak bigint"
+    counts = "day string, summed bigint, waiting bigint, due boolean"
 
     def write(batch: DataFrame, path: str) -> None:
         number = int(path.rsplit("=", 1)[1])
@@ -311,14 +313,26 @@ def stream_max_level(
             delta.cast("bigint").alias("d"),
             peak_at.alias("p"),
         ).filter("d <> 0")
-        _put(new, where["steps"], "day", number)
-        days = [r["day"] for r in new.select("day").distinct().collect()]
+        # A file a day, but where a day is large.
+        _put(new.hint("rebalance", F.col("day")), where["steps"], "day", number)
+        # One row a day: steps already summed up, steps waiting, and whether this batch sums it up.
+        since = new.groupBy("day").agg(F.lit(0).cast("bigint").alias("summed"), F.count(F.lit(1)).alias("waiting"))
+        if number:
+            was = spark.read.schema(counts).parquet(f"{where['counts']}/batch={number - 1}")
+            done, rest = F.when(F.col("due"), F.col("waiting")).otherwise(0), F.when(F.col("due"), 0).otherwise(F.col("waiting"))
+            since = since.unionByName(was.select("day", (F.col("summed") + done).alias("summed"), rest.alias("waiting")))
+        known = since.groupBy("day").agg(F.sum("summed").alias("summed"), F.sum("waiting").alias("waiting"))
+        due = known.withColumn("due", (F.col("waiting") > 0) & (F.col("waiting") >= F.col("summed")))
+        now = f"{where['counts']}/batch={number}"
+        due.coalesce(1).write.mode("overwrite").parquet(now)
+        renew([r["day"] for r in spark.read.schema(counts).parquet(now).filter("due").select("day").collect()], number)
+
+    def renew(days: list[str], number: int) -> None:
+        """Sum up these days from all their steps, and the months above them."""
         if not days:
             return
         steps = f"b {kind[ts]}, t {kind[ts]}, id {kind[tie]}, d bigint, p boolean"
-        written = _get(spark, where["steps"], "day", days, steps, number)
-        touched = written.filter(F.col("batch") == number).select("day", "b").distinct()
-        rows = range_buckets(written.join(touched, ["day", "b"], "left_semi"), ["b", "t", "id"])
+        rows = range_buckets(_get(spark, where["steps"], "day", days, steps, number), ["b", "t", "id"])
         w = Window.partitionBy("day", "b", BUCKET).orderBy("t", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         level = rows.select("day", "b", BUCKET, "d", F.when(F.col("p"), F.sum("d").over(w)).alias("level"))
         ranges = level.groupBy("day", "b", BUCKET).agg(F.sum("d").alias("net"), F.max("level").alias("peak"))
@@ -333,6 +347,14 @@ def stream_max_level(
         _put(_fold(by_day, "day", ["month"]), where["months"], "month", number)
 
     _sink(spark, events, name, "append", write)
+    try:
+        known = spark.read.schema(f"{counts}, batch bigint").parquet(where["counts"])
+        last = known.agg(F.max("batch")).first()[0]
+    except AnalysisException:  # nothing has arrived: no folder
+        last = None
+    if last is not None:
+        waiting = known.filter((F.col("batch") == last) & ~F.col("due") & (F.col("waiting") > 0))
+        renew([r["day"] for r in waiting.select("day").collect()], last + 1)
     # The root: one row a month.
     try:
         root = spark.read.schema(f"{sums}, month string, batch bigint").parquet(where["months"])

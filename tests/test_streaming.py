@@ -223,3 +223,22 @@ def test_late_events_are_listed_and_corrected(spark):
     assert days(out["final"], "n", "event_id", "closed") == [("01", 5, 4, True), ("02", 2, 6, True), ("03", 1, 7, False)]
     # No row is lost: in a day's count, whether late or not.
     assert sum(r["n"] for r in out["final"].collect()) == sum(map(len, groups))
+
+
+def test_level_rereads_a_day_only_when_its_steps_have_doubled(spark, monkeypatch):
+    """Ten batches that all touch the same day: its steps are read after 1, 2, 4 and 8 of them and at the end."""
+    rnd = random.Random(14)
+    day = datetime(2024, 6, 1)
+    rows = [(i, day + timedelta(seconds=rnd.randrange(86_400)), rnd.choice("+-")) for i in range(400)]
+    src = _shuffled_files(spark, rows, LEVEL_SCHEMA, 10)
+    opened, real = [], jobs._get
+
+    def get(spark_, path, group, names, *rest):
+        if "steps" in path:
+            opened.append((rest[-1], names))
+        return real(spark_, path, group, names, *rest)
+
+    monkeypatch.setattr(jobs, "_get", get)
+    s = read_stream(spark, src, LEVEL_SCHEMA, files_per_batch=1)
+    assert jobs.stream_max_level(spark, s, "ts", "id", _delta(), F.col("e") == "+").first()[0] == _level(rows)
+    assert opened == [(n, ["20240601"]) for n in (0, 1, 3, 7, 10)]
