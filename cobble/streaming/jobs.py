@@ -8,6 +8,8 @@ unbounded input stays the same: start it with a processing-time trigger instead.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,13 +40,35 @@ def _batches(spark: SparkSession, out: str, schema) -> DataFrame:
     return spark.read.schema(f"{kept}, batch BIGINT").parquet(out)
 
 
-def run_available(spark: SparkSession, stream_df: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """What ``stream_df`` gives over all files now present.
+#: Partitions of a state that has a row an hour or a day. A stateful batch runs a task for each, and each
+#: task reports on every one, so they follow the keys and not the session's shuffles of whole tables.
+STATE_PARTITIONS = 8
+
+
+@contextmanager
+def _at_most(spark: SparkSession, partitions: int | None):
+    """Streams started within get at most so many state partitions, and keep them."""
+    key = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(key)
+    if partitions:
+        spark.conf.set(key, str(min(int(usual), partitions)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, usual)
+
+
+def run_available(
+    spark: SparkSession, stream_df: DataFrame, name: str, mode: str = "complete", partitions: int | None = STATE_PARTITIONS
+) -> DataFrame:
+    """What ``stream_df`` gives over all files now present. ``partitions``: at most as many for its
+    state (None: the session's number, for keys that grow with the rows).
 
     complete mode: each micro-batch carries the whole (small) result; the last one's counts.
     append mode: each batch adds its rows.
     """
-    out = _sink(spark, stream_df, name, mode, lambda batch, path: batch.write.mode("overwrite").parquet(path))
+    with _at_most(stream_df.sparkSession, partitions):
+        out = _sink(spark, stream_df, name, mode, lambda batch, path: batch.write.mode("overwrite").parquet(path))
     rows = _batches(spark, out, stream_df.schema)
     if mode == "complete":
         rows = rows.filter(F.col("batch") == rows.agg(F.max("batch")).scalar())

@@ -242,3 +242,31 @@ def test_level_rereads_a_day_only_when_its_steps_have_doubled(spark, monkeypatch
     s = read_stream(spark, src, LEVEL_SCHEMA, files_per_batch=1)
     assert jobs.stream_max_level(spark, s, "ts", "id", _delta(), F.col("e") == "+").first()[0] == _level(rows)
     assert opened == [(n, ["20240601"]) for n in (0, 1, 3, 7, 10)]
+
+
+def _tasks_of_state(spark, monkeypatch, name):
+    """Rows of a query while the session shuffles into 40 partitions, and the state partitions of each batch."""
+    seen, real = set(), jobs._sink
+
+    def sink(spark_, df, name_, mode, write):
+        def counted(batch, path):
+            seen.add(batch.rdd.getNumPartitions())
+            write(batch, path)
+
+        return real(spark_, df, name_, mode, counted)
+
+    monkeypatch.setattr(jobs, "_sink", sink)
+    key = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(key)
+    spark.conf.set(key, "40")
+    try:
+        rows = sorted(map(str, QUERIES[name](spark, SF).collect()))
+        assert spark.conf.get(key) == "40"
+    finally:
+        spark.conf.set(key, usual)
+    return rows, max(seen)
+
+
+def test_hour_state_does_not_follow_the_shuffle_partitions(spark, monkeypatch):
+    rows, parts = _tasks_of_state(spark, monkeypatch, "stream_hour_histogram")
+    assert rows == sorted(map(str, QUERIES["hour_histogram"](spark, SF).collect())) and parts <= jobs.STATE_PARTITIONS
