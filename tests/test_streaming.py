@@ -270,3 +270,8 @@ def _tasks_of_state(spark, monkeypatch, name):
 def test_hour_state_does_not_follow_the_shuffle_partitions(spark, monkeypatch):
     rows, parts = _tasks_of_state(spark, monkeypatch, "stream_hour_histogram")
     assert rows == sorted(map(str, QUERIES["hour_histogram"](spark, SF).collect())) and parts <= jobs.STATE_PARTITIONS
+
+
+def test_day_state_does_not_follow_the_shuffle_partitions(spark, monkeypatch):
+    rows, parts = _tasks_of_state(spark, monkeypatch, "stream_first_event_of_day")
+    assert rows == sorted(map(str, QUERIES["first_event_of_day"](spark, SF).collect())) and parts <= jobs.STATE_PARTITIONS
