@@ -281,6 +281,8 @@ def stream_first_with_late(
 
 #: Stretch of time whose steps are summed up together.
 LEVEL_BUCKET = "hour"
+#: Steps worth a range of their own; the session's shuffle partitions are the most ranges.
+STEPS_PER_RANGE = 100_000
 
 
 def _put(df: DataFrame, path: str, group: str, batch: int) -> None:
@@ -349,18 +351,21 @@ def stream_max_level(
         due = known.withColumn("due", (F.col("waiting") > 0) & (F.col("waiting") >= F.col("summed")))
         now = f"{where['counts']}/batch={number}"
         due.coalesce(1).write.mode("overwrite").parquet(now)
-        renew([r["day"] for r in spark.read.schema(counts).parquet(now).filter("due").select("day").collect()], number)
+        renew(spark.read.schema(counts).parquet(now).filter("due"), number)
 
-    def renew(days: list[str], number: int) -> None:
+    def renew(which: DataFrame, number: int) -> None:
         """Sum up these days from all their steps, and the months above them."""
-        if not days:
+        known = which.select("day", (F.col("summed") + F.col("waiting")).alias("n")).collect()
+        if not known:
             return
+        days, n = [r["day"] for r in known], sum(r["n"] for r in known)
+        ranges = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // STEPS_PER_RANGE))
         steps = f"b {kind[ts]}, t {kind[ts]}, id {kind[tie]}, d bigint, p boolean"
-        rows = range_buckets(_get(spark, where["steps"], "day", days, steps, number), ["b", "t", "id"])
+        rows = range_buckets(_get(spark, where["steps"], "day", days, steps, number), ["b", "t", "id"], ranges)
         w = Window.partitionBy("day", "b", BUCKET).orderBy("t", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         level = rows.select("day", "b", BUCKET, "d", F.when(F.col("p"), F.sum("d").over(w)).alias("level"))
-        ranges = level.groupBy("day", "b", BUCKET).agg(F.sum("d").alias("net"), F.max("level").alias("peak"))
-        _put(_fold(ranges, BUCKET, ["day", "b"]), where["hours"], "day", number)
+        sums_of = level.groupBy("day", "b", BUCKET).agg(F.sum("d").alias("net"), F.max("level").alias("peak"))
+        _put(_fold(sums_of, BUCKET, ["day", "b"]), where["hours"], "day", number)
 
         hours = _newest(_get(spark, where["hours"], "day", days, f"b {kind[ts]}, {sums}", number), "day", "b")
         per_day = _fold(hours, "b", ["day"]).withColumn("month", F.substring("day", 1, 6))
@@ -378,7 +383,7 @@ def stream_max_level(
         last = None
     if last is not None:
         waiting = known.filter((F.col("batch") == last) & ~F.col("due") & (F.col("waiting") > 0))
-        renew([r["day"] for r in waiting.select("day").collect()], last + 1)
+        renew(waiting, last + 1)
     # The root: one row a month.
     try:
         root = spark.read.schema(f"{sums}, month string, batch bigint").parquet(where["months"])

@@ -275,3 +275,17 @@ def test_hour_state_does_not_follow_the_shuffle_partitions(spark, monkeypatch):
 def test_day_state_does_not_follow_the_shuffle_partitions(spark, monkeypatch):
     rows, parts = _tasks_of_state(spark, monkeypatch, "stream_first_event_of_day")
     assert rows == sorted(map(str, QUERIES["first_event_of_day"](spark, SF).collect())) and parts <= jobs.STATE_PARTITIONS
+
+
+def test_level_ranges_follow_the_steps(spark, monkeypatch):
+    """900 steps of one hour: a single range, or several of about 200 steps; the same level."""
+    rnd = random.Random(16)
+    rows = [(i, datetime(2024, 5, 5, 5) + timedelta(seconds=rnd.randrange(3600)), rnd.choice("+-")) for i in range(900)]
+    src = _shuffled_files(spark, rows, LEVEL_SCHEMA, 1)
+    seen, real = [], jobs.range_buckets
+    monkeypatch.setattr(jobs, "range_buckets", lambda df, by, n=None: seen.append(n) or real(df, by, n))
+    for size in (100_000, 200):
+        monkeypatch.setattr(jobs, "STEPS_PER_RANGE", size)
+        s = read_stream(spark, src, LEVEL_SCHEMA, files_per_batch=1)
+        assert jobs.stream_max_level(spark, s, "ts", "id", _delta(), F.col("e") == "+").first()[0] == _level(rows)
+    assert seen == [1, 5]
